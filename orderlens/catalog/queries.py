@@ -39,8 +39,16 @@ from ..sources import (
     write_parquet,
     write_text,
 )
-from ..sources.contract import CANCELLATION_COLUMNS, COLUMNS, HEADER_PREFIX, SPREAD_COLUMNS
-from ..sources.csv import computed_once
+from ..sources.contract import (
+    CANCELLATION_COLUMNS,
+    COLUMNS,
+    COUNT_COLUMNS,
+    HEADER_PREFIX,
+    SPREAD_COLUMNS,
+    STYLE_COLUMNS,
+    WINDOW_COLUMNS,
+)
+from ..sources.once import with_column_once
 from ..sources.sinks import land, work_folder
 from ..sources.tables import raw_lines, raw_orders
 
@@ -50,27 +58,27 @@ MIN_DAYS = 2_200
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return window_rows(raw_lines(spark, sf_dir))
+    return raw_lines(spark, sf_dir, WINDOW_COLUMNS)
 
 
 def _styles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return variety.style_variety(style_rows(raw_lines(spark, sf_dir)))
+    return raw_lines(spark, sf_dir, STYLE_COLUMNS)
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cancellation_rows(raw_orders(spark, sf_dir))
+    return cancellation_rows(raw_orders(spark, sf_dir, CANCELLATION_COLUMNS))
 
 
-def _placeless_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cancellation_rows(raw_orders(spark, sf_dir, with_place=False))
+def _promoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cancellation_rows(raw_orders(spark, sf_dir, ("index", "Date", "promotion-ids")))
 
 
 def _spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_rows(raw_orders(spark, sf_dir, with_place=False))
+    return spread_rows(raw_orders(spark, sf_dir, SPREAD_COLUMNS))
 
 
 def bought_by_state(spark, sf_dir):
-    return trailing.bought_counts(_lines(spark, sf_dir))
+    return trailing.bought_counts(window_rows(raw_lines(spark, sf_dir, COUNT_COLUMNS)))
 
 
 def window_length_by_state(spark, sf_dir):
@@ -78,35 +86,35 @@ def window_length_by_state(spark, sf_dir):
 
 
 def trailing_size_stats(spark, sf_dir):
-    daily = trailing.daily_stats(_lines(spark, sf_dir))
+    daily = trailing.daily_stats(window_rows(_lines(spark, sf_dir)))
     lengths = window_length_by_state(spark, sf_dir)
     return trailing.trailing_stats(trailing.with_lengths(daily, lengths))
 
 
 def trailing_winners(spark, sf_dir):
-    return best_sizes(raw_lines(spark, sf_dir), CUTOFF)
+    return best_sizes(_lines(spark, sf_dir), CUTOFF)
 
 
 def tied_top_sizes(spark, sf_dir):
-    ties = trailing.tie_groups(size_stats(raw_lines(spark, sf_dir), CUTOFF))
+    ties = trailing.tie_groups(size_stats(_lines(spark, sf_dir), CUTOFF))
     return ties.groupBy("tied_sizes").agg(F.count(F.lit(1)).alias("tie_groups"))
 
 
 def style_varieties(spark, sf_dir):
-    return _styles(spark, sf_dir)
+    return variety.style_variety(style_rows(_styles(spark, sf_dir)))
 
 
 def median_varieties(spark, sf_dir):
-    return median_by_month_state(raw_lines(spark, sf_dir))
+    return median_by_month_state(_styles(spark, sf_dir))
 
 
 def promotion_periods(spark, sf_dir):
-    exploded = promotions.explode_promotions(_placeless_orders(spark, sf_dir))
+    exploded = promotions.explode_promotions(_promoted(spark, sf_dir))
     return promotions.valid_promotions(exploded, MIN_DAYS)
 
 
 def valid_promotions_per_order(spark, sf_dir):
-    orders = _placeless_orders(spark, sf_dir)
+    orders = _promoted(spark, sf_dir)
     exploded = promotions.explode_promotions(orders)
     valid = promotions.valid_promotions(exploded, MIN_DAYS)
     counted = promotions.with_valid_counts(orders, promotions.valid_counts(exploded, valid))
@@ -130,7 +138,7 @@ def classified_cancellations(spark, sf_dir):
 
 
 def cancellations_by_city(spark, sf_dir):
-    return qualified_by_city(raw_orders(spark, sf_dir), MIN_DAYS)
+    return qualified_by_city(raw_orders(spark, sf_dir, CANCELLATION_COLUMNS), MIN_DAYS)
 
 
 def first_cities(spark, sf_dir):
@@ -172,7 +180,7 @@ def exact_spread(spark, sf_dir):
 
 
 def spread_comparison(spark, sf_dir):
-    return promotion_spread(raw_orders(spark, sf_dir, with_place=False))
+    return promotion_spread(raw_orders(spark, sf_dir, SPREAD_COLUMNS))
 
 
 def first_comparisons(spark, sf_dir):
@@ -192,12 +200,12 @@ def group_profile(spark, sf_dir):
 
 
 def id_report_lines(spark, sf_dir):
-    ids = raw_lines(spark, sf_dir).select(parse_id(F.col("index")).alias("row_id"))
+    ids = raw_lines(spark, sf_dir, ("index",)).select(parse_id(F.col("index")).alias("row_id"))
     return quality.id_report(ids)
 
 
 def id_report_orders(spark, sf_dir):
-    return quality.id_report(_placeless_orders(spark, sf_dir))
+    return quality.id_report(_promoted(spark, sf_dir))
 
 
 def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +219,7 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     record = F.to_csv(F.struct(*[F.col(f"`{name}`") for name in COLUMNS]), options)
     quantity = F.trim("Qty").try_cast("int")
-    lines = computed_once(raw, "line", record).select(
+    lines = with_column_once(raw, "line", record).select(
         "line", F.when(F.col("Order ID").endswith("11"), quantity).alias("kind")
     )
     line, kind = F.col("line"), F.col("kind")
@@ -277,7 +285,7 @@ def cleaned_lines(spark, sf_dir):
 
 def promotion_codes(spark, sf_dir):
     """The list functions on every order: the codes again as text, and their number."""
-    raw = raw_orders(spark, sf_dir, with_place=False)
+    raw = raw_orders(spark, sf_dir, ("index", "promotion-ids"))
     listed = F.col("promotion-ids")
     return raw.select(
         parse_id(F.col("index")).alias("row_id"),
@@ -288,7 +296,7 @@ def promotion_codes(spark, sf_dir):
 
 def csv_round_trip(spark, sf_dir):
     """Orders out as headered CSV, in again leniently, checked, typed and landed as Parquet."""
-    raw = raw_orders(spark, sf_dir, with_place=False)
+    raw = raw_orders(spark, sf_dir)
     text = f"{work_folder(spark, 'csv_round_trip')}/csv"
     spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     raw.write.mode("overwrite").options(header=True, escape='"', **spaces).csv(text)

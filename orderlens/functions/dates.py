@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import BLANKS
+from .text import trim_blanks
 
 DATE_PATTERN = "MM-dd-yy"
 
@@ -17,14 +17,14 @@ def parse_date(c: Column) -> Column:
 
 def parse_date_clamped(c: Column) -> Column:
     """As parse_date, but days 29 to 31 missing from a month mean its last day."""
-    text = F.btrim(c, F.lit(BLANKS))
+    text = trim_blanks(c)
     first = F.concat(
         F.lit("20"), F.substring(text, 7, 2), F.lit("-"), F.substring(text, 1, 2), F.lit("-01")
     ).try_cast("date")
-    day = F.substring(text, 4, 2).try_cast("int")
-    return F.when(
-        text.rlike(r"^[0-9]{2}-[0-9]{2}-[0-9]{2}$") & day.between(1, 31),
-        F.least(F.date_add(first, day - 1), F.last_day(first)),
+    return F.coalesce(
+        F.try_to_date(text, DATE_PATTERN),
+        # Reached only by text that is no calendar day.
+        F.when(text.rlike("^[0-9]{2}-(29|30|31)-[0-9]{2}$"), F.last_day(first)),
     )
 
 

@@ -9,9 +9,20 @@ from pyspark.sql import functions as F
 BLANKS = "".join(map(chr, range(0x21)))
 
 
+def trim_blanks(c: Column) -> Column:
+    """Control characters and spaces trimmed from both ends.
+
+    The wide trim looks every character up in its list, so it is kept for texts
+    that still start or end with a control character once spaces are gone.
+    """
+    text = F.trim(c)
+    odd_end = (text < " ") | (F.substring(text, -1, 1) < " ")
+    return F.when(odd_end, F.btrim(text, F.lit(BLANKS))).otherwise(text)
+
+
 def key_text(c: Column) -> Column:
     """Grouping-key form: control characters and spaces trimmed, upper case, NULL as ''."""
-    return F.coalesce(F.upper(F.btrim(c, F.lit(BLANKS))), F.lit(""))
+    return F.coalesce(F.upper(trim_blanks(c)), F.lit(""))
 
 
 def label_text(c: Column) -> Column:

@@ -74,14 +74,14 @@ def window_reason() -> Column:
 
 
 def variety_reason() -> Column:
-    """Fate of a line in the style count; expects fault, the three keys and month."""
+    """Fate of a line in the style count; expects fault, the three keys and order_date."""
     missing_key = ~(
         is_present(F.col("state")) & is_present(F.col("style")) & is_present(F.col("sku"))
     )
     return (
         F.when(F.col("fault").isNotNull(), F.col("fault"))
         .when(missing_key, "missing_key")
-        .when(F.col("month").isNull(), "invalid_date")
+        .when(F.col("order_date").isNull(), "invalid_date")
         .otherwise("valid")
     )
 

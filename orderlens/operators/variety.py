@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import month_of
 from ..functions.text import is_present
 
 
 def usable_styles(rows: DataFrame) -> DataFrame:
     """Rows with state, style, SKU and a valid date; bought or not."""
     present = is_present(F.col("state")) & is_present(F.col("style")) & is_present(F.col("sku"))
-    return rows.filter(present & F.col("month").isNotNull())
+    return rows.filter(present & F.col("order_date").isNotNull())
 
 
 def style_variety(rows: DataFrame) -> DataFrame:
@@ -20,15 +21,18 @@ def style_variety(rows: DataFrame) -> DataFrame:
     Reduced to one row per SKU before the style totals, so that a busy style is
     spread over its SKUs and no set of SKUs is held in memory.
     """
+    style = ("month_start", "state", "style")
     per_sku = (
         usable_styles(rows)
-        .groupBy("month", "state", "style", "sku")
+        .groupBy(F.trunc("order_date", "month").alias("month_start"), "state", "style", "sku")
         .agg(F.bool_or("is_large").alias("is_large"))
     )
-    per_style = per_sku.groupBy("month", "state", "style").agg(
+    per_style = per_sku.groupBy(*style).agg(
         F.count(F.lit(1)).alias("variety"), F.bool_or("is_large").alias("is_large")
     )
-    return per_style.filter("is_large").drop("is_large")
+    return per_style.filter("is_large").select(
+        month_of(F.col("month_start")).alias("month"), "state", "style", "variety"
+    )
 
 
 def median_variety(styles: DataFrame) -> DataFrame:

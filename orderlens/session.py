@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Call sites in error messages cost a stack walk per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -34,8 +34,11 @@ COLUMNS = (
     "unused_23",
 )
 
-# How a header line starts, and the columns each lenient job needs.
+# How a header line starts, and the columns each job needs.
 HEADER_PREFIX = "index,Order ID,Date,"
+COUNT_COLUMNS = ("Status", "Qty", "ship-state")
+WINDOW_COLUMNS = ("Date", "Status", "Size", "Qty", "Amount", "ship-state")
+STYLE_COLUMNS = ("Date", "Style", "SKU", "Size", "ship-state")
 CANCELLATION_COLUMNS = (
     "index",
     "Date",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .contract import COLUMNS, HEADER_PREFIX
+from .once import with_column_once
 
 CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
@@ -37,28 +38,19 @@ def _line_fault(line: Column, width: int) -> Column:
     )
 
 
-def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Adds a costly column through a generator.
-
-    A plain alias would be copied into every filter and expression that reads it,
-    and evaluated in each of them; a generator's output is a column like any other.
-    """
-    return df.select("*", F.explode(F.array(value)).alias(name))
-
-
 def classify_lines(lines: DataFrame, width: int = len(COLUMNS)) -> DataFrame:
     """Adds `fault`: header, bad_csv, wrong_column_count, or NULL for a usable record.
 
     Headers are recognised on any line, so concatenated or split files are fine.
     """
-    return computed_once(lines, "fault", _line_fault(F.col("value"), width))
+    return with_column_once(lines, "fault", _line_fault(F.col("value"), width))
 
 
 def parse_lines(classified: DataFrame) -> DataFrame:
     """`fault` and the 24 text columns, which are NULL where there is a fault."""
     schema = ", ".join(f"`{name}` STRING" for name in COLUMNS)
     record = F.when(F.col("fault").isNull(), F.from_csv(F.col("value"), schema, CSV_OPTIONS))
-    return computed_once(classified, "record", record).select("fault", "record.*")
+    return with_column_once(classified, "record", record).select("fault", "record.*")
 
 
 def read_strict(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:

@@ -1,0 +1,23 @@
+"""Columns that are computed exactly once per row."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def select_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """A projection through a generator.
+
+    The optimiser copies a plain alias into every filter and expression that reads
+    it, which evaluates costly parsing several times over. A generator's output is
+    a column like that of a scan. The price is that unused columns are computed
+    too, so this is for frames whose readers use all of them.
+    """
+    record = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(F.inline(F.array(record)))
+
+
+def with_column_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds one column the same way."""
+    return df.select("*", F.explode(F.array(value)).alias(name))

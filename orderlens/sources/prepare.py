@@ -19,6 +19,7 @@ from ..functions import (
     trimmed,
 )
 from ..functions.text import is_present
+from .once import select_once
 
 
 def window_rows(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -37,15 +38,15 @@ def window_rows(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def style_rows(
     raw: DataFrame, smallest: str = "XXL", keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """month, state, style, sku, is_large, after any columns to keep as they are."""
-    return raw.select(
-        *keep,
-        month_of(parse_date_clamped(F.col("Date"))).alias("month"),
-        key_text(F.col("ship-state")).alias("state"),
-        key_text(F.col("Style")).alias("style"),
-        key_text(F.col("SKU")).alias("sku"),
-        at_least_size(key_text(F.col("Size")), smallest).alias("is_large"),
-    )
+    """order_date, state, style, sku, is_large, after any columns to keep as they are."""
+    columns = {
+        "order_date": parse_date_clamped(F.col("Date")),
+        "state": key_text(F.col("ship-state")),
+        "style": key_text(F.col("Style")),
+        "sku": key_text(F.col("SKU")),
+        "is_large": at_least_size(key_text(F.col("Size")), smallest),
+    }
+    return select_once(raw, {name: F.col(name) for name in keep} | columns)
 
 
 def cancellation_rows(raw: DataFrame) -> DataFrame:

@@ -7,22 +7,69 @@ Lines come from `lineitem`, orders (with promotion lists) from `orders`.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .contract import COLUMNS
+from .once import select_once
 
 # Size labels by quantity modulo 11.
 SIZE_LABELS = ("XS", "S", "M", "L", "XL", "XXL", "3XL", "4XL", "5XL", "6XL", "FREE")
 
+# The columns that the two record kinds fill.
+LINE_COLUMNS = (
+    "index",
+    "Order ID",
+    "Date",
+    "Status",
+    "Style",
+    "SKU",
+    "Size",
+    "Qty",
+    "Amount",
+    "ship-city",
+    "ship-state",
+    "promotion-ids",
+)
+ORDER_COLUMNS = (
+    "index",
+    "Order ID",
+    "Date",
+    "Status",
+    "Fulfilment",
+    "ship-service-level",
+    "SKU",
+    "Courier Status",
+    "Qty",
+    "Amount",
+    "ship-city",
+    "ship-state",
+    "promotion-ids",
+)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _as_record(df: DataFrame, values: dict[str, Column]) -> DataFrame:
-    return df.select(
-        *[values.get(name, F.lit(None)).cast("string").alias(name) for name in COLUMNS]
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deals rows out to all cores when the scan has fewer splits than there are cores.
+
+    A small file is a single split, and one core would do all the cleaning.
+    Inputs with enough splits, which is every large one, pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
+def _as_record(df: DataFrame, values: dict[str, Column], needed: Collection[str]) -> DataFrame:
+    """24 text columns; only the needed ones hold values."""
+    filled = {name: values[name] for name in COLUMNS if name in needed}
+    empty = F.lit(None).cast("string")
+    return select_once(df, filled).select(
+        *[F.col(f"`{name}`") if name in needed else empty.alias(name) for name in COLUMNS]
     )
 
 
@@ -31,20 +78,23 @@ def _export_date(column: str) -> Column:
     return F.date_format(F.add_months(column, 240), "MM-dd-yy")
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_lines(
+    spark: SparkSession, sf_dir: str, needed: Collection[str] = LINE_COLUMNS
+) -> DataFrame:
     """One record per lineitem row; the state is the supplier's nation.
 
     Suppliers are few next to their lines, so the lines need no shuffle while
     the supplier side stays under the broadcast threshold.
     """
-    places = (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", "n_name")
-    )
-    lines = table(spark, sf_dir, "lineitem").join(
-        places, F.col("l_suppkey") == F.col("s_suppkey")
-    )
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_suppkey")
+    if "ship-state" in needed:
+        lines = lines.join(
+            table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
+            F.col("l_suppkey") == F.col("s_suppkey"),
+        ).join(
+            table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
+            F.col("s_nationkey") == F.col("n_nationkey"),
+        )
     number, quantity = F.col("l_linenumber"), F.col("l_quantity").cast("int")
     labels = F.array(*[F.lit(label) for label in SIZE_LABELS])
     label = F.element_at(labels, quantity % 11 + 1)
@@ -85,6 +135,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             "ship-city": F.when(number == 2, '5" gate, west side'),
             "promotion-ids": F.when(number == 2, F.concat(F.lit("P1 ,P"), part)),
         },
+        needed,
     )
 
 
@@ -106,24 +157,19 @@ def _promotion_list() -> Column:
     )
 
 
-def raw_orders(spark: SparkSession, sf_dir: str, with_place: bool = True) -> DataFrame:
-    """One record per order; city and state are the customer's, left out on request."""
-    orders = table(spark, sf_dir, "orders")
+def raw_orders(
+    spark: SparkSession, sf_dir: str, needed: Collection[str] = ORDER_COLUMNS
+) -> DataFrame:
+    """One record per order; city and state are the customer's."""
+    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     key = F.col("o_orderkey")
-    state = city = F.lit(None)
-    if with_place:
-        customers = (
-            table(spark, sf_dir, "customer")
-            .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select("c_custkey", "n_name", "c_mktsegment")
-        )
-        orders = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        state = F.when(key % 23 != 0, F.concat(F.lit(" "), F.lower("n_name")))
-        city = (
-            F.when((F.col("c_mktsegment") == "BUILDING") & (key % 5 == 0), F.lit(None))
-            .when(key % 19 == 0, "  ")
-            .when(key % 2 == 0, F.concat("n_name", F.lit(" "), F.lower("c_mktsegment")))
-            .otherwise(F.concat("n_name", F.lit(" "), "c_mktsegment", F.lit("  ")))
+    if "ship-state" in needed or "ship-city" in needed:
+        orders = orders.join(
+            table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
+            F.col("o_custkey") == F.col("c_custkey"),
+        ).join(
+            table(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
+            F.col("c_nationkey") == F.col("n_nationkey"),
         )
     status = F.col("o_orderstatus")
     return _as_record(
@@ -149,8 +195,12 @@ def raw_orders(spark: SparkSession, sf_dir: str, with_place: bool = True) -> Dat
             "Amount": F.when(key % 37 == 0, "")
             .when(key % 41 == 0, "abc")
             .otherwise(F.col("o_totalprice").cast("string")),
-            "ship-city": city,
-            "ship-state": state,
+            "ship-city": F.when((F.col("c_mktsegment") == "BUILDING") & (key % 5 == 0), F.lit(None))
+            .when(key % 19 == 0, "  ")
+            .when(key % 2 == 0, F.concat("n_name", F.lit(" "), F.lower("c_mktsegment")))
+            .otherwise(F.concat("n_name", F.lit(" "), "c_mktsegment", F.lit("  "))),
+            "ship-state": F.when(key % 23 != 0, F.concat(F.lit(" "), F.lower("n_name"))),
             "promotion-ids": _promotion_list(),
         },
+        needed,
     )
