@@ -291,7 +291,8 @@ def oracle_sql() -> dict[str, str]:
         "q06_style_varieties": f"WITH {_STYLE} SELECT month, state, style, variety FROM styles",
         "q07_median_varieties": medians,
         "q08_promotion_periods": f"""
-            WITH {_CODE} SELECT promo, first_date, last_date, active_days FROM valid""",
+            WITH {_CODE} SELECT promo, first_date, last_date,
+              CAST(active_days AS INTEGER) AS active_days FROM valid""",
         "q09_valid_promotions_per_order": f"""
             WITH {_CODE} SELECT row_id, valid_promotion_count FROM valid_counts""",
         "q10_average_by_state": f"""
@@ -403,6 +404,9 @@ def oracle_sql() -> dict[str, str]:
             FROM code_counts LEFT JOIN listed ON code_counts.row_id = listed.row_id""",
         "q24_csv_round_trip": prepared,
         "q24_strict_round_trip": f"WITH {_FAULT} SELECT state, n FROM usable_counts",
+        "q24_quarantined_lines": f"""
+            WITH {_FAULT} SELECT fault AS reason, count(*) AS n FROM faulty
+            WHERE fault IN ('bad_csv', 'wrong_column_count') GROUP BY fault""",
         "q24_text_sink": medians,
         "q24_parquet_sink": shares,
     }

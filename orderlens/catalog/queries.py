@@ -21,6 +21,7 @@ from ..functions import (
     size_rank,
     trimmed,
 )
+from ..once import with_column_once
 from ..operators import percentiles, promotions, quality, trailing, variety
 from ..plans import best_sizes, median_by_month_state, promotion_spread, qualified_by_city
 from ..plans.cancellations import qualified_shares
@@ -48,7 +49,6 @@ from ..sources.contract import (
     STYLE_COLUMNS,
     WINDOW_COLUMNS,
 )
-from ..sources.once import with_column_once
 from ..sources.sinks import land, work_folder
 from ..sources.tables import raw_lines, raw_orders
 
@@ -86,9 +86,7 @@ def window_length_by_state(spark, sf_dir):
 
 
 def trailing_size_stats(spark, sf_dir):
-    daily = trailing.daily_stats(window_rows(_lines(spark, sf_dir)))
-    lengths = window_length_by_state(spark, sf_dir)
-    return trailing.trailing_stats(trailing.with_lengths(daily, lengths))
+    return size_stats(_lines(spark, sf_dir), CUTOFF)
 
 
 def trailing_winners(spark, sf_dir):
@@ -318,9 +316,7 @@ def quarantined_lines(spark, sf_dir):
     text = f"{work_folder(spark, 'quarantined_lines')}/lines"
     csv_lines(spark, sf_dir).write.mode("overwrite").text(text)
     _, rejected = read_strict(spark, text)
-    return rejected.groupBy("fault").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(F.length("value")).alias("characters")
-    )
+    return quality.ledger(rejected, F.col("fault"))
 
 
 def text_sink(spark, sf_dir):

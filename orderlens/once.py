@@ -1,4 +1,4 @@
-"""Columns that are computed exactly once per row."""
+"""Columns that are computed exactly once per row, and stages that run once per query."""
 
 from __future__ import annotations
 
@@ -21,3 +21,13 @@ def select_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 def with_column_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Adds one column the same way."""
     return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def keep_whole(df: DataFrame) -> DataFrame:
+    """The same frame, safe from column pruning.
+
+    A frame used twice with different columns is pruned into two different plans
+    and computed twice. Kept whole, both uses are one plan, and Spark reuses its
+    shuffle.
+    """
+    return select_once(df, {name: F.col(name) for name in df.columns})

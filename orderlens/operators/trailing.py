@@ -37,19 +37,16 @@ def bought_counts(rows: DataFrame) -> DataFrame:
     return bought(rows).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 
 
-def window_days(n: Column, cutoff: int, short: int, long: int) -> Column:
-    return F.when(n > cutoff, F.lit(short)).otherwise(F.lit(long))
-
-
 def window_lengths(
     counts: DataFrame, cutoff: int = CUTOFF, short: int = SHORT_DAYS, long: int = LONG_DAYS
 ) -> DataFrame:
     """state, n, window_days."""
-    return counts.withColumn("window_days", window_days(F.col("n"), cutoff, short, long))
+    days = F.when(F.col("n") > cutoff, F.lit(short)).otherwise(F.lit(long))
+    return counts.withColumn("window_days", days)
 
 
 def daily_stats(rows: DataFrame) -> DataFrame:
-    """Bought rows summed per (state, size, order_date).
+    """The grid: bought rows summed per (state, size, order_date).
 
     Blank sizes and unusable dates stay as groups of their own: they count when
     the window length is chosen and drop out afterwards.
@@ -67,6 +64,11 @@ def daily_stats(rows: DataFrame) -> DataFrame:
     )
 
 
+def grid_counts(daily: DataFrame) -> DataFrame:
+    """state, n as bought_counts gives them, taken from the grid instead of the rows."""
+    return daily.groupBy("state").agg(F.sum("n").alias("n"))
+
+
 def with_lengths(daily: DataFrame, lengths: DataFrame) -> DataFrame:
     """Look up each state's window length; states the lookup lacks drop out.
 
@@ -76,14 +78,6 @@ def with_lengths(daily: DataFrame, lengths: DataFrame) -> DataFrame:
     return daily.join(lengths.select("state", "window_days"), "state", "inner")
 
 
-def with_own_lengths(
-    daily: DataFrame, cutoff: int = CUTOFF, short: int = SHORT_DAYS, long: int = LONG_DAYS
-) -> DataFrame:
-    """The same lengths taken from the grid itself, which saves a second read of the input."""
-    state_total = F.sum("n").over(Window.partitionBy("state"))
-    return daily.withColumn("window_days", window_days(state_total, cutoff, short, long))
-
-
 def trailing_stats(daily: DataFrame) -> DataFrame:
     """One row per (state, window_date, size) from a grid that carries window_days.
 
@@ -101,7 +95,8 @@ def trailing_stats(daily: DataFrame) -> DataFrame:
     )
     variance = population_variance(F.col("amount_count"), F.col("total"), F.col("squares"))
     return (
-        # Spread by (state, day): the two steps that follow then need no other shuffle.
+        # One shuffle by (state, day) serves both the totals and the choice among sizes.
+        # Copies of one order day lie on L different days, so summing first would save little.
         buckets.repartition(*STATE_DAY)
         .groupBy(*STATE_DAY, "size")
         .agg(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..once import keep_whole
 from ..operators import trailing
 from ..sources import window_rows
 
@@ -14,9 +15,14 @@ def size_stats(
     short: int = trailing.SHORT_DAYS,
     long: int = trailing.LONG_DAYS,
 ) -> DataFrame:
-    """Trailing statistics of every candidate size; the input is read once."""
-    daily = trailing.daily_stats(window_rows(raw))
-    return trailing.trailing_stats(trailing.with_own_lengths(daily, cutoff, short, long))
+    """Trailing statistics of every candidate size.
+
+    The grid serves the window lengths and the windows themselves, so the input
+    is read and shuffled once.
+    """
+    daily = keep_whole(trailing.daily_stats(window_rows(raw)))
+    lengths = trailing.window_lengths(trailing.grid_counts(daily), cutoff, short, long)
+    return trailing.trailing_stats(trailing.with_lengths(daily, lengths))
 
 
 def best_sizes(

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..once import with_column_once
 from .contract import COLUMNS, HEADER_PREFIX
-from .once import with_column_once
 
 CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 

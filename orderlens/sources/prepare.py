@@ -19,7 +19,7 @@ from ..functions import (
     trimmed,
 )
 from ..functions.text import is_present
-from .once import select_once
+from ..once import select_once
 
 
 def window_rows(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

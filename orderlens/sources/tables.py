@@ -12,8 +12,8 @@ from collections.abc import Collection
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..once import select_once
 from .contract import COLUMNS
-from .once import select_once
 
 # Size labels by quantity modulo 11.
 SIZE_LABELS = ("XS", "S", "M", "L", "XL", "XXL", "3XL", "4XL", "5XL", "6XL", "FREE")
@@ -64,11 +64,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
-def _as_record(df: DataFrame, values: dict[str, Column], needed: Collection[str]) -> DataFrame:
+def _as_record(df: DataFrame, needed: Collection[str]) -> DataFrame:
     """24 text columns; only the needed ones hold values."""
-    filled = {name: values[name] for name in COLUMNS if name in needed}
     empty = F.lit(None).cast("string")
-    return select_once(df, filled).select(
+    return df.select(
         *[F.col(f"`{name}`") if name in needed else empty.alias(name) for name in COLUMNS]
     )
 
@@ -100,43 +99,41 @@ def raw_lines(
     label = F.element_at(labels, quantity % 11 + 1)
     part = F.col("l_partkey").cast("string")
     shipped = _export_date("l_shipdate")
-    return _as_record(
-        lines,
-        {
-            "index": F.when((number == 7) & (quantity == 50), "n/a").when(
-                (number == 7) & (quantity == 49), F.lit(None)
-            ).otherwise(F.col("l_orderkey").cast("string")),
-            "Order ID": F.concat(F.lit("O-"), F.col("l_orderkey").cast("string")),
-            "Date": F.when((number == 6) & (quantity == 49), "13-45-22")
-            .when((number == 5) & (quantity >= 46), F.concat(F.lit("02-30-"), shipped.substr(7, 2)))
-            .otherwise(shipped),
-            "Status": F.when(F.col("l_linestatus") != "F", "Pending")
-            .when(number == 3, " shipped - delivered to buyer\t")
-            .otherwise("Shipped"),
-            "Style": F.when(F.col("l_partkey") % 211 == 0, " ").otherwise(
-                F.concat(
-                    F.when(number == 2, "ST-").otherwise("st-"),
-                    (F.col("l_partkey") % 12).cast("string"),
-                )
-            ),
-            "SKU": F.concat(F.when(number % 2 == 1, "SK").otherwise(" sk"), part),
-            "Size": F.when(quantity == 50, " ")
-            .when(number == 5, F.lower(label))
-            .otherwise(label),
-            "Qty": F.when((number == 1) & (quantity == 1), "abc")
-            .when((number == 1) & (quantity == 2), "")
-            .when((number == 1) & (quantity == 3), "0")
-            .when(number == 4, F.concat(F.lit(" "), quantity.cast("string")))
-            .otherwise(quantity.cast("string")),
-            "Amount": F.when(number == 7, "").otherwise(F.col("l_extendedprice").cast("string")),
-            "ship-state": F.when(F.col("l_suppkey") % 97 == 0, "   ")
-            .when(number % 2 == 0, F.concat(F.lit("\t"), F.lower("n_name"), F.lit(" ")))
-            .otherwise(F.col("n_name")),
-            "ship-city": F.when(number == 2, '5" gate, west side'),
-            "promotion-ids": F.when(number == 2, F.concat(F.lit("P1 ,P"), part)),
-        },
-        needed,
-    )
+    values = {
+        "index": F.when((number == 7) & (quantity == 50), "n/a").when(
+            (number == 7) & (quantity == 49), F.lit(None)
+        ).otherwise(F.col("l_orderkey").cast("string")),
+        "Order ID": F.concat(F.lit("O-"), F.col("l_orderkey").cast("string")),
+        "Date": F.when((number == 6) & (quantity == 49), "13-45-22")
+        .when((number == 5) & (quantity >= 46), F.concat(F.lit("02-30-"), shipped.substr(7, 2)))
+        .otherwise(shipped),
+        "Status": F.when(F.col("l_linestatus") != "F", "Pending")
+        .when(number == 3, " shipped - delivered to buyer\t")
+        .otherwise("Shipped"),
+        "Style": F.when(F.col("l_partkey") % 211 == 0, " ").otherwise(
+            F.concat(
+                F.when(number == 2, "ST-").otherwise("st-"),
+                (F.col("l_partkey") % 12).cast("string"),
+            )
+        ),
+        "SKU": F.concat(F.when(number % 2 == 1, "SK").otherwise(" sk"), part),
+        "Size": F.when(quantity == 50, " ")
+        .when(number == 5, F.lower(label))
+        .otherwise(label),
+        "Qty": F.when((number == 1) & (quantity == 1), "abc")
+        .when((number == 1) & (quantity == 2), "")
+        .when((number == 1) & (quantity == 3), "0")
+        .when(number == 4, F.concat(F.lit(" "), quantity.cast("string")))
+        .otherwise(quantity.cast("string")),
+        "Amount": F.when(number == 7, "").otherwise(F.col("l_extendedprice").cast("string")),
+        "ship-state": F.when(F.col("l_suppkey") % 97 == 0, "   ")
+        .when(number % 2 == 0, F.concat(F.lit("\t"), F.lower("n_name"), F.lit(" ")))
+        .otherwise(F.col("n_name")),
+        "ship-city": F.when(number == 2, '5" gate, west side'),
+        "promotion-ids": F.when(number == 2, F.concat(F.lit("P1 ,P"), part)),
+    }
+    # As plain expressions these would be copied into every cleaning step and filter.
+    return _as_record(select_once(lines, {name: values[name] for name in needed}), needed)
 
 
 def _promotion_list() -> Column:
@@ -172,35 +169,32 @@ def raw_orders(
             F.col("c_nationkey") == F.col("n_nationkey"),
         )
     status = F.col("o_orderstatus")
-    return _as_record(
-        orders,
-        {
-            "index": key.cast("string"),
-            "Order ID": F.concat(F.lit("O-"), key.cast("string")),
-            "Date": F.when(key % 101 == 0, "02-30-22").otherwise(_export_date("o_orderdate")),
-            "Status": F.when(status == "F", "Cancelled - by buyer")
-            .when(status == "O", "Shipped")
-            .otherwise("Pending"),
-            "Fulfilment": F.when(
-                F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), " Merchant"
-            ).otherwise("Own"),
-            "ship-service-level": F.when(
-                F.col("o_orderpriority") == "5-LOW", "Expedited"
-            ).otherwise("standard "),
-            "SKU": F.when(key % 53 == 0, " ").otherwise(
-                F.concat(F.lit(" Sku-"), (F.col("o_custkey") % 20).cast("string"))
-            ),
-            "Courier Status": F.when(status == "O", "shipped ").otherwise("Not Shipped"),
-            "Qty": F.lit("1"),
-            "Amount": F.when(key % 37 == 0, "")
-            .when(key % 41 == 0, "abc")
-            .otherwise(F.col("o_totalprice").cast("string")),
-            "ship-city": F.when((F.col("c_mktsegment") == "BUILDING") & (key % 5 == 0), F.lit(None))
-            .when(key % 19 == 0, "  ")
-            .when(key % 2 == 0, F.concat("n_name", F.lit(" "), F.lower("c_mktsegment")))
-            .otherwise(F.concat("n_name", F.lit(" "), "c_mktsegment", F.lit("  "))),
-            "ship-state": F.when(key % 23 != 0, F.concat(F.lit(" "), F.lower("n_name"))),
-            "promotion-ids": _promotion_list(),
-        },
-        needed,
-    )
+    values = {
+        "index": key.cast("string"),
+        "Order ID": F.concat(F.lit("O-"), key.cast("string")),
+        "Date": F.when(key % 101 == 0, "02-30-22").otherwise(_export_date("o_orderdate")),
+        "Status": F.when(status == "F", "Cancelled - by buyer")
+        .when(status == "O", "Shipped")
+        .otherwise("Pending"),
+        "Fulfilment": F.when(
+            F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), " Merchant"
+        ).otherwise("Own"),
+        "ship-service-level": F.when(
+            F.col("o_orderpriority") == "5-LOW", "Expedited"
+        ).otherwise("standard "),
+        "SKU": F.when(key % 53 == 0, " ").otherwise(
+            F.concat(F.lit(" Sku-"), (F.col("o_custkey") % 20).cast("string"))
+        ),
+        "Courier Status": F.when(status == "O", "shipped ").otherwise("Not Shipped"),
+        "Qty": F.lit("1"),
+        "Amount": F.when(key % 37 == 0, "")
+        .when(key % 41 == 0, "abc")
+        .otherwise(F.col("o_totalprice").cast("string")),
+        "ship-city": F.when((F.col("c_mktsegment") == "BUILDING") & (key % 5 == 0), F.lit(None))
+        .when(key % 19 == 0, "  ")
+        .when(key % 2 == 0, F.concat("n_name", F.lit(" "), F.lower("c_mktsegment")))
+        .otherwise(F.concat("n_name", F.lit(" "), "c_mktsegment", F.lit("  "))),
+        "ship-state": F.when(key % 23 != 0, F.concat(F.lit(" "), F.lower("n_name"))),
+        "promotion-ids": _promotion_list(),
+    }
+    return _as_record(orders.select(*[values[name].alias(name) for name in needed]), needed)
