@@ -21,7 +21,7 @@ from ..functions import (
     size_rank,
     trimmed,
 )
-from ..once import with_column_once
+from ..once import keep_whole, with_column_once
 from ..operators import percentiles, promotions, quality, trailing, variety
 from ..plans import best_sizes, median_by_month_state, promotion_spread, qualified_by_city
 from ..plans.cancellations import qualified_shares
@@ -250,9 +250,10 @@ def count_ledger(spark, sf_dir):
 
 def window_ledger(spark, sf_dir):
     rows = window_rows(_checked_lines(spark, sf_dir), keep=("fault",))
-    lengths = trailing.window_lengths(trailing.bought_counts(rows), CUTOFF)
+    fates = keep_whole(quality.window_fates(rows))
+    lengths = trailing.window_lengths(quality.bought_fates(fates), CUTOFF)
     # One state is taken out of the lookup so that the miss shows in the ledger.
-    return quality.window_ledger(rows, lengths.filter(F.col("state") != "NATION_7"))
+    return quality.window_ledger(fates, lengths.filter(F.col("state") != "NATION_7"))
 
 
 def variety_ledger(spark, sf_dir):

@@ -16,14 +16,16 @@ def parse_date(c: Column) -> Column:
 
 
 def parse_date_clamped(c: Column) -> Column:
-    """As parse_date, but days 29 to 31 missing from a month mean its last day."""
+    """As parse_date, but control characters are trimmed too, and days 29 to 31
+    missing from a month mean its last day."""
     text = trim_blanks(c)
     first = F.concat(
         F.lit("20"), F.substring(text, 7, 2), F.lit("-"), F.substring(text, 1, 2), F.lit("-01")
     ).try_cast("date")
+    # Clean text stops at the first step; the others run for the rest only.
     return F.coalesce(
+        parse_date(c),
         F.try_to_date(text, DATE_PATTERN),
-        # Reached only by text that is no calendar day.
         F.when(text.rlike("^[0-9]{2}-(29|30|31)-[0-9]{2}$"), F.last_day(first)),
     )
 

@@ -40,13 +40,17 @@ def approx_thresholds(
 
     One bounded sketch per group and task is shuffled, never the rows.
     """
-    return orders.groupBy(*GROUP).agg(
+    # All fractions in one call share one sketch.
+    wanted = F.array(*[F.lit(fraction) for fraction in fractions.values()])
+    sketched = orders.groupBy(*GROUP).agg(
+        F.percentile_approx("promotion_count", wanted, accuracy).alias("values")
+    )
+    return sketched.select(
+        *GROUP,
         *[
-            F.percentile_approx("promotion_count", fraction, accuracy)
-            .cast("double")
-            .alias(f"{name}_approx_threshold")
-            for name, fraction in fractions.items()
-        ]
+            F.col("values")[place].cast("double").alias(f"{name}_approx_threshold")
+            for place, name in enumerate(fractions)
+        ],
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import codes
 from ..functions.text import is_present
 
 MIN_DAYS = 2
@@ -14,8 +13,11 @@ MIN_PROMOTIONS = 3
 
 def explode_promotions(orders: DataFrame, keep: tuple[str, ...] = ("row_id",)) -> DataFrame:
     """One row per promotion code of a dated order; repeats within an order kept."""
-    return orders.filter(F.col("order_date").isNotNull()).select(
-        *keep, "order_date", F.explode(codes(F.col("promotion_ids_raw"))).alias("promo")
+    # A missing list explodes to nothing. A filter on the date would parse it once more.
+    listed = F.when(F.col("order_date").isNotNull(), F.split(F.col("promotion_ids_raw"), ","))
+    codes = orders.select(*keep, "order_date", F.explode(listed).alias("code"))
+    return codes.select(*keep, "order_date", F.trim("code").alias("promo")).filter(
+        F.length("promo") > 0
     )
 
 

@@ -86,26 +86,35 @@ def variety_reason() -> Column:
     )
 
 
-def window_ledger(rows: DataFrame, lengths: DataFrame) -> DataFrame:
+def window_fates(rows: DataFrame) -> DataFrame:
+    """state, reason, n, no_amount: the ledger before the lookup, one row per state and reason."""
+    return rows.groupBy("state", window_reason().alias("reason")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("amount").isNull()).alias("no_amount")
+    )
+
+
+def bought_fates(fates: DataFrame) -> DataFrame:
+    """state, n: the bought rows per state, whatever became of them afterwards."""
+    bought = fates.filter(F.col("reason").isin("source", "missing_size", "invalid_date"))
+    return bought.groupBy("state").agg(F.sum("n").alias("n"))
+
+
+def window_ledger(fates: DataFrame, lengths: DataFrame) -> DataFrame:
     """Ledger of the trailing window, with the rows each reason sends on.
 
     The lookup is joined to the counts per (state, reason), not to the lines.
     """
-    per_state = rows.groupBy("state", window_reason().alias("reason")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("amount").isNull()).alias("no_amount")
-    )
-    known = per_state.join(lengths.select("state", "window_days"), "state", "left")
+    known = fates.join(lengths.select("state", "window_days"), "state", "left")
     has_state = is_present(F.col("state")) & F.col("window_days").isNull()
     reason = F.when(has_state, "state_not_in_lookup").otherwise(F.col("reason"))
     is_source = F.col("reason") == "source"
+    emitted = F.when(is_source, F.col("n") * F.col("window_days")).otherwise(0)
     return (
         known.withColumn("reason", reason)
         .groupBy("reason")
         .agg(
             F.sum("n").alias("n"),
-            F.sum(F.when(is_source, F.col("n") * F.col("window_days")).otherwise(0)).alias(
-                "emitted_rows"
-            ),
+            F.sum(emitted).alias("emitted_rows"),
             F.sum(F.when(is_source, F.col("no_amount")).otherwise(0)).alias("rows_without_amount"),
         )
     )

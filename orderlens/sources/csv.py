@@ -26,24 +26,29 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
-def _line_fault(line: Column, width: int) -> Column:
-    masked = F.when(
-        line.contains('"'), F.regexp_replace(line, _QUOTED_FIELD, f"$1{_MARK}")
-    ).otherwise(line)
+def _mask_quoted(line: Column) -> Column:
+    masked = F.regexp_replace(line, _QUOTED_FIELD, f"$1{_MARK}")
+    return F.when(line.contains('"'), masked).otherwise(line)
+
+
+def _line_fault(line: Column, masked: Column, width: int) -> Column:
     commas = F.length(masked) - F.length(F.replace(masked, F.lit(","), F.lit("")))
     return (
-        F.when(line.startswith(HEADER_PREFIX), F.lit("header"))
-        .when((line == "") | (line.contains('"') & masked.rlike(_BAD_QUOTING)), F.lit("bad_csv"))
-        .when(commas != width - 1, F.lit("wrong_column_count"))
+        F.when(line.startswith(HEADER_PREFIX), "header")
+        .when((line == "") | (line.contains('"') & masked.rlike(_BAD_QUOTING)), "bad_csv")
+        .when(commas != width - 1, "wrong_column_count")
     )
 
 
 def classify_lines(lines: DataFrame, width: int = len(COLUMNS)) -> DataFrame:
-    """Adds `fault`: header, bad_csv, wrong_column_count, or NULL for a usable record.
+    """value and `fault`: header, bad_csv, wrong_column_count, or NULL for a usable record.
 
     Headers are recognised on any line, so concatenated or split files are fine.
     """
-    return with_column_once(lines, "fault", _line_fault(F.col("value"), width))
+    line = F.col("value")
+    masked = with_column_once(lines.select("value"), "masked", _mask_quoted(line))
+    judged = with_column_once(masked, "fault", _line_fault(line, F.col("masked"), width))
+    return judged.drop("masked")
 
 
 def parse_lines(classified: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from ..functions import (
     trimmed,
 )
 from ..functions.text import is_present
-from ..once import select_once
+from ..once import select_once, with_column_once
 
 
 def window_rows(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -28,7 +28,7 @@ def window_rows(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         *keep,
         key_text(F.col("ship-state")).alias("state"),
         key_text(F.col("Size")).alias("size"),
-        key_text(F.col("Status")).alias("status"),
+        label_text(F.col("Status")).alias("status"),
         parse_int(F.col("Qty")).alias("qty"),
         parse_date_clamped(F.col("Date")).alias("order_date"),
         money(F.col("Amount")).alias("amount"),
@@ -67,22 +67,16 @@ def cancellation_rows(raw: DataFrame) -> DataFrame:
 
 def spread_rows(raw: DataFrame) -> DataFrame:
     """row_id, sku, month, amount, promotion_count; rows lacking id, date or SKU dropped."""
+    # The date decides on the row and gives the month; it is parsed once for both.
+    dated = with_column_once(raw, "order_date", parse_date(F.col("Date")))
     return (
-        raw.select(
+        dated.filter(F.col("order_date").isNotNull())
+        .select(
             parse_id(F.col("index")).alias("row_id"),
-            parse_date(F.col("Date")).alias("order_date"),
             trimmed(F.col("SKU")).alias("sku"),
+            month_of(F.col("order_date")).alias("month"),
             money(F.col("Amount")).alias("amount"),
             code_count(F.col("promotion-ids")).alias("promotion_count"),
         )
-        .filter(
-            F.col("row_id").isNotNull() & F.col("order_date").isNotNull() & is_present(F.col("sku"))
-        )
-        .select(
-            "row_id",
-            "sku",
-            month_of(F.col("order_date")).alias("month"),
-            "amount",
-            "promotion_count",
-        )
+        .filter(F.col("row_id").isNotNull() & is_present(F.col("sku")))
     )

@@ -139,11 +139,11 @@ def raw_lines(
 def _promotion_list() -> Column:
     """Up to six codes near the customer key, ' ,' between them; repeats and blanks occur."""
     key = F.col("o_orderkey")
-    listed = F.transform(
-        F.sequence(F.lit(1), (key % 7).cast("int")),
-        lambda i: F.concat(F.lit("P"), (F.col("o_custkey") + i * i).cast("string")),
-    )
-    text = F.array_join(listed, " ,")
+    listed = [
+        F.when(key % 7 >= i, F.concat(F.lit("P"), (F.col("o_custkey") + i * i).cast("string")))
+        for i in range(1, 7)
+    ]
+    text = F.concat_ws(" ,", *listed)
     text = F.when(
         key % 11 == 0, F.concat(text, F.lit(",P"), (F.col("o_custkey") + 1).cast("string"))
     ).otherwise(text)

@@ -61,8 +61,11 @@ def test_count_ledger_covers_every_line(checked):
 
 def test_window_ledger_with_a_state_missing_from_the_lookup(spark, checked):
     rows = window_rows(checked, ("fault",))
-    lengths = trailing.window_lengths(trailing.bought_counts(rows)).filter("state = 'S'")
-    ledger = quality.window_ledger(rows, lengths)
+    fates = quality.window_fates(rows)
+    counts = trailing.bought_counts(rows)
+    assert sorted(quality.bought_fates(fates).collect()) == sorted(counts.collect())
+    lengths = trailing.window_lengths(counts).filter("state = 'S'")
+    ledger = quality.window_ledger(fates, lengths)
     assert reasons(ledger) == {
         "header": 1, "wrong_column_count": 1, "bad_csv": 2, "missing_state": 1, "not_bought": 3,
         "missing_size": 1, "invalid_date": 1, "state_not_in_lookup": 1, "source": 3,
