@@ -6,9 +6,6 @@ cleaning, stated from the typed tables rather than parsed from text.
 
 from __future__ import annotations
 
-CUTOFF = 1200
-MIN_DAYS = 2200
-
 _LINE = """
 line AS (
   SELECT l_orderkey, l_linenumber, l_partkey,
@@ -265,22 +262,24 @@ def _report() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    prepared = f"WITH {_SPREAD} SELECT row_id, sku, month, amount, promotion_count FROM prepared"
+    prepared = f"""WITH {_SPREAD} SELECT row_id, sku, month, CAST(amount AS DOUBLE) AS amount,
+                   promotion_count FROM prepared"""
     shares = f"""WITH {_CANCEL} SELECT city, cancelled_standard_count, qualified_order_count,
                  percentage FROM shares"""
     medians = f"""WITH {_STYLE} SELECT month, state, median(variety) AS median,
                   count(*) AS style_count FROM styles GROUP BY month, state"""
+    winners = f"""
+            WITH {_STATS} SELECT state, window_date, size, frequency, variance, amount_count,
+              window_days FROM stats
+            QUALIFY row_number() OVER (PARTITION BY state, window_date
+                                       ORDER BY frequency DESC, variance, size) = 1"""
     return {
         "q01_bought_by_state": f"WITH {_LINE} SELECT state, n FROM counts",
         "q02_window_length_by_state": f"WITH {_LINE} SELECT state, n, window_days FROM lengths",
         "q03_trailing_size_stats": f"""
             WITH {_STATS} SELECT state, window_date, size, frequency, variance, amount_count,
               window_days FROM stats""",
-        "q04_trailing_winners": f"""
-            WITH {_STATS} SELECT state, window_date, size, frequency, variance, amount_count,
-              window_days FROM stats
-            QUALIFY row_number() OVER (PARTITION BY state, window_date
-                                       ORDER BY frequency DESC, variance, size) = 1""",
+        "q04_trailing_winners": winners,
         "q05_tied_top_sizes": f"""
             WITH {_STATS}, top AS (
               SELECT state, window_date FROM stats
@@ -408,5 +407,6 @@ def oracle_sql() -> dict[str, str]:
             WITH {_FAULT} SELECT fault AS reason, count(*) AS n FROM faulty
             WHERE fault IN ('bad_csv', 'wrong_column_count') GROUP BY fault""",
         "q24_text_sink": medians,
+        "q24_winners_text_sink": winners,
         "q24_parquet_sink": shares,
     }

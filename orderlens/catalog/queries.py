@@ -77,6 +77,11 @@ def _spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_rows(raw_orders(spark, sf_dir, SPREAD_COLUMNS))
 
 
+def _as_double(rows: DataFrame) -> DataFrame:
+    """Amounts as doubles, the type every reader of the results agrees on."""
+    return rows.withColumn("amount", F.col("amount").cast("double"))
+
+
 def bought_by_state(spark, sf_dir):
     return trailing.bought_counts(window_rows(raw_lines(spark, sf_dir, COUNT_COLUMNS)))
 
@@ -158,7 +163,7 @@ def promotion_profile(spark, sf_dir):
 
 
 def promotions_per_order(spark, sf_dir):
-    return _spread(spark, sf_dir)
+    return _as_double(_spread(spark, sf_dir))
 
 
 def approx_thresholds(spark, sf_dir):
@@ -301,7 +306,7 @@ def csv_round_trip(spark, sf_dir):
     raw.write.mode("overwrite").options(header=True, escape='"', **spaces).csv(text)
     again = require_width(read_permissive(spark, text))
     require_columns(again, [*CANCELLATION_COLUMNS, *SPREAD_COLUMNS])
-    return land(spread_rows(again), f"{work_folder(spark, 'csv_round_trip')}/parquet")
+    return _as_double(land(spread_rows(again), f"{work_folder(spark, 'csv_round_trip')}/parquet"))
 
 
 def strict_round_trip(spark, sf_dir):
@@ -328,10 +333,21 @@ def text_sink(spark, sf_dir):
     return spark.read.schema(schema).csv(path)
 
 
+def winners_text_sink(spark, sf_dir):
+    """Trailing winners through the same sink; an unknown variance is written as Infinity."""
+    path = f"{work_folder(spark, 'winners_text_sink')}/text"
+    write_text(trailing_winners(spark, sf_dir), path, order_by=trailing.STATE_DAY)
+    schema = (
+        "state STRING, window_date DATE, size STRING, frequency BIGINT, variance DOUBLE,"
+        " amount_count BIGINT, window_days INT"
+    )
+    return spark.read.schema(schema).csv(path)
+
+
 def parquet_sink(spark, sf_dir):
-    """City shares through the single-file Parquet sink."""
+    """City shares through the Parquet sink."""
     path = f"{work_folder(spark, 'parquet_sink')}/parquet"
-    write_parquet(cancellations_by_city(spark, sf_dir), path, single_file=True)
+    write_parquet(cancellations_by_city(spark, sf_dir), path)
     return spark.read.parquet(path)
 
 
@@ -373,5 +389,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q24_strict_round_trip": strict_round_trip,
         "q24_quarantined_lines": quarantined_lines,
         "q24_text_sink": text_sink,
+        "q24_winners_text_sink": winners_text_sink,
         "q24_parquet_sink": parquet_sink,
     }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import code_count
 from ..operators import promotions as promo
+from ..operators.quality import require_unique
 from ..sources import cancellation_rows
 
 
@@ -49,7 +50,16 @@ def qualified_shares(
 
 
 def qualified_by_city(
-    raw: DataFrame, min_days: int = promo.MIN_DAYS, min_promotions: int = promo.MIN_PROMOTIONS
+    raw: DataFrame,
+    min_days: int = promo.MIN_DAYS,
+    min_promotions: int = promo.MIN_PROMOTIONS,
+    check_ids: bool = False,
 ) -> DataFrame:
-    """The same from raw text columns; row ids are expected to be unique."""
-    return qualified_shares(cancellation_rows(raw), min_days, min_promotions)
+    """The same from raw text columns.
+
+    Row ids must be present and unique; `check_ids` runs one aggregation to make sure.
+    """
+    orders = cancellation_rows(raw)
+    if check_ids:
+        require_unique(orders)
+    return qualified_shares(orders, min_days, min_promotions)

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from ..operators import percentiles
+from ..operators.quality import require_unique
 from ..sources import spread_rows
 
 
@@ -14,12 +15,16 @@ def promotion_spread(
     raw: DataFrame,
     fractions: Mapping[str, float] = percentiles.FRACTIONS,
     accuracy: int = percentiles.ACCURACY,
+    check_ids: bool = False,
 ) -> DataFrame:
     """Both summaries per (sku, month) with their differences.
 
     The histogram appears in both summaries; Spark shuffles it once and reuses it.
+    `check_ids` runs one aggregation to make sure that row ids are unique.
     """
     orders = spread_rows(raw)
+    if check_ids:
+        require_unique(orders)
     return percentiles.compare_methods(
         percentiles.approx_summary(orders, fractions, accuracy),
         percentiles.exact_summary(orders, fractions),

@@ -18,8 +18,11 @@ def write_text(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
 
 
 def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Parquet; `single_file` funnels everything through one task, for small results only."""
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").parquet(path)
+    """Parquet; `single_file` passes the result through one task, for small reports only.
+
+    A repartition leaves the stages before it as wide as they are; coalesce would not.
+    """
+    (df.repartition(1) if single_file else df).write.mode("overwrite").parquet(path)
 
 
 def land(df: DataFrame, path: str) -> DataFrame:

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from ..once import select_once
 from .contract import COLUMNS
 
+# A scan with this many splits is left as it is, however many cores there are.
+ENOUGH_SPLITS = 32
+
 # Size labels by quantity modulo 11.
 SIZE_LABELS = ("XS", "S", "M", "L", "XL", "XXL", "3XL", "4XL", "5XL", "6XL", "FREE")
 
@@ -55,13 +58,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deals rows out to all cores when the scan has fewer splits than there are cores.
+    """Deals out the rows of a scan that has fewer splits than there are cores.
 
     A small file is a single split, and one core would do all the cleaning.
-    Inputs with enough splits, which is every large one, pass through untouched.
+    Anything beyond a few gigabytes has enough splits and passes through untouched.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, ENOUGH_SPLITS)
+    return df.repartition(wanted, *keys) if df.rdd.getNumPartitions() < wanted else df
 
 
 def _as_record(df: DataFrame, needed: Collection[str]) -> DataFrame:
@@ -139,17 +142,20 @@ def raw_lines(
 def _promotion_list() -> Column:
     """Up to six codes near the customer key, ' ,' between them; repeats and blanks occur."""
     key = F.col("o_orderkey")
-    listed = [
-        F.when(key % 7 >= i, F.concat(F.lit("P"), (F.col("o_custkey") + i * i).cast("string")))
-        for i in range(1, 7)
-    ]
-    text = F.concat_ws(" ,", *listed)
-    text = F.when(
-        key % 11 == 0, F.concat(text, F.lit(",P"), (F.col("o_custkey") + 1).cast("string"))
-    ).otherwise(text)
-    text = F.when(key % 13 == 0, F.concat(text, F.lit(", ,,"))).otherwise(text)
+
+    def code(step: int) -> Column:
+        return F.concat(F.lit("P"), (F.col("o_custkey") + step).cast("string"))
+
+    listed = F.concat_ws(
+        " ,",
+        *[F.when(key % 7 >= i, code(i * i)) for i in range(1, 7)],
+        F.when(key % 11 == 0, code(1)),
+        F.when(key % 13 == 0, F.lit(", ,")),
+    )
     return (
-        F.when(key % 49 == 0, F.lit(None)).when(key % 49 == 7, ",,").when(key % 7 != 0, text)
+        F.when(key % 49 == 0, F.lit(None))
+        .when(key % 49 == 7, ",,")
+        .when(key % 7 != 0, listed)
         .otherwise("  ")
     )
 

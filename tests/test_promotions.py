@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import promotions as promo
 from orderlens.operators.quality import promotion_profile
-from orderlens.plans import qualified_by_city
+from orderlens.plans import promotion_spread, qualified_by_city
 from orderlens.plans.cancellations import qualified_shares
 from orderlens.sources import cancellation_rows
 
@@ -178,3 +178,14 @@ def test_plan_equals_the_operators_one_by_one(spark, raw, threshold):
         assert metrics["qualified_rows"] == flagged.filter("is_qualified").count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default)
+
+
+def test_ids_are_checked_on_request(raw):
+    with pytest.raises(ValueError, match="1 null or non-numeric"):
+        qualified_by_city(raw([order(1), order("x")]), check_ids=True)
+    with pytest.raises(ValueError, match="1 ids occur more than once"):
+        qualified_by_city(raw([order(1), order(1)]), check_ids=True)
+    assert qualified_by_city(raw([order(1), order(2)]), check_ids=True).count() == 1
+    sold = [{**order(i), "SKU": "k"} for i in (1, 1, "x")]
+    with pytest.raises(ValueError, match="1 ids occur more than once"):
+        promotion_spread(raw(sold), check_ids=True)
