@@ -24,7 +24,7 @@ from ..functions import (
 from ..once import keep_whole, with_column_once
 from ..operators import percentiles, promotions, quality, trailing, variety
 from ..plans import best_sizes, median_by_month_state, promotion_spread, qualified_by_city
-from ..plans.cancellations import qualified_shares
+from ..plans.cancellations import qualified_orders
 from ..plans.look_back import size_stats
 from ..sources import (
     cancellation_rows,
@@ -157,7 +157,7 @@ def promotion_profile(spark, sf_dir):
         orders,
         promotions.promotion_periods(promotions.explode_promotions(orders)),
         promotions.state_averages(orders),
-        qualified_shares(orders, MIN_DAYS),
+        qualified_orders(orders, MIN_DAYS),
         MIN_DAYS,
     )
 

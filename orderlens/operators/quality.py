@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_present
+from ..once import keep_whole
 from .percentiles import GROUP
 from .promotions import cancelled_standard
 from .trailing import is_bought
@@ -143,24 +144,34 @@ def promotion_profile(
     orders: DataFrame,
     periods: DataFrame,
     averages: DataFrame,
-    shares: DataFrame,
+    qualified: DataFrame,
     min_days: int,
 ) -> DataFrame:
-    """Seven sanity counts as (metric, value)."""
+    """Seven sanity counts as (metric, value).
+
+    The averages are kept whole so that their shuffle is the one `qualified` uses.
+    """
     codes = periods.agg(
         F.count(F.lit(1)).alias("promotion_codes"),
         F.count_if(F.col("active_days") >= min_days).alias("valid_promotion_codes"),
     )
-    with_list = cancelled_standard(orders).agg(
-        F.count_if(is_present(F.trim("promotion_ids_raw"))).alias("cancelled_with_promotions")
+    states = keep_whole(averages).agg(F.count(F.lit(1)).alias("state_averages"))
+    by_city = (
+        cancelled_standard(orders)
+        .groupBy("city")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(is_present(F.trim("promotion_ids_raw"))).alias("listed"),
+        )
     )
-    states = averages.agg(F.count(F.lit(1)).alias("state_averages"))
-    cities = shares.agg(
+    nothing = F.lit(0).cast("bigint")
+    cities = by_city.agg(
         F.count(F.lit(1)).alias("cancelled_cities"),
-        F.coalesce(F.sum("cancelled_standard_count"), F.lit(0)).alias("cancelled_standard_rows"),
-        F.coalesce(F.sum("qualified_order_count"), F.lit(0)).alias("qualified_rows"),
+        F.coalesce(F.sum("n"), nothing).alias("cancelled_standard_rows"),
+        F.coalesce(F.sum("listed"), nothing).alias("cancelled_with_promotions"),
     )
-    parts = [_as_metrics(part) for part in (codes, with_list, states, cities)]
+    found = qualified.agg(F.count(F.lit(1)).alias("qualified_rows"))
+    parts = [_as_metrics(part) for part in (codes, states, cities, found)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from orderlens.operators import promotions as promo
 from orderlens.operators.quality import promotion_profile
 from orderlens.plans import promotion_spread, qualified_by_city
-from orderlens.plans.cancellations import qualified_shares
+from orderlens.plans.cancellations import qualified_orders, qualified_shares
 from orderlens.sources import cancellation_rows
 
 DAY = date(2022, 4, 1)
@@ -167,7 +167,11 @@ def test_plan_equals_the_operators_one_by_one(spark, raw, threshold):
         direct = qualified_shares(orders, 38)
         assert sorted(map(str, stepwise.collect())) == sorted(map(str, direct.collect()))
         profile = promotion_profile(
-            orders, promo.promotion_periods(exploded), promo.state_averages(orders), direct, 38
+            orders,
+            promo.promotion_periods(exploded),
+            promo.state_averages(orders),
+            qualified_orders(orders, 38),
+            38,
         )
         metrics = {r["metric"]: r["value"] for r in profile.collect()}
         base = promo.cancelled_standard(orders)
