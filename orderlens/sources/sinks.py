@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+SETTING = "spark.checkpoint.dir"
+LOCAL_SHARED = "/tmp/checkpoints"
+
 
 def write_text(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
     """Comma-joined lines without a header, in key order when asked.
@@ -36,14 +39,15 @@ def land(df: DataFrame, path: str) -> DataFrame:
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A folder of this application under the cluster's shared checkpoint folder.
+    """A new folder below the cluster's shared checkpoint folder; every call gives another one.
 
-    Only a local session, where driver and executors share one disk, falls back
-    to a temporary folder when that setting is absent.
+    A local session without that setting gets `LOCAL_SHARED` as its setting: driver and executors share one
+    disk there.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get(SETTING, None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
-        return tempfile.mkdtemp(prefix=f"orderlens-{name}-")
-    return f"{shared.rstrip('/')}/orderlens/{spark.sparkContext.applicationId}/{name}"
+            raise ValueError(f"Set {SETTING} to a folder all executors share.")
+        shared = LOCAL_SHARED
+        spark.conf.set(SETTING, shared)
+    return f"{shared.rstrip('/')}/orderlens/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"

@@ -140,11 +140,16 @@ def test_sinks_replace_output_and_keep_order(spark, tmp_path):
 def test_work_folder_follows_the_shared_setting():
     def session(master, settings):
         context = SimpleNamespace(master=master, applicationId="app-1")
-        conf = SimpleNamespace(get=lambda key, default: settings.get(key, default))
+        conf = SimpleNamespace(
+            get=lambda key, default: settings.get(key, default), set=settings.__setitem__
+        )
         return SimpleNamespace(sparkContext=context, conf=conf)
 
     shared = session("yarn", {"spark.checkpoint.dir": "/shared/points/"})
-    assert work_folder(shared, "x") == "/shared/points/orderlens/app-1/x"
+    first, second = work_folder(shared, "x"), work_folder(shared, "x")
+    assert first.startswith("/shared/points/orderlens/app-1/x-") and first != second
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_folder(session("yarn", {}), "x")
-    assert "orderlens-x-" in work_folder(session("local[2]", {}), "x")
+    settings = {}
+    assert work_folder(session("local[2]", settings), "x").startswith("/tmp/checkpoints/")
+    assert settings == {"spark.checkpoint.dir": "/tmp/checkpoints"}
