@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sentence_pieces, token_counts, workers
+from ..sources.sinks import work_folder
+from . import sentence_pieces, token_counts, token_files, workers
 
+BYTES = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 
@@ -19,6 +21,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document, from the files read back: first position, ids with the end id, and their digest."""
+    path = work_folder(spark, "token_files")
+    token_files.write(_table(spark, sf_dir, "documents"), path, public_tokenizers.path(BYTES), end_id=0)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: ids by their count and a digest, and the decoded text by its digest; round_trip compares it with the text."""
     path = public_tokenizers.path(PIECES)
@@ -42,6 +51,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_token_files": op5_token_files,
         "op9_sentence_pieces": op9_sentence_pieces,
         "op10_token_counts": op10_token_counts,
     }
