@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.sinks import work_folder
-from . import sentence_pieces, token_counts, token_files, workers
+from . import sentence_pieces, substring_dedup, token_counts, token_files, workers
 
 BYTES = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -21,6 +21,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: words, words under a repeated window of 20, and the digest of the kept words."""
+    kept = substring_dedup.remove_repeated(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document, from the files read back: first position, ids with the end id, and their digest."""
     path = work_folder(spark, "token_files")
@@ -51,6 +57,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
         "op5_token_files": op5_token_files,
         "op9_sentence_pieces": op9_sentence_pieces,
         "op10_token_counts": op10_token_counts,
