@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.sinks import work_folder
-from . import sentence_pieces, substring_dedup, token_counts, token_files, workers
+from . import sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files, workers
 
 BYTES = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -34,6 +34,12 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: bytes, bytes under a 50-byte string of an earlier document, their runs, and the digest of the rest."""
+    kept = suffix_dedup.remove_repeated(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: ids by their count and a digest, and the decoded text by its digest; round_trip compares it with the text."""
     path = public_tokenizers.path(PIECES)
@@ -59,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
         "op5_token_files": op5_token_files,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op9_sentence_pieces": op9_sentence_pieces,
         "op10_token_counts": op10_token_counts,
     }
