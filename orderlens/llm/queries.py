@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.sinks import work_folder
-from . import sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files, workers
+from . import quality_rules, sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files, workers
 
 BYTES = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -27,6 +27,13 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: counts, the base rule, and the verdict of the thresholds of its language and source."""
+    found = quality_rules.verdicts(_table(spark, sf_dir, "documents"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *counts, "base_failed", "kept")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document, from the files read back: first position, ids with the end id, and their digest."""
     path = work_folder(spark, "token_files")
@@ -64,6 +71,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op3_quality_rules": op3_quality_rules,
         "op5_token_files": op5_token_files,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op9_sentence_pieces": op9_sentence_pieces,
@@ -72,4 +80,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_quality_rules": quality_rules.ORACLE_SQL}
