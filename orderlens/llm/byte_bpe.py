@@ -16,6 +16,8 @@ from tokenizers import Tokenizer
 from .buffers import IS_BLANK, ranges
 from .memo import UnitMemo
 
+AT_ONCE = 2048
+
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _PUNCTUATION = np.zeros(256, bool)
@@ -45,10 +47,13 @@ class ByteBpe:
         self.memo = UnitMemo(self._encode, np.int32)
 
     def _encode(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = self.tokenizer.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)
-        rows = [x.ids for x in found]
-        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-        return np.fromiter((i for row in rows for i in row), np.int32, int(sizes.sum())), sizes
+        ids, sizes = [np.zeros(0, np.int32)], np.zeros(len(units), np.int64)
+        for k in range(0, len(units), AT_ONCE):  # the library's results take far more room than the ids
+            some = [u.decode() for u in units[k : k + AT_ONCE]]
+            rows = [x.ids for x in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            sizes[k : k + len(rows)] = list(map(len, rows))
+            ids.append(np.fromiter((i for row in rows for i in row), np.int32))
+        return np.concatenate(ids), sizes
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all whole texts one after the other, and how many each text has."""

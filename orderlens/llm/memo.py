@@ -15,7 +15,7 @@ Encode = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 class UnitMemo:
     """Values of units by two 64-bit hashes in one; forgets everything beyond `most` units, which costs time only."""
 
-    def __init__(self, encode: Encode, dtype: type, most: int = 1_500_000):
+    def __init__(self, encode: Encode, dtype: type, most: int = 600_000):
         self.encode, self.dtype, self.most = encode, dtype, most
         self._clear()
 
