@@ -32,4 +32,4 @@ def joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left"
     right = right.withColumnsRenamed({k: f"__{k}" for k in keys})
     condition = [left[k].eqNullSafe(right[f"__{k}"]) for k in keys]
     out = left.join(right, condition, how)
-    return out.drop(*[f"__{k}" for k in keys])
+    return out.drop(*[f"__{k}" for k in keys]) if how != "left_anti" else out

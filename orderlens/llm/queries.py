@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.sinks import work_folder
-from . import quality_rules, sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files, workers
+from . import decontamination, quality_rules, sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files, workers
 
 BYTES = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -27,6 +27,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document that holds four fifths or more of a benchmark item's five-word shingles, with the item."""
+    return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: counts, the base rule, and the verdict of the thresholds of its language and source."""
     found = quality_rules.verdicts(_table(spark, sf_dir, "documents"))
@@ -71,6 +76,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_decontamination": op2_decontamination,
         "op3_quality_rules": op3_quality_rules,
         "op5_token_files": op5_token_files,
         "op7_suffix_dedup": op7_suffix_dedup,
@@ -80,4 +86,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": quality_rules.ORACLE_SQL}
+    return {"op2_decontamination": decontamination.ORACLE_SQL, "op3_quality_rules": quality_rules.ORACLE_SQL}
