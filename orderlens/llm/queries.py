@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.sinks import work_folder
-from . import decontamination, quality_rules, sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files, workers
+from . import decontamination, quality_rules, sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files, url_filter, workers
 
 BYTES = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -46,6 +46,14 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url. A page's labels are those of its id; toxic or of low quality is bad."""
+    labels = _table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad")
+    )
+    return url_filter.judge(_table(spark, sf_dir, "pages"), labels)
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: bytes, bytes under a 50-byte string of an earlier document, their runs, and the digest of the rest."""
     kept = suffix_dedup.remove_repeated(_table(spark, sf_dir, "documents"))
@@ -79,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontamination": op2_decontamination,
         "op3_quality_rules": op3_quality_rules,
         "op5_token_files": op5_token_files,
+        "op6_url_filter": op6_url_filter,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op9_sentence_pieces": op9_sentence_pieces,
         "op10_token_counts": op10_token_counts,
