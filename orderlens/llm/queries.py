@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.sinks import work_folder
-from . import decontamination, quality_rules, sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files, url_filter, workers
+from . import decontamination, lm_scoring, quality_rules, sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files, url_filter, workers
 
 BYTES = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -60,6 +60,11 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: tokens, tokens known from training, and log10 probabilities by single tokens and by the model."""
+    return lm_scoring.score(_table(spark, sf_dir, "documents"))
+
+
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: ids by their count and a digest, and the decoded text by its digest; round_trip compares it with the text."""
     path = public_tokenizers.path(PIECES)
@@ -89,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_files": op5_token_files,
         "op6_url_filter": op6_url_filter,
         "op7_suffix_dedup": op7_suffix_dedup,
+        "op8_lm_scoring": op8_lm_scoring,
         "op9_sentence_pieces": op9_sentence_pieces,
         "op10_token_counts": op10_token_counts,
     }
