@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.sinks import work_folder
-from . import decontamination, lm_scoring, quality_rules, sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files, url_filter, workers
+from . import decontamination, jaccard_join, lm_scoring, quality_rules, sentence_pieces, substring_dedup, suffix_dedup, token_counts, token_files, url_filter, workers
 
 BYTES = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -39,6 +39,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: set size, least document reached by links, and least document with the same set."""
+    return jaccard_join.join_groups(_table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document, from the files read back: first position, ids with the end id, and their digest."""
     path = work_folder(spark, "token_files")
@@ -91,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_substring_dedup": op1_substring_dedup,
         "op2_decontamination": op2_decontamination,
         "op3_quality_rules": op3_quality_rules,
+        "op4_jaccard_join": op4_jaccard_join,
         "op5_token_files": op5_token_files,
         "op6_url_filter": op6_url_filter,
         "op7_suffix_dedup": op7_suffix_dedup,

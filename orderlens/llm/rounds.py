@@ -96,8 +96,8 @@ def first_pass(blocks: DataFrame, ask: Callable[[pa.Table, int], pa.Table]) -> D
     return blocks.groupBy("block").applyInArrow(lambda t: ask(texts_in_order(t), t["block"][0].as_py()), ASKED)
 
 
-def next_pass(blocks: DataFrame, answers: list[DataFrame], ask: Callable, schema: str) -> DataFrame:
-    """A pass over the blocks with the answers of one or two earlier rounds, told apart by `round`."""
+def next_pass(blocks: DataFrame, answers: list[DataFrame], ask: Callable, schema: str, in_order: bool = True) -> DataFrame:
+    """A pass over the blocks with the answers of earlier rounds. `in_order`: sort the rows as texts first."""
     told, count = None, len(answers)
     for number, df in enumerate(answers):
         df = df.withColumn("round", F.lit(number))
@@ -108,7 +108,7 @@ def next_pass(blocks: DataFrame, answers: list[DataFrame], ask: Callable, schema
             return pa.table({f.name: pa.array([], f.type) for f in _arrow_schema(schema)})
         rounds = said["round"].to_numpy()
         parts = [answers_by_bucket(said.filter(pa.array(rounds == k))) for k in range(count)]
-        return ask(texts_in_order(texts), texts["block"][0].as_py(), *parts)
+        return ask(texts_in_order(texts) if in_order else texts, texts["block"][0].as_py(), *parts)
 
     return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, schema)
 
