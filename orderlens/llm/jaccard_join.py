@@ -410,3 +410,25 @@ def join_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", per
         F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("node")).alias("class_id"),
     )
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
+    """The documents, all their columns, without those that a smaller document id reaches by links.
+
+    Rows without id stay. Of several rows of one id the first by text stays.
+    """
+    groups = landed(join_groups(docs, text, doc_id, percent), "groups")
+    gone = landed(groups.where("component_id <> doc_id").select("doc_id").distinct(), "gone")
+    rest = _without(docs, gone, doc_id)
+    twice = landed(groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated_ids")
+    if twice.isEmpty():
+        return rest
+    own = rest.join(twice.withColumnRenamed("doc_id", "__id"), F.col(doc_id).cast("long") == F.col("__id"), "left_semi")
+    place = F.row_number().over(Window.partitionBy(F.col(doc_id).cast("long")).orderBy(text))
+    return _without(rest, twice, doc_id).unionByName(own.withColumn("__place", place).where("__place = 1").drop("__place"))
+
+
+def _without(docs: DataFrame, ids: DataFrame, doc_id: str) -> DataFrame:
+    ids = ids.withColumnRenamed("doc_id", "__id")
+    ids = F.broadcast(ids) if ids.count() <= SMALL_IDS else ids
+    return docs.join(ids, F.col(doc_id).cast("long") == F.col("__id"), "left_anti")

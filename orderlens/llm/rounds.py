@@ -9,12 +9,14 @@ and a block's answers are no more than its keys.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 ASKED = "bucket long, block long, keys binary, notes binary"
 ANSWERED = "block long, bucket long, said binary"
@@ -27,18 +29,47 @@ def text_bytes(docs: DataFrame, text: str) -> int:
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
 
 
-def blocks_of(docs: DataFrame, doc_id: str, text: str, block_bytes: int) -> tuple[DataFrame, int, int]:
-    """doc_id, text and block, the number of blocks, and the number of partitions. Texts are shuffled once; every pass reuses that."""
+def blocks_of(
+    docs: DataFrame, doc_id: str, text: str, block_bytes: int, carry: Sequence[str] = ()
+) -> tuple[DataFrame, int, int]:
+    """doc_id, text, block and the carried columns, the number of blocks, and the number of partitions.
+
+    Texts are shuffled once; every pass reuses that. Carried columns are named by `carried`.
+    """
     number = max(1, -(-text_bytes(docs, text) // block_bytes))
     parts = max(1, min(number, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4))
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         F.col(text).alias("text"),
         F.pmod(F.xxhash64(F.col(doc_id).cast("long")), F.lit(number)).alias("block"),
+        *[F.col(c).alias(name) for c, name in zip(carry, carried(carry), strict=True)],
     )
     return rows.repartition(parts, "block"), number, parts
 
 
+def carried(carry: Sequence[str]) -> list[str]:
+    """Names that cannot clash with a block's own columns."""
+    return [f"__carried_{k}" for k in range(len(carry))]
+
+
+def result_schema(ddl: str, docs: DataFrame, carry: Sequence[str]) -> T.StructType:
+    """The result's columns and the carried ones, under their inner names."""
+    extra = [T.StructField(name, docs.schema[c].dataType) for c, name in zip(carry, carried(carry), strict=True)]
+    return T.StructType([*T.StructType.fromDDL(ddl).fields, *extra])
+
+
+def with_carried(result: pa.Table, table: pa.Table, carry: Sequence[str]) -> pa.Table:
+    for name in carried(carry):
+        result = result.append_column(name, table[name])
+    return result
+
+
+def named(result: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """The result with its carried columns under their own names; a result column of such a name goes."""
+    own = [c for c in result.columns if c not in carried(carry) and c not in carry]
+    return result.select(*own, *[F.col(name).alias(c) for c, name in zip(carry, carried(carry), strict=True)])
+
+
 def split(order_key: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket of each 64-bit key: even ranges of its leading bits, so sorted keys give sorted buckets."""
     return ((order_key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
@@ -96,8 +127,12 @@ def first_pass(blocks: DataFrame, ask: Callable[[pa.Table, int], pa.Table]) -> D
     return blocks.groupBy("block").applyInArrow(lambda t: ask(texts_in_order(t), t["block"][0].as_py()), ASKED)
 
 
-def next_pass(blocks: DataFrame, answers: list[DataFrame], ask: Callable, schema: str, in_order: bool = True) -> DataFrame:
+def next_pass(
+    blocks: DataFrame, answers: list[DataFrame], ask: Callable, schema: str | T.StructType, in_order: bool = True
+) -> DataFrame:
     """A pass over the blocks with the answers of earlier rounds. `in_order`: sort the rows as texts first."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    empty = to_arrow_schema(schema).empty_table()
     told, count = None, len(answers)
     for number, df in enumerate(answers):
         df = df.withColumn("round", F.lit(number))
@@ -105,16 +140,9 @@ def next_pass(blocks: DataFrame, answers: list[DataFrame], ask: Callable, schema
 
     def run(texts: pa.Table, said: pa.Table) -> pa.Table:
         if not texts.num_rows:
-            return pa.table({f.name: pa.array([], f.type) for f in _arrow_schema(schema)})
+            return empty
         rounds = said["round"].to_numpy()
         parts = [answers_by_bucket(said.filter(pa.array(rounds == k))) for k in range(count)]
         return ask(texts_in_order(texts) if in_order else texts, texts["block"][0].as_py(), *parts)
 
     return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, schema)
-
-
-def _arrow_schema(ddl: str) -> Iterator[pa.Field]:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    return to_arrow_schema(StructType.fromDDL(ddl))

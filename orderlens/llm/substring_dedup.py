@@ -22,20 +22,21 @@ give none.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .buffers import chunks, column_buffer, mix, prefix_sums, ranges, span_hashes, text_hashes, word_spans
-from .rounds import ASKED, blocks_of, first_pass, judged, next_pass, packed_rows, split
+from .rounds import ASKED, blocks_of, first_pass, judged, named, next_pass, packed_rows, result_schema, split, with_carried
 
 WINDOW = 20
 PERIOD = 13
 COVER = (0, 1, 3, 9)
 BLOCK_BYTES = 8 << 20
 
-RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 _LAST = np.iinfo(np.int64).max
 
 
@@ -100,11 +101,16 @@ def remove_repeated(
     period: int = PERIOD,
     cover: tuple[int, ...] = COVER,
     block_bytes: int = BLOCK_BYTES,
+    with_text: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 and kept_text: the kept words joined by one space."""
+    """doc_id, n_words, n_removed and kept_sha256, of the kept words joined by one space; those as kept_text if asked for.
+
+    `carry` names further columns of `docs` to keep; they replace result columns of their names.
+    """
     if not is_cover(cover, period) or period > window:
         raise ValueError("the offsets must cover all differences modulo a period no longer than the window")
-    blocks, number, parts = blocks_of(docs, doc_id, text, block_bytes)
+    blocks, number, parts = blocks_of(docs, doc_id, text, block_bytes, carry)
     size = window - period + 1
 
     def ask_anchors(table: pa.Table, block: int) -> pa.Table:
@@ -146,13 +152,14 @@ def remove_repeated(
         near, _, first, inverse = windows(words, shared)
         again = (earlier[inverse] > 0) | (np.arange(len(near)) != first[inverse])
         gone = words.covered(near[again], window, int(words.firsts[-1]))
-        return _kept(table, words, gone)
+        return with_carried(_kept(table, words, gone, with_text), table, carry)
 
     anchors = first_pass(blocks, ask_anchors)
     shared = judged(anchors, np.dtype("V6"), np.dtype(np.uint8), judge_anchors, parts)
     asked = next_pass(blocks, [shared], ask_windows, ASKED)
     earlier = judged(asked, KEY, np.dtype(np.int64), judge_windows, parts)
-    return next_pass(blocks, [shared, earlier], remove, RESULT)
+    schema = result_schema(RESULT + ", kept_text string" * with_text, docs, carry)
+    return named(next_pass(blocks, [shared, earlier], remove, schema), carry)
 
 
 KEY = np.dtype([("key", "<u8"), ("check", "<u4")])
@@ -186,7 +193,7 @@ def later(keys: np.ndarray, owners: np.ndarray) -> np.ndarray:
     return said
 
 
-def _kept(table: pa.Table, words: _Words, gone: np.ndarray) -> pa.Table:
+def _kept(table: pa.Table, words: _Words, gone: np.ndarray, with_text: bool) -> pa.Table:
     counts = np.diff(words.firsts)
     gone_before = np.append(0, np.cumsum(gone))
     removed = gone_before[words.firsts[1:]] - gone_before[words.firsts[:-1]]
@@ -201,12 +208,12 @@ def _kept(table: pa.Table, words: _Words, gone: np.ndarray) -> pa.Table:
         out[ranges(ends[own] - lengths[own] - 1, lengths[own])] = words.data[ranges(words.starts[kept[own]], lengths[own])]
     raw = out.tobytes()
     texts = [raw[a : max(a, b - 1)] for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)]
-    return pa.table(
+    result = pa.table(
         {
             "doc_id": table["doc_id"],
             "n_words": pa.array(counts, pa.int64()),
             "n_removed": pa.array(removed, pa.int64()),
             "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
-            "kept_text": pa.array([t.decode() for t in texts], pa.string()),
         }
     )
+    return result.append_column("kept_text", pa.array([t.decode() for t in texts], pa.string())) if with_text else result

@@ -22,6 +22,7 @@ Repeated rows therefore stay as they are, and so do texts under 50 bytes. Tables
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .buffers import byte_codes, chunks, column_buffer, mix, prefix_sums, ranges, span_hashes
-from .rounds import ANSWERED, ASKED, blocks_of, first_pass, judged, next_pass, packed_rows, split
+from .rounds import (
+    ANSWERED,
+    ASKED,
+    blocks_of,
+    first_pass,
+    judged,
+    named,
+    next_pass,
+    packed_rows,
+    result_schema,
+    split,
+    with_carried,
+)
 from .substring_dedup import _LAST, KEY, _long, _pair, _short, later
 
 LENGTH = 50
@@ -41,7 +54,7 @@ SAMPLES = 40
 #: Leading bytes that splitters compare.
 TOKEN = 16
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def _least_of(values: np.ndarray, size: int) -> np.ndarray:
@@ -196,11 +209,17 @@ def remove_repeated(
     block_bytes: int = BLOCK_BYTES,
     hot: int = HOT,
     samples: int = SAMPLES,
+    with_kept: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans (runs of removed bytes), kept_sha256 and kept (the remaining bytes)."""
+    """doc_id, n_bytes, n_removed, n_spans (runs of removed bytes) and kept_sha256, of the remaining bytes.
+
+    If asked for, also kept, those bytes, and kept_text, the same as text without characters that a cut broke. `carry`
+    names further columns of `docs` to keep; they replace result columns of their names.
+    """
     if not TOKEN <= lead <= length:
         raise ValueError(f"the leading sequence needs {TOKEN} bytes or more and no more than the string")
-    blocks, number, parts = blocks_of(docs, doc_id, text, block_bytes)
+    blocks, number, parts = blocks_of(docs, doc_id, text, block_bytes, carry)
     cuts = splitters(docs, text, doc_id, number, length, lead, samples)
 
     def ask_leads(table: pa.Table, block: int) -> pa.Table:
@@ -314,7 +333,7 @@ def remove_repeated(
         rest = chosen[open_runs]
         hit = verdicts[ranges(verdict_at[inverse[open_runs]], runs.sizes[rest])]
         starts.append(ranges(runs.starts[rest], runs.sizes[rest])[hit])
-        return _kept(table, runs, np.concatenate(starts), length)
+        return with_carried(_kept(table, runs, np.concatenate(starts), length, with_kept), table, carry)
 
     def judge_by_bucket(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
@@ -331,7 +350,8 @@ def remove_repeated(
     settled = asked.repartition(parts, "bucket").groupBy("bucket").applyInArrow(judge_by_bucket, ANSWERED).repartition(parts, "block")
     suffixes = next_pass(blocks, [shared, settled], ask_suffixes, f"{ASKED}, sizes binary")
     compared = suffixes.repartition(parts, "bucket").groupBy("bucket").applyInArrow(judge_suffixes, ANSWERED).repartition(parts, "block")
-    return next_pass(blocks, [shared, settled, compared], remove, RESULT)
+    schema = result_schema(RESULT + ", kept binary, kept_text string" * with_kept, docs, carry)
+    return named(next_pass(blocks, [shared, settled, compared], remove, schema), carry)
 
 
 def _by_lead(runs: _Runs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -359,23 +379,28 @@ def _suffix_rows(block, spot, runs: _Runs, starts, sizes, notes, length: int) ->
     )
 
 
-def _kept(table: pa.Table, runs: _Runs, starts: np.ndarray, length: int) -> pa.Table:
+def _kept(table: pa.Table, runs: _Runs, starts: np.ndarray, length: int, with_kept: bool) -> pa.Table:
     total = len(runs.data)
-    steps = np.bincount(starts, minlength=total + 1) - np.bincount(starts + length, minlength=total + 1)
-    gone = np.cumsum(steps[:-1]) > 0
+    steps = np.zeros(total + 1, np.int32)  # a window belongs to one run, so no start comes twice
+    steps[starts] += 1
+    steps[starts + length] -= 1
+    gone = np.cumsum(steps[:-1], dtype=np.int32) > 0
     removed, spans, kept = [], [], []
     for a, b in zip(runs.offsets[:-1].tolist(), runs.offsets[1:].tolist(), strict=True):
         own = gone[a:b]
         removed.append(int(own.sum()))
         spans.append(int(own[:1].sum() + (own[1:] & ~own[:-1]).sum()) if removed[-1] else 0)
         kept.append((runs.data[a:b][~own] if removed[-1] else runs.data[a:b]).tobytes())
-    return pa.table(
+    result = pa.table(
         {
             "doc_id": table["doc_id"],
             "n_bytes": pa.array(np.diff(runs.offsets), pa.int64()),
             "n_removed": pa.array(removed, pa.int64()),
             "n_spans": pa.array(spans, pa.int64()),
             "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in kept], pa.string()),
-            "kept": pa.array(kept, pa.binary()),
         }
     )
+    if with_kept:
+        texts = [t.decode(errors="ignore") for t in kept]
+        result = result.append_column("kept", pa.array(kept, pa.binary())).append_column("kept_text", pa.array(texts, pa.string()))
+    return result
