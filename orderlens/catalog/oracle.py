@@ -229,7 +229,7 @@ usable_counts AS (
 ),
 lookup AS (
   SELECT state, CASE WHEN n > 1200 THEN 5 ELSE 10 END AS window_days
-  FROM usable_counts WHERE state <> 'NATION_7'
+  FROM usable_counts WHERE n > 1200
 )
 """
 )
@@ -280,6 +280,7 @@ def oracle_sql() -> dict[str, str]:
             WITH {_STATS} SELECT state, window_date, size, frequency, variance, amount_count,
               window_days FROM stats""",
         "q04_trailing_winners": winners,
+        "q04_trailing_winners_default": winners.replace("n > 1200", "n > 10000"),
         "q05_tied_top_sizes": f"""
             WITH {_STATS}, top AS (
               SELECT state, window_date FROM stats
@@ -316,6 +317,9 @@ def oracle_sql() -> dict[str, str]:
         "q14_approx_thresholds": f"""
             WITH {_SPREAD} SELECT sku, month, p90_approx_threshold, p80_approx_threshold
             FROM thresholds""",
+        "q14_sketched_thresholds": f"""
+            WITH {_SPREAD} SELECT sku, month, p90_approx_threshold, p80_approx_threshold
+            FROM thresholds""",
         "q15_exact_thresholds": f"""
             WITH {_SPREAD} SELECT sku, month, group_order_count, p90_exact_threshold,
               p80_exact_threshold FROM thresholds""",
@@ -369,6 +373,10 @@ def oracle_sql() -> dict[str, str]:
                 AS emitted_rows,
               count(*) FILTER (reason = 'source' AND amount IS NULL) AS rows_without_amount
             FROM judged GROUP BY reason""",
+        "q22_amount_ledger": """
+            SELECT CASE WHEN l_linenumber = 7 THEN 'missing'
+                        WHEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) <> l_extendedprice THEN 'rounded'
+                        ELSE 'kept' END AS reason, count(*) AS n FROM lineitem GROUP BY 1""",
         "q22_variety_ledger": f"""
             WITH {_FAULT}, judged AS (
               SELECT *, CASE WHEN fault IS NOT NULL THEN fault

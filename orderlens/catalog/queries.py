@@ -24,7 +24,7 @@ from ..functions import (
 from ..once import keep_whole, with_column_once
 from ..operators import percentiles, promotions, quality, trailing, variety
 from ..plans import best_sizes, median_by_month_state, promotion_spread, qualified_by_city
-from ..plans.cancellations import qualified_orders
+from ..plans.cancellations import code_periods, listed_codes, qualified_orders
 from ..plans.look_back import size_stats
 from ..sources import (
     cancellation_rows,
@@ -98,6 +98,11 @@ def trailing_winners(spark, sf_dir):
     return best_sizes(_lines(spark, sf_dir), CUTOFF)
 
 
+def trailing_winners_default(spark, sf_dir):
+    """With the question's own cutoff, which both window lengths meet from sf0.1 on."""
+    return best_sizes(_lines(spark, sf_dir))
+
+
 def tied_top_sizes(spark, sf_dir):
     ties = trailing.tie_groups(size_stats(_lines(spark, sf_dir), CUTOFF))
     return ties.groupBy("tied_sizes").agg(F.count(F.lit(1)).alias("tie_groups"))
@@ -153,13 +158,9 @@ def first_cities(spark, sf_dir):
 
 def promotion_profile(spark, sf_dir):
     orders = _orders(spark, sf_dir)
-    return quality.promotion_profile(
-        orders,
-        promotions.promotion_periods(promotions.explode_promotions(orders)),
-        promotions.state_averages(orders),
-        qualified_orders(orders, MIN_DAYS),
-        MIN_DAYS,
-    )
+    sums, codes = keep_whole(promotions.place_sums(orders)), listed_codes(orders)
+    qualified = qualified_orders(codes, promotions.averages_of(sums), MIN_DAYS)
+    return quality.promotion_profile(sums, code_periods(codes), qualified, MIN_DAYS)
 
 
 def promotions_per_order(spark, sf_dir):
@@ -178,6 +179,10 @@ def approx_spread(spark, sf_dir):
     return percentiles.approx_summary(_spread(spark, sf_dir))
 
 
+def sketched_thresholds(spark, sf_dir):
+    return percentiles.sketched_thresholds(_spread(spark, sf_dir))
+
+
 def exact_spread(spark, sf_dir):
     return percentiles.exact_summary(_spread(spark, sf_dir))
 
@@ -257,8 +262,12 @@ def window_ledger(spark, sf_dir):
     rows = window_rows(_checked_lines(spark, sf_dir), keep=("fault",))
     fates = keep_whole(quality.window_fates(rows))
     lengths = trailing.window_lengths(quality.bought_fates(fates), CUTOFF)
-    # One state is taken out of the lookup so that the miss shows in the ledger.
-    return quality.window_ledger(fates, lengths.filter(F.col("state") != "NATION_7"))
+    # A lookup of the busy states alone, so that the lines of the others show as misses.
+    return quality.window_ledger(fates, lengths.filter(F.col("n") > CUTOFF))
+
+
+def amount_ledger(spark, sf_dir):
+    return quality.amount_report(raw_lines(spark, sf_dir, ("Amount",)))
 
 
 def variety_ledger(spark, sf_dir):
@@ -357,6 +366,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q02_window_length_by_state": window_length_by_state,
         "q03_trailing_size_stats": trailing_size_stats,
         "q04_trailing_winners": trailing_winners,
+        "q04_trailing_winners_default": trailing_winners_default,
         "q05_tied_top_sizes": tied_top_sizes,
         "q06_style_varieties": style_varieties,
         "q07_median_varieties": median_varieties,
@@ -369,6 +379,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q12_promotion_profile": promotion_profile,
         "q13_promotions_per_order": promotions_per_order,
         "q14_approx_thresholds": approx_thresholds,
+        "q14_sketched_thresholds": sketched_thresholds,
         "q15_exact_thresholds": exact_thresholds,
         "q16_approx_spread": approx_spread,
         "q17_exact_spread": exact_spread,
@@ -382,6 +393,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q22_line_faults": line_faults,
         "q22_count_ledger": count_ledger,
         "q22_window_ledger": window_ledger,
+        "q22_amount_ledger": amount_ledger,
         "q22_variety_ledger": variety_ledger,
         "q23_cleaned_lines": cleaned_lines,
         "q23_promotion_codes": promotion_codes,

@@ -2,13 +2,24 @@
 
 from .dates import following_days, month_of, parse_date, parse_date_clamped
 from .lists import code_count, codes
-from .numbers import MONEY, money, parse_double, parse_id, parse_int, population_variance
+from .numbers import (
+    MONEY,
+    SQUARE_SUMS,
+    money,
+    money_fault,
+    parse_double,
+    parse_id,
+    parse_int,
+    population_variance,
+    square_sums,
+)
 from .sizes import SIZE_RANK, at_least_size, size_rank
 from .text import key_text, label_text, trimmed
 
 __all__ = [
     "MONEY",
     "SIZE_RANK",
+    "SQUARE_SUMS",
     "at_least_size",
     "code_count",
     "codes",
@@ -16,6 +27,7 @@ __all__ = [
     "key_text",
     "label_text",
     "money",
+    "money_fault",
     "month_of",
     "parse_date",
     "parse_date_clamped",
@@ -24,5 +36,6 @@ __all__ = [
     "parse_int",
     "population_variance",
     "size_rank",
+    "square_sums",
     "trimmed",
 ]

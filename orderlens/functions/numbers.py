@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Amounts are money. Sums of decimals do not depend on the order of the rows,
 # so ties and `<` tests come out the same under any partitioning.
-MONEY = "decimal(18,2)"
+DIGITS = 18
+SCALE = 2
+MONEY = f"decimal({DIGITS},{SCALE})"
+
+# Squares are summed in three parts: an amount in its smallest unit is high * LIMB + low.
+LIMB = 10**9
+SQUARE_SUMS = ("high", "low", "high_high", "high_low", "low_low")
 
 
 def parse_int(c: Column) -> Column:
@@ -22,22 +30,72 @@ def parse_double(c: Column) -> Column:
     return c.try_cast("double")
 
 
-def money(c: Column) -> Column:
-    """Text amount in exact hundredths; blank, malformed and non-finite become NULL."""
-    return parse_double(c).try_cast(MONEY)
+def money(c: Column, scale: int = SCALE) -> Column:
+    """Text amount in exact units of 10^-scale; blank, malformed and non-finite become NULL.
+
+    `money_fault` says what else the type does to an amount.
+    """
+    return parse_double(c).try_cast(f"decimal({DIGITS},{scale})")
+
+
+def money_fault(c: Column, scale: int = SCALE) -> Column:
+    """NULL for an amount that `money` keeps as it is; else missing, malformed, out_of_range or rounded."""
+    value, kept = parse_double(c), money(c, scale)
+    return (
+        F.when(F.coalesce(F.trim(c), F.lit("")) == "", "missing")
+        .when(value.isNull() | F.isnan(value) | (F.abs(value) == float("inf")), "malformed")
+        .when(kept.isNull(), "out_of_range")
+        .when(kept.cast("double") != value, "rounded")
+    )
+
 
+def square_sums(amount: Column, scale: int = SCALE) -> dict[str, Column]:
+    """Five sums that stand for the sum and the sum of squares and fit 38 digits for any number of rows that can occur.
+
+    The parts of an amount have nine digits or less, so a product has 18 and 10^19 rows are not too many.
+    """
+    units = (amount * F.lit(10**scale)).cast("decimal(20,0)")
+    high = F.floor(units / LIMB).cast("decimal(11,0)")
+    low = (units - high * LIMB).cast("decimal(10,0)")
+    parts = (high, low, high * high, high * low, low * low)
+    return {name: F.sum(part.cast("decimal(24,0)")) for name, part in zip(SQUARE_SUMS, parts, strict=True)}
 
-def population_variance(n: Column, total: Column, squares: Column) -> Column:
-    """Variance of n amounts from their exact sum and sum of squares; NULL when n is 0.
 
-    (n * squares - total ** 2) / n ** 2 is evaluated in decimals up to the last
-    division. Where a product no longer fits 38 digits the same quantity is taken
-    in doubles, so very large groups lose some last bits instead of failing.
+def population_variance(n: Column, sums: dict[str, Column], scale: int = SCALE) -> Column:
+    """Variance of n amounts from their square sums; NULL when n is 0.
+
+    Taken about a whole number next to the mean, in whole numbers, so nothing overflows or cancels at any group
+    size. Where n times the result fits 38 digits the quotient is rounded once, else in its two terms.
     """
-    count = n.cast("decimal(20,0)")
-    spread = F.try_subtract(F.try_multiply(count, squares), F.try_multiply(total, total))
+    count = _whole(n)
+    high, low, high_high, high_low, low_low = (_whole(sums[name]) for name in SQUARE_SUMS)
+    # First each part about its own whole mean, then the amounts about theirs.
+    at_high, at_low = _parts(high, count)[0], _parts(low, count)[0]
+    hh = high_high - _whole(at_high * high) * 2 + _whole(count * _whole(at_high * at_high))
+    hl = high_low - _whole(at_high * low) - _whole(at_low * high) + _whole(count * _whole(at_high * at_low))
+    ll = low_low - _whole(at_low * low) * 2 + _whole(count * _whole(at_low * at_low))
+    total = _whole((high - _whole(at_high * count)) * LIMB) + low - _whole(at_low * count)
+    mean, rest = _parts(_whole(total), count)
+    moved = _whole(mean * total) * 2 - _whole(count * _whole(mean * mean))
+    middle_up, middle_rest = _parts(_whole(hl * 2), F.lit(LIMB))
+    up, least = _parts(_whole(_whole(middle_rest * LIMB) + _whole(ll) - _whole(moved)), F.lit(LIMB * LIMB))
+    most = _whole(_whole(hh) + middle_up + up)
+    unit = F.lit(Decimal(1).scaleb(-2 * scale))
     as_double = n.cast("double")
-    exact = spread.cast("double") / (as_double * as_double)
-    mean = total.cast("double") / as_double
-    rounded = F.greatest(F.lit(0.0), squares.cast("double") / as_double - mean * mean)
-    return F.when(n > 0, F.coalesce(exact, rounded))
+    squares = F.try_add(F.try_multiply(most, F.lit(LIMB * LIMB).cast("decimal(19,0)")), least)
+    once = F.try_subtract(F.try_multiply(squares, count), F.try_multiply(rest, rest))
+    exact = F.try_multiply(once, unit).cast("double") / (as_double * as_double)
+    share = rest.cast("double") / as_double
+    apart = (most.cast("double") * float(LIMB * LIMB) + least.cast("double")) / as_double - share * share
+    return F.when(n > 0, F.coalesce(exact, apart / float(10 ** (2 * scale))))
+
+
+def _whole(value: Column) -> Column:
+    return value.cast("decimal(38,0)")
+
+
+def _parts(value: Column, base: Column) -> tuple[Column, Column]:
+    """value as up * base + rest with 0 <= rest < base; NULL for base 0."""
+    base = F.when(base != 0, base.cast("decimal(19,0)"))
+    rest = _whole(F.pmod(value, base))
+    return _whole((value - rest) / base), rest

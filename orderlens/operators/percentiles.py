@@ -9,12 +9,12 @@ joined back to the orders.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import population_variance
+from ..functions import SQUARE_SUMS, population_variance, square_sums
 
 FRACTIONS = {"p90": 0.90, "p80": 0.80}
 ACCURACY = 10_000
@@ -23,22 +23,78 @@ GROUP = ("sku", "month")
 
 
 def promotion_histogram(orders: DataFrame) -> DataFrame:
-    """sku, month, promotion_count, n, amount_n, total, squares."""
+    """sku, month, promotion_count, n, amount_n and the square sums."""
     amount = F.col("amount")
     return orders.groupBy(*GROUP, "promotion_count").agg(
         F.count(F.lit(1)).alias("n"),
         F.count(amount).alias("amount_n"),
-        F.sum(amount).alias("total"),
-        F.sum(amount * amount).alias("squares"),
+        *[value.alias(name) for name, value in square_sums(amount).items()],
     )
 
 
+def _running(histogram: DataFrame) -> DataFrame:
+    """Adds group_order_count and last_rank, the rank of the last order with the row's promotion count."""
+    group = Window.partitionBy(*GROUP)
+    running = group.orderBy("promotion_count").rowsBetween(Window.unboundedPreceding, 0)
+    return histogram.withColumn("group_order_count", F.sum("n").over(group)).withColumn(
+        "last_rank", F.sum("n").over(running)
+    )
+
+
+def _value_at(rank: Column) -> Column:
+    """The promotion count of the order at a 1-based rank of the group."""
+    reached = F.when(F.col("last_rank") >= rank, F.col("promotion_count"))
+    return F.min(reached).over(Window.partitionBy(*GROUP)).cast("double")
+
+
+def _occurring(fraction: float) -> Column:
+    """The value at rank ceil(fraction * n), which occurs in the data."""
+    return _value_at(F.greatest(F.ceil(F.col("group_order_count").cast("double") * fraction), F.lit(1)))
+
+
+def _interpolated(fraction: float) -> Column:
+    position = (F.col("group_order_count").cast("double") - 1.0) * F.lit(fraction)
+    lower = _value_at(F.floor(position) + 1)
+    upper = _value_at(F.ceil(position) + 1)
+    return lower + (position - F.floor(position)) * (upper - lower)
+
+
+METHODS = {"approx": _occurring, "exact": _interpolated}
+
+
+def with_thresholds(
+    histogram: DataFrame,
+    methods: Sequence[str] = tuple(METHODS),
+    fractions: Mapping[str, float] = FRACTIONS,
+) -> DataFrame:
+    """Adds group_order_count and each method's thresholds to every histogram row."""
+    thresholds = [
+        METHODS[method](fraction).alias(f"{name}_{method}_threshold")
+        for method in methods
+        for name, fraction in fractions.items()
+    ]
+    return _running(histogram).select(*histogram.columns, "group_order_count", *thresholds)
+
+
+def _per_group(ranked: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return ranked.groupBy(*GROUP).agg(*[F.first(c, ignorenulls=True).alias(c) for c in columns])
+
+
 def approx_thresholds(
+    orders: DataFrame, fractions: Mapping[str, float] = FRACTIONS
+) -> DataFrame:
+    """sku, month and thresholds that are values of the data, from the histogram's ranks without any rank error."""
+    ranked = with_thresholds(promotion_histogram(orders), ("approx",), fractions)
+    return _per_group(ranked, [f"{name}_approx_threshold" for name in fractions])
+
+
+def sketched_thresholds(
     orders: DataFrame, fractions: Mapping[str, float] = FRACTIONS, accuracy: int = ACCURACY
 ) -> DataFrame:
-    """Thresholds that are values of the data; rank error at most n / accuracy.
+    """The same by a quantile sketch over the rows; rank error at most n / accuracy.
 
-    One bounded sketch per group and task is shuffled, never the rows.
+    One bounded sketch per group and task is shuffled, never the rows. Tasks with more groups than
+    Spark's fallback threshold sort their rows, so `approx_thresholds` is the cheaper way.
     """
     # All fractions in one call share one sketch.
     wanted = F.array(*[F.lit(fraction) for fraction in fractions.values()])
@@ -54,38 +110,12 @@ def approx_thresholds(
     )
 
 
-def with_exact_thresholds(
-    histogram: DataFrame, fractions: Mapping[str, float] = FRACTIONS
-) -> DataFrame:
-    """Adds group_order_count and the interpolated thresholds to every histogram row."""
-    group = Window.partitionBy(*GROUP)
-    running = group.orderBy("promotion_count").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = histogram.withColumn("group_order_count", F.sum("n").over(group)).withColumn(
-        "last_rank", F.sum("n").over(running)
-    )
-
-    def value_at(rank: Column) -> Column:
-        """The promotion count of the order at a 1-based rank of the group."""
-        reached = F.when(F.col("last_rank") >= rank, F.col("promotion_count"))
-        return F.min(reached).over(group).cast("double")
-
-    thresholds = []
-    for name, fraction in fractions.items():
-        position = (F.col("group_order_count").cast("double") - 1.0) * F.lit(fraction)
-        lower = value_at(F.floor(position) + 1)
-        upper = value_at(F.ceil(position) + 1)
-        weight = position - F.floor(position)
-        thresholds.append((lower + weight * (upper - lower)).alias(f"{name}_exact_threshold"))
-    return ranked.select(*histogram.columns, "group_order_count", *thresholds)
-
-
 def exact_thresholds(
     orders: DataFrame, fractions: Mapping[str, float] = FRACTIONS
 ) -> DataFrame:
     """sku, month, group_order_count and linearly interpolated thresholds."""
-    ranked = with_exact_thresholds(promotion_histogram(orders), fractions)
-    constant = ["group_order_count", *[f"{name}_exact_threshold" for name in fractions]]
-    return ranked.groupBy(*GROUP).agg(*[F.first(c, ignorenulls=True).alias(c) for c in constant])
+    ranked = with_thresholds(promotion_histogram(orders), ("exact",), fractions)
+    return _per_group(ranked, ["group_order_count", *[f"{name}_exact_threshold" for name in fractions]])
 
 
 def attach_thresholds(histogram: DataFrame, thresholds: DataFrame) -> DataFrame:
@@ -94,50 +124,66 @@ def attach_thresholds(histogram: DataFrame, thresholds: DataFrame) -> DataFrame:
 
 
 def tail_spread(
-    histogram: DataFrame, method: str, fractions: Mapping[str, float] = FRACTIONS
+    histogram: DataFrame,
+    methods: Sequence[str],
+    fractions: Mapping[str, float] = FRACTIONS,
 ) -> DataFrame:
-    """Per (sku, month): threshold, orders at or above it, and the stddev of their amounts.
+    """Per (sku, month) and method: threshold, orders at or above it, and the stddev of their amounts.
 
     The stddev is 0.0 for fewer than two such orders, and where no amount is known.
     """
     summary = [F.sum("n").alias("group_order_count")]
     columns = [*GROUP, "group_order_count"]
-    for name in fractions:
-        threshold = f"{name}_{method}_threshold"
-        in_tail = F.col("promotion_count") >= F.col(threshold)
-
-        def tail_sum(column: str, in_tail: Column = in_tail) -> Column:
-            return F.sum(F.when(in_tail, F.col(column)))
-
-        qualifying = F.coalesce(tail_sum("n"), F.lit(0).cast("bigint"))
-        variance = population_variance(
-            tail_sum("amount_n"), tail_sum("total"), tail_sum("squares")
-        )
-        stddev = F.when(qualifying < 2, 0.0).otherwise(F.coalesce(F.sqrt(variance), F.lit(0.0)))
-        summary += [
-            F.first(threshold, ignorenulls=True).alias(threshold),
-            qualifying.alias(f"{name}_{method}_qualifying_count"),
-            stddev.alias(f"{name}_{method}_stddev"),
-        ]
-        columns += [
-            threshold,
-            f"{name}_{method}_qualifying_count",
-            f"{name}_{method}_stddev",
-        ]
+    for method in methods:
+        for name in fractions:
+            threshold = f"{name}_{method}_threshold"
+            in_tail = F.col("promotion_count") >= F.col(threshold)
+
+            def tail_sum(column: str, in_tail: Column = in_tail) -> Column:
+                return F.sum(F.when(in_tail, F.col(column)))
+
+            qualifying = f"{name}_{method}_qualifying_count"
+            summary += [
+                F.first(threshold, ignorenulls=True).alias(threshold),
+                F.coalesce(tail_sum("n"), F.lit(0).cast("bigint")).alias(qualifying),
+                tail_sum("amount_n").alias(f"{threshold}_n"),
+                *[tail_sum(part).alias(f"{threshold}_{part}") for part in SQUARE_SUMS],
+            ]
+            variance = population_variance(
+                F.col(f"{threshold}_n"), {part: F.col(f"{threshold}_{part}") for part in SQUARE_SUMS}
+            )
+            stddev = F.when(F.col(qualifying) < 2, 0.0).otherwise(
+                F.coalesce(F.sqrt(variance), F.lit(0.0))
+            )
+            columns += [threshold, qualifying, stddev.alias(f"{name}_{method}_stddev")]
     return histogram.groupBy(*GROUP).agg(*summary).select(*columns)
 
 
 def approx_summary(
+    orders: DataFrame, fractions: Mapping[str, float] = FRACTIONS
+) -> DataFrame:
+    ranked = with_thresholds(promotion_histogram(orders), ("approx",), fractions)
+    return tail_spread(ranked, ("approx",), fractions)
+
+
+def sketched_summary(
     orders: DataFrame, fractions: Mapping[str, float] = FRACTIONS, accuracy: int = ACCURACY
 ) -> DataFrame:
-    thresholds = approx_thresholds(orders, fractions, accuracy)
+    """The approximate summary with thresholds from the sketch; reads the orders twice."""
+    thresholds = sketched_thresholds(orders, fractions, accuracy)
     attached = attach_thresholds(promotion_histogram(orders), thresholds)
-    return tail_spread(attached, "approx", fractions)
+    return tail_spread(attached, ("approx",), fractions)
 
 
 def exact_summary(orders: DataFrame, fractions: Mapping[str, float] = FRACTIONS) -> DataFrame:
-    ranked = with_exact_thresholds(promotion_histogram(orders), fractions)
-    return tail_spread(ranked, "exact", fractions)
+    ranked = with_thresholds(promotion_histogram(orders), ("exact",), fractions)
+    return tail_spread(ranked, ("exact",), fractions)
+
+
+def both_summaries(orders: DataFrame, fractions: Mapping[str, float] = FRACTIONS) -> DataFrame:
+    """Both methods side by side with their differences, from one histogram."""
+    ranked = with_thresholds(promotion_histogram(orders), tuple(METHODS), fractions)
+    return with_differences(tail_spread(ranked, tuple(METHODS), fractions), fractions)
 
 
 def compare_methods(
@@ -148,7 +194,15 @@ def compare_methods(
     Both sets of qualifying orders are upper tails of one ordering, so the size
     of their difference is the difference of their sizes.
     """
-    joined = approx.join(exact.drop("group_order_count"), list(GROUP), "inner")
+    return with_differences(
+        approx.join(exact.drop("group_order_count"), list(GROUP), "inner"), fractions
+    )
+
+
+def with_differences(
+    joined: DataFrame, fractions: Mapping[str, float] = FRACTIONS
+) -> DataFrame:
+    """The columns of both methods, ordered, with their absolute differences."""
     measures = {
         "threshold": "threshold_abs_diff",
         "qualifying_count": "qualifying_set_diff_count",

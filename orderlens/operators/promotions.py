@@ -9,6 +9,8 @@ from ..functions.text import is_present
 
 MIN_DAYS = 2
 MIN_PROMOTIONS = 3
+# Parts into which the orders of one code are dealt; each needs a copy of the valid codes.
+SALTS = 16
 
 
 def explode_promotions(orders: DataFrame, keep: tuple[str, ...] = ("row_id",)) -> DataFrame:
@@ -35,16 +37,29 @@ def valid_promotions(exploded: DataFrame, min_days: int = MIN_DAYS) -> DataFrame
     return promotion_periods(exploded).filter(F.col("active_days") >= min_days)
 
 
+def salt_of(row_id: Column, salts: int = SALTS) -> Column:
+    return F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
+
+
+def salted(valid: DataFrame, salts: int = SALTS) -> DataFrame:
+    """promo and salt: every code once for each part of its orders."""
+    return valid.select("promo", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+
+
 def valid_counts(
-    exploded: DataFrame, valid: DataFrame, keep: tuple[str, ...] = ("row_id",)
+    exploded: DataFrame,
+    valid: DataFrame,
+    keep: tuple[str, ...] = ("row_id",),
+    salts: int = SALTS,
 ) -> DataFrame:
     """Valid codes per order, repeats counted; orders without any are absent.
 
-    A code used by very many orders is one hot join key on the order side only;
-    the adaptive planner splits that partition, or broadcasts `valid` when small.
+    The orders of a code are dealt into `salts` parts by their id, so a code on every
+    order is not one task's work. The planner broadcasts the valid codes when they are few.
     """
     return (
-        exploded.join(valid.select("promo"), "promo", "inner")
+        exploded.withColumn("salt", salt_of(F.col("row_id"), salts))
+        .join(salted(valid, salts), ["promo", "salt"], "inner")
         .groupBy(*keep)
         .agg(F.count(F.lit(1)).alias("valid_promotion_count"))
     )
@@ -59,30 +74,59 @@ def with_valid_counts(orders: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def state_averages(orders: DataFrame) -> DataFrame:
-    """state, state_average_amount over merchant-fulfilled, shipped, priced orders."""
-    population = orders.filter(
+def _is_averaged() -> Column:
+    """Merchant-fulfilled, shipped, priced and in a state."""
+    return (
         (F.col("fulfilment") == "MERCHANT")
         & (F.col("courier_status") == "SHIPPED")
         & is_present(F.col("state"))
         & F.col("amount").isNotNull()
     )
-    # Exact total first: an average that shifted with row order could flip a `<` test.
-    average = F.sum("amount").cast("double") / F.count(F.lit(1))
-    return population.groupBy("state").agg(average.alias("state_average_amount"))
 
 
-def with_state_average(orders: DataFrame, averages: DataFrame) -> DataFrame:
-    """Left lookup; a NULL state matches nothing and keeps its row."""
-    return orders.join(averages, "state", "left")
+def is_cancelled_standard() -> Column:
+    return F.col("status").contains("CANCELLED") & (F.col("service_level") == "STANDARD")
 
 
 def cancelled_standard(orders: DataFrame) -> DataFrame:
-    return orders.filter(
-        F.col("status").contains("CANCELLED") & (F.col("service_level") == "STANDARD")
+    return orders.filter(is_cancelled_standard())
+
+
+def place_sums(orders: DataFrame) -> DataFrame:
+    """Per (city, state): what the averages, the base counts and the profile need from all orders."""
+    averaged, cancelled = _is_averaged(), is_cancelled_standard()
+    return orders.groupBy("city", "state").agg(
+        F.sum(F.when(averaged, F.col("amount"))).alias("priced_total"),
+        F.count_if(averaged).alias("priced"),
+        F.count_if(cancelled).alias("cancelled"),
+        F.count_if(cancelled & is_present(F.trim("promotion_ids_raw"))).alias("listed"),
     )
 
 
+def averages_of(sums: DataFrame) -> DataFrame:
+    """state, state_average_amount from the sums per place."""
+    # Exact total first: an average that shifted with row order could flip a `<` test.
+    average = F.sum("priced_total").cast("double") / F.sum("priced")
+    priced = sums.filter(F.col("priced") > 0)
+    return priced.groupBy("state").agg(average.alias("state_average_amount"))
+
+
+def state_averages(orders: DataFrame) -> DataFrame:
+    """state, state_average_amount over merchant-fulfilled, shipped, priced orders."""
+    return averages_of(place_sums(orders.filter(_is_averaged())))
+
+
+def with_state_average(orders: DataFrame, averages: DataFrame, small: int = 10_000) -> DataFrame:
+    """Left lookup; a NULL state matches nothing and keeps its row.
+
+    Orders are not shuffled by their few states while the averages, once counted, have
+    no more than `small` rows; beyond that it is a join by shuffle.
+    """
+    if averages.limit(small + 1).count() <= small:
+        averages = F.broadcast(averages)
+    return orders.join(averages, "state", "left")
+
+
 def is_below_average() -> Column:
     """Priced below the state's average; false, never NULL, where either is unknown."""
     below = F.col("amount").cast("double") < F.col("state_average_amount")
@@ -98,10 +142,10 @@ def classify(orders: DataFrame, min_promotions: int = MIN_PROMOTIONS) -> DataFra
 def city_shares(flagged: DataFrame) -> DataFrame:
     """Per city (NULL is a city of its own): rows, qualified rows and their percentage.
 
-    Expects city, in_base and is_qualified; the last two say what a row counts for.
+    Expects city, and in `cancelled` and `qualified` how many of each a row stands for.
     """
-    base = F.count_if("in_base")
-    qualified = F.count_if("is_qualified")
+    base = F.sum("cancelled").cast("bigint")
+    qualified = F.sum("qualified").cast("bigint")
     share = qualified.cast("double") * 100.0 / base.cast("double")
     return flagged.groupBy("city").agg(
         base.alias("cancelled_standard_count"),

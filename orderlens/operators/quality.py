@@ -8,12 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import money_fault
+from ..functions.numbers import SCALE
 from ..functions.text import is_present
 from ..once import keep_whole
 from .percentiles import GROUP
-from .promotions import cancelled_standard
+from .promotions import averages_of
 from .trailing import is_bought
-from .variety import style_variety
 
 LARGE_GROUP = 1_000
 
@@ -39,6 +40,19 @@ def require_unique(rows: DataFrame, column: str = "row_id", allow_null: bool = F
     return rows
 
 
+def amount_report(raw: DataFrame, scale: int = SCALE) -> DataFrame:
+    """reason, n: what becomes of the amounts. `out_of_range` ones are lost, `rounded` ones are changed."""
+    return ledger(raw, F.coalesce(money_fault(F.col("Amount"), scale), F.lit("kept")))
+
+
+def require_amounts(raw: DataFrame, scale: int = SCALE) -> DataFrame:
+    """The rows themselves, or an error if an amount is too large to keep. Reads the amounts once."""
+    lost = raw.filter(money_fault(F.col("Amount"), scale) == "out_of_range").limit(1).collect()
+    if lost:
+        raise ValueError(f"Amount {lost[0]['Amount']!r} has more digits than are kept")
+    return raw
+
+
 def require_nonempty(lookup: DataFrame, name: str = "lookup") -> DataFrame:
     """The lookup itself, or an error when it has no rows. Reads at most one row."""
     if lookup.isEmpty():
@@ -123,10 +137,25 @@ def window_ledger(fates: DataFrame, lengths: DataFrame) -> DataFrame:
 
 def variety_ledger(rows: DataFrame) -> DataFrame:
     """Ledger of the style count, with the number of qualified styles as a last reason."""
-    styles = style_variety(rows).agg(F.count(F.lit(1)).alias("n"))
-    return ledger(rows, variety_reason()).unionByName(
-        styles.select(F.lit("qualified_styles").alias("reason"), "n")
+    reason = variety_reason()
+    # Both answers come from one aggregate; keys of other lines than valid ones do not matter.
+    valid = lambda c: F.when(reason == "valid", c)
+    keys = {name: valid(F.col(name)) for name in ("state", "style", "sku")}
+    per_sku = keep_whole(
+        rows.groupBy(
+            reason.alias("reason"),
+            valid(F.trunc("order_date", "month")).alias("month_start"),
+            *[key.alias(name) for name, key in keys.items()],
+        ).agg(F.count(F.lit(1)).alias("n"), F.bool_or("is_large").alias("is_large"))
+    )
+    fates = per_sku.groupBy("reason").agg(F.sum("n").alias("n"))
+    styles = (
+        per_sku.filter(F.col("reason") == "valid")
+        .groupBy("month_start", "state", "style")
+        .agg(F.bool_or("is_large").alias("is_large"))
+        .agg(F.count_if("is_large").alias("n"))
     )
+    return fates.unionByName(styles.select(F.lit("qualified_styles").alias("reason"), "n"))
 
 
 def _as_metrics(one_row: DataFrame) -> DataFrame:
@@ -141,28 +170,18 @@ def _as_metrics(one_row: DataFrame) -> DataFrame:
 
 
 def promotion_profile(
-    orders: DataFrame,
-    periods: DataFrame,
-    averages: DataFrame,
-    qualified: DataFrame,
-    min_days: int,
+    sums: DataFrame, periods: DataFrame, qualified: DataFrame, min_days: int
 ) -> DataFrame:
-    """Seven sanity counts as (metric, value).
-
-    The averages are kept whole so that their shuffle is the one `qualified` uses.
-    """
+    """Seven sanity counts as (metric, value), from the sums per place, the code periods and the qualified orders."""
     codes = periods.agg(
         F.count(F.lit(1)).alias("promotion_codes"),
         F.count_if(F.col("active_days") >= min_days).alias("valid_promotion_codes"),
     )
-    states = keep_whole(averages).agg(F.count(F.lit(1)).alias("state_averages"))
+    states = averages_of(sums).agg(F.count(F.lit(1)).alias("state_averages"))
     by_city = (
-        cancelled_standard(orders)
+        sums.filter(F.col("cancelled") > 0)
         .groupBy("city")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(is_present(F.trim("promotion_ids_raw"))).alias("listed"),
-        )
+        .agg(F.sum("cancelled").alias("n"), F.sum("listed").alias("listed"))
     )
     nothing = F.lit(0).cast("bigint")
     cities = by_city.agg(

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import following_days, population_variance
+from ..functions import SQUARE_SUMS, following_days, population_variance, square_sums
 from ..functions.text import is_present
 
 CUTOFF = 10_000
@@ -58,8 +58,7 @@ def daily_stats(rows: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count(amount).alias("amount_n"),
-            F.sum(amount).alias("total"),
-            F.sum(amount * amount).alias("squares"),
+            *[value.alias(name) for name, value in square_sums(amount).items()],
         )
     )
 
@@ -89,11 +88,10 @@ def trailing_stats(daily: DataFrame) -> DataFrame:
         "size",
         "n",
         "amount_n",
-        "total",
-        "squares",
+        *SQUARE_SUMS,
         "window_days",
     )
-    variance = population_variance(F.col("amount_count"), F.col("total"), F.col("squares"))
+    variance = population_variance(F.col("amount_count"), {name: F.col(name) for name in SQUARE_SUMS})
     return (
         # One shuffle by (state, day) serves both the totals and the choice among sizes.
         # Copies of one order day lie on L different days, so summing first would save little.
@@ -102,8 +100,7 @@ def trailing_stats(daily: DataFrame) -> DataFrame:
         .agg(
             F.sum("n").alias("frequency"),
             F.sum("amount_n").alias("amount_count"),
-            F.sum("total").alias("total"),
-            F.sum("squares").alias("squares"),
+            *[F.sum(name).alias(name) for name in SQUARE_SUMS],
             F.max("window_days").alias("window_days"),
         )
         .select(

@@ -6,31 +6,69 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import code_count
+from ..once import keep_whole
 from ..operators import promotions as promo
-from ..operators.quality import require_unique
-from ..sources import cancellation_rows
+from ..operators.quality import require_amounts, require_unique
+from ..sources import cancellation_rows, require_columns
+from ..sources.contract import CANCELLATION_COLUMNS
 
+KEEP = ("row_id", "city", "state", "amount")
 
-def qualified_orders(
-    orders: DataFrame, min_days: int = promo.MIN_DAYS, min_promotions: int = promo.MIN_PROMOTIONS
+
+def listed_codes(
+    orders: DataFrame, min_promotions: int = promo.MIN_PROMOTIONS, salts: int = promo.SALTS
 ) -> DataFrame:
-    """row_id, city of the cancelled standard orders that qualify.
+    """Every code of every dated order, shuffled once by code and salt for both of its uses.
 
-    Only orders that can still qualify (priced, in a state, with a long enough
-    list) have their codes matched, and their other columns travel along, so
-    neither the full order table nor its averages are joined back by row.
+    `is_candidate` marks codes of orders that can still qualify (cancelled, priced, in a state, with a
+    long enough list); only those carry the order's other columns.
     """
-    keep = ("row_id", "city", "state", "amount")
-    valid = promo.valid_promotions(promo.explode_promotions(orders), min_days)
-    candidates = promo.cancelled_standard(orders).filter(
-        F.col("amount").isNotNull()
+    candidate = F.coalesce(
+        promo.is_cancelled_standard()
+        & F.col("amount").isNotNull()
         & F.col("state").isNotNull()
-        & (code_count(F.col("promotion_ids_raw")) >= min_promotions)
+        & (code_count(F.col("promotion_ids_raw")) >= min_promotions),
+        F.lit(False),
+    )
+    codes = promo.explode_promotions(
+        orders.withColumn("is_candidate", candidate), (*KEEP, "is_candidate")
+    )
+    carried = [F.when(F.col("is_candidate"), F.col(name)).alias(name) for name in KEEP]
+    salt = promo.salt_of(F.col("row_id"), salts).alias("salt")
+    rows = codes.select("promo", salt, "order_date", "is_candidate", *carried)
+    return keep_whole(rows.repartition("promo", "salt"))
+
+
+def code_periods(codes: DataFrame) -> DataFrame:
+    """promo, first_date, last_date, active_days; summed per salt before a code comes together."""
+    parts = codes.groupBy("promo", "salt").agg(
+        F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date")
+    )
+    return (
+        parts.groupBy("promo")
+        .agg(F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
+        .withColumn("active_days", F.datediff("last_date", "first_date"))
+    )
+
+
+def qualified_orders(
+    codes: DataFrame,
+    averages: DataFrame,
+    min_days: int = promo.MIN_DAYS,
+    min_promotions: int = promo.MIN_PROMOTIONS,
+    salts: int = promo.SALTS,
+) -> DataFrame:
+    """row_id, city of the cancelled standard orders that qualify, from the listed codes and the averages."""
+    valid = code_periods(codes).filter(F.col("active_days") >= min_days)
+    counts = (
+        codes.filter("is_candidate")
+        .join(promo.salted(valid, salts), ["promo", "salt"], "inner")
+        .groupBy(*KEEP)
+        .agg(F.count(F.lit(1)).alias("valid_promotion_count"))
     )
-    counts = promo.valid_counts(promo.explode_promotions(candidates, keep), valid, keep)
     return (
         counts.filter(F.col("valid_promotion_count") >= min_promotions)
-        .join(promo.state_averages(orders), "state", "inner")
+        .join(averages, "state", "inner")
         .filter(promo.is_below_average())
         .select("row_id", "city")
     )
@@ -39,27 +77,31 @@ def qualified_orders(
 def qualified_shares(
     orders: DataFrame, min_days: int = promo.MIN_DAYS, min_promotions: int = promo.MIN_PROMOTIONS
 ) -> DataFrame:
-    """city, cancelled_standard_count, qualified_order_count, percentage from typed orders."""
-    base = promo.cancelled_standard(orders).select(
-        "city", F.lit(True).alias("in_base"), F.lit(False).alias("is_qualified")
-    )
-    qualified = qualified_orders(orders, min_days, min_promotions).select(
-        "city", F.lit(False).alias("in_base"), F.lit(True).alias("is_qualified")
-    )
-    return promo.city_shares(base.unionByName(qualified))
+    """city, cancelled_standard_count, qualified_order_count, percentage from typed orders.
+
+    Two passes over the orders: the sums per place, and the listed codes.
+    """
+    sums = keep_whole(promo.place_sums(orders))
+    base = sums.filter(F.col("cancelled") > 0).select("city", "cancelled", F.lit(0).alias("qualified"))
+    codes = listed_codes(orders, min_promotions)
+    found = qualified_orders(codes, promo.averages_of(sums), min_days, min_promotions)
+    found = found.select("city", F.lit(0).alias("cancelled"), F.lit(1).alias("qualified"))
+    return promo.city_shares(base.unionByName(found))
 
 
 def qualified_by_city(
     raw: DataFrame,
     min_days: int = promo.MIN_DAYS,
     min_promotions: int = promo.MIN_PROMOTIONS,
-    check_ids: bool = False,
+    check: bool = True,
 ) -> DataFrame:
     """The same from raw text columns.
 
-    Row ids must be present and unique; `check_ids` runs one aggregation to make sure.
+    `check` looks for all columns, for missing or repeated row ids and for amounts that are too large; it
+    reads the ids and the amounts. Leave it out only where that has been done.
     """
-    orders = cancellation_rows(raw)
-    if check_ids:
+    orders = cancellation_rows(require_columns(raw, CANCELLATION_COLUMNS))
+    if check:
+        require_amounts(raw)
         require_unique(orders)
     return qualified_shares(orders, min_days, min_promotions)

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 
 from ..once import keep_whole
 from ..operators import trailing
-from ..sources import window_rows
+from ..operators.quality import require_amounts, require_nonempty
+from ..sources import require_columns, window_rows
+from ..sources.contract import WINDOW_COLUMNS
 
 
 def size_stats(
@@ -14,13 +16,19 @@ def size_stats(
     cutoff: int = trailing.CUTOFF,
     short: int = trailing.SHORT_DAYS,
     long: int = trailing.LONG_DAYS,
+    check: bool = True,
 ) -> DataFrame:
     """Trailing statistics of every candidate size.
 
     The grid serves the window lengths and the windows themselves, so the input
-    is read and shuffled once.
+    is read and shuffled once. `check` reads the amounts for ones that are too large, and lines up to the
+    first bought one: without any the lookup of window lengths would be empty.
     """
-    daily = keep_whole(trailing.daily_stats(window_rows(raw)))
+    rows = window_rows(require_columns(raw, WINDOW_COLUMNS))
+    if check:
+        require_amounts(raw)
+        require_nonempty(trailing.bought(rows), "window length")
+    daily = keep_whole(trailing.daily_stats(rows))
     lengths = trailing.window_lengths(trailing.grid_counts(daily), cutoff, short, long)
     return trailing.trailing_stats(trailing.with_lengths(daily, lengths))
 
@@ -30,6 +38,7 @@ def best_sizes(
     cutoff: int = trailing.CUTOFF,
     short: int = trailing.SHORT_DAYS,
     long: int = trailing.LONG_DAYS,
+    check: bool = True,
 ) -> DataFrame:
     """state, window_date, size, frequency, variance, amount_count, window_days."""
-    return trailing.winners(size_stats(raw, cutoff, short, long))
+    return trailing.winners(size_stats(raw, cutoff, short, long, check))

@@ -7,26 +7,23 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from ..operators import percentiles
-from ..operators.quality import require_unique
-from ..sources import spread_rows
+from ..operators.quality import require_amounts, require_unique
+from ..sources import require_columns, require_width, spread_rows
+from ..sources.contract import SPREAD_COLUMNS
 
 
 def promotion_spread(
     raw: DataFrame,
     fractions: Mapping[str, float] = percentiles.FRACTIONS,
-    accuracy: int = percentiles.ACCURACY,
-    check_ids: bool = False,
+    check: bool = True,
 ) -> DataFrame:
-    """Both summaries per (sku, month) with their differences.
+    """Both summaries per (sku, month) with their differences, from one pass over the orders.
 
-    The histogram appears in both summaries; Spark shuffles it once and reuses it.
-    `check_ids` runs one aggregation to make sure that row ids are unique.
+    `check` looks for repeated row ids and for amounts that are too large; it reads the ids and the
+    amounts. Leave it out only where that has been done.
     """
-    orders = spread_rows(raw)
-    if check_ids:
+    orders = spread_rows(require_columns(require_width(raw), SPREAD_COLUMNS))
+    if check:
+        require_amounts(raw)
         require_unique(orders)
-    return percentiles.compare_methods(
-        percentiles.approx_summary(orders, fractions, accuracy),
-        percentiles.exact_summary(orders, fractions),
-        fractions,
-    )
+    return percentiles.both_summaries(orders, fractions)

@@ -58,12 +58,12 @@ def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
     """The frame itself, or an error that lists every missing column."""
     missing = [name for name in required if name not in df.columns]
     if missing:
-        raise ValueError(f"Missing columns: {', '.join(missing)}")
+        raise ValueError(f"the frame lacks {missing}")
     return df
 
 
 def require_width(df: DataFrame, width: int = len(COLUMNS)) -> DataFrame:
     """The frame itself, or an error when it does not have exactly `width` columns."""
     if len(df.columns) != width:
-        raise ValueError(f"Expected {width} columns, found {len(df.columns)}.")
+        raise ValueError(f"{len(df.columns)} columns in place of {width}")
     return df

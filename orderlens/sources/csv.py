@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,15 +12,22 @@ from .contract import COLUMNS, HEADER_PREFIX
 
 CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
-# A whole quoted field (doubled quotes are adjacent quoted runs) stands in as one mark.
-_MARK = "\u0001"
-_QUOTED_FIELD = '(^|,)(?:"[^"]*")+'
-_BAD_QUOTING = f'(^|,)("|{_MARK}\\s*[^,\\s])'
+# A whole quoted field (doubled quotes are adjacent quoted runs) is cut down to a pair of quotes, which no
+# other field can begin with. Possessive, so a long field does not make the matcher recurse.
+_QUOTED_FIELD = '(^|,)(?:"[^"]*+")++'
+_BAD_QUOTING = '(^|,)(?:"(?!")|""\\s*+[^,\\s])'
+
 
+def read_permissive(
+    spark: SparkSession, path: str | list[str], columns: Sequence[str] = COLUMNS
+) -> DataFrame:
+    """Headered CSV with the given columns in order, all text; short rows are padded and long ones cut.
 
-def read_permissive(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Headered CSV, all columns text; short rows are padded and long ones cut."""
-    return spark.read.option("header", True).options(**CSV_OPTIONS).csv(path)
+    Every file's own header must name the columns in that order, else reading it fails.
+    """
+    schema = ", ".join(f"`{name}` STRING" for name in columns)
+    options = {**CSV_OPTIONS, "header": True, "enforceSchema": False}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -27,7 +36,7 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def _mask_quoted(line: Column) -> Column:
-    masked = F.regexp_replace(line, _QUOTED_FIELD, f"$1{_MARK}")
+    masked = F.regexp_replace(line, _QUOTED_FIELD, '$1""')
     return F.when(line.contains('"'), masked).otherwise(line)
 
 

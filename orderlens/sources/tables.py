@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 from ..once import select_once
 from .contract import COLUMNS
 
-# A scan with this many splits is left as it is, however many cores there are.
-ENOUGH_SPLITS = 32
-
 # Size labels by quantity modulo 11.
 SIZE_LABELS = ("XS", "S", "M", "L", "XL", "XXL", "3XL", "4XL", "5XL", "6XL", "FREE")
 
@@ -57,16 +54,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deals out the rows of a scan that has fewer splits than there are cores.
-
-    A small file is a single split, and one core would do all the cleaning.
-    Anything beyond a few gigabytes has enough splits and passes through untouched.
-    """
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, ENOUGH_SPLITS)
-    return df.repartition(wanted, *keys) if df.rdd.getNumPartitions() < wanted else df
-
-
 def _as_record(df: DataFrame, needed: Collection[str]) -> DataFrame:
     """24 text columns; only the needed ones hold values."""
     empty = F.lit(None).cast("string")
@@ -88,7 +75,7 @@ def raw_lines(
     Suppliers are few next to their lines, so the lines need no shuffle while
     the supplier side stays under the broadcast threshold.
     """
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_suppkey")
+    lines = table(spark, sf_dir, "lineitem")
     if "ship-state" in needed:
         lines = lines.join(
             table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
@@ -164,7 +151,7 @@ def raw_orders(
     spark: SparkSession, sf_dir: str, needed: Collection[str] = ORDER_COLUMNS
 ) -> DataFrame:
     """One record per order; city and state are the customer's."""
-    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     if "ship-state" in needed or "ship-city" in needed:
         orders = orders.join(

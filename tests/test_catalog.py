@@ -5,12 +5,13 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from orderlens import catalog
 
 duckdb = pytest.importorskip("duckdb")
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = catalog.queries()
+SQL = catalog.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
@@ -24,8 +25,9 @@ def tables():
     return connection
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql_and_is_registered():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= contract.queries().keys() and SQL.keys() <= contract.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
@@ -76,6 +78,24 @@ def test_look_back_reads_its_input_once(spark, without_broadcast):
     assert "ReusedExchange" in plan and "WindowGroupLimit" in plan
 
 
+@pytest.mark.parametrize("name", ["q11_cancellations_by_city", "q12_promotion_profile"])
+def test_cancellations_read_their_orders_twice(spark, without_broadcast, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert plan.count("orders.parquet") == 2 and "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("name", ["q18_spread_comparison", "q22_variety_ledger"])
+def test_one_pass_is_enough(spark, without_broadcast, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert plan.count("orders.parquet") + plan.count("lineitem.parquet") == 1
+
+
+def test_a_query_can_be_built_twice(spark):
+    first = QUERIES["q24_text_sink"](spark, SF_DIR)
+    second = QUERIES["q24_text_sink"](spark, SF_DIR)
+    assert first.count() == second.count() > 0
+
+
 def test_spread_shuffles_the_histogram_once(spark, without_broadcast):
     plan = plan_of(QUERIES["q18_spread_comparison"](spark, SF_DIR))
     histogram = [line for line in plan.splitlines() if "Exchange hashpartitioning(sku" in line

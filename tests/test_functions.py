@@ -1,5 +1,6 @@
 from datetime import date
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -85,21 +86,52 @@ def test_code_lists(column):
     assert column(fn.code_count, values) == [len(codes) for codes in expected]
 
 
+def variance_of(spark, amounts):
+    frame = spark.createDataFrame([(Decimal(a),) for a in amounts], f"a {fn.MONEY}")
+    sums = fn.square_sums(F.col("a"))
+    return frame.agg(fn.population_variance(F.count("a"), sums)).first()[0]
+
+
 @pytest.mark.parametrize(
     "amounts, expected",
     [(["0.10"] * 3, 0.0), (["1", "2", "3", "4"], 1.25), (["5.55"], 0.0), ([], None)],
 )
 def test_population_variance(spark, amounts, expected):
-    frame = spark.createDataFrame([(Decimal(a),) for a in amounts], f"a {fn.MONEY}")
-    a = F.col("a")
-    variance = fn.population_variance(F.count(a), F.sum(a), F.sum(a * a))
-    assert frame.agg(variance).first()[0] == expected
+    assert variance_of(spark, amounts) == expected
 
 
-def test_population_variance_survives_totals_beyond_38_digits(spark):
-    n, value = 3_000_000_000_000, Decimal("99999999.00")
+@pytest.mark.parametrize(
+    "amounts",
+    [
+        ["9000000000000000.01"] * 150 + ["9000000000000000.00"] * 150,
+        ["9999999.99", "10000000.00"] * 20,
+        ["-9000000000000000", "9000000000000000", "0.01", "-0.01"],
+        ["-3.50", "2.25", "-10000000.01"],
+        ["9999999999999999.99", "-9999999999999999.99"] * 200,
+    ],
+)
+def test_population_variance_of_large_amounts(spark, amounts):
+    exact = [Fraction(a) for a in amounts]
+    mean = sum(exact) / len(exact)
+    expected = sum((a - mean) ** 2 for a in exact) / len(exact)
+    assert variance_of(spark, amounts) == pytest.approx(float(expected), rel=1e-14)
+
+
+def test_population_variance_of_very_large_groups(spark):
+    """10^12 amounts of 99999999.00 and as many of 99999999.02, by their sums."""
+    n, units = 10**12, (9999999900, 9999999902)
+    parts = [divmod(u, 10**9) for u in units]
+    sums = [n * sum(f(h, low) for h, low in parts) for f in (
+        lambda h, low: h, lambda h, low: low, lambda h, low: h * h, lambda h, low: h * low, lambda h, low: low * low)]
     row = spark.createDataFrame(
-        [(n, n * value, n * value * value)], "n bigint, s decimal(38,2), q decimal(38,4)"
+        [(2 * n, *map(Decimal, sums))], "n bigint, " + ", ".join(f"{c} decimal(38,0)" for c in fn.SQUARE_SUMS)
     )
-    variance = fn.population_variance(F.col("n"), F.col("s"), F.col("q"))
-    assert row.select(variance).first()[0] == pytest.approx(0.0, abs=10.0)
+    variance = fn.population_variance(F.col("n"), {c: F.col(c) for c in fn.SQUARE_SUMS})
+    assert row.select(variance).first()[0] == pytest.approx(0.0001, rel=1e-12)
+
+
+def test_money_says_what_it_changes(column):
+    values = ["1.00", "1.005", "1e17", "abc", "", None, "nan", "-2.5", "12345678901234567"]
+    expected = [None, "rounded", "out_of_range", "malformed", "missing", "missing", "malformed", None, "out_of_range"]
+    assert column(fn.money_fault, values) == expected
+    assert column(lambda c: fn.money_fault(c, 3), ["1.005"]) == [None]

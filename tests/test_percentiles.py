@@ -67,6 +67,10 @@ def test_comparison_equals_brute_force(orders, seed):
     comparison = percentiles.compare_methods(
         percentiles.approx_summary(frame), percentiles.exact_summary(frame)
     )
+    together = percentiles.both_summaries(frame)
+    assert sorted(map(str, together.collect())) == sorted(map(str, comparison.collect()))
+    sketched = percentiles.sketched_summary(frame).collect()
+    assert sorted(map(str, sketched)) == sorted(map(str, percentiles.approx_summary(frame).collect()))
     rows = {(r["sku"], r["month"]): r for r in comparison.collect()}
     assert rows.keys() == groups.keys()
     for key, members in groups.items():
@@ -113,7 +117,7 @@ def test_sketch_stays_within_its_rank_error_on_a_large_group(spark):
         f"select id row_id, 'a' sku, 'm' month, cast(null as decimal(18,2)) amount,"
         f" cast(pmod(id * 7919, {n}) as int) promotion_count from range({n})"
     )
-    row = percentiles.approx_thresholds(frame, accuracy=accuracy).first()
+    row = percentiles.sketched_thresholds(frame, accuracy=accuracy).first()
     assert abs(row["p90_approx_threshold"] - 0.9 * n) <= n / accuracy
     assert abs(row["p80_approx_threshold"] - 0.8 * n) <= n / accuracy
 

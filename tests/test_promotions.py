@@ -8,8 +8,18 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import promotions as promo
 from orderlens.operators.quality import promotion_profile
-from orderlens.plans import promotion_spread, qualified_by_city
-from orderlens.plans.cancellations import qualified_orders, qualified_shares
+from orderlens.plans import (
+    best_sizes,
+    median_by_month_state,
+    promotion_spread,
+    qualified_by_city,
+)
+from orderlens.plans.cancellations import (
+    code_periods,
+    listed_codes,
+    qualified_orders,
+    qualified_shares,
+)
 from orderlens.sources import cancellation_rows
 
 DAY = date(2022, 4, 1)
@@ -162,17 +172,13 @@ def test_plan_equals_the_operators_one_by_one(spark, raw, threshold):
         valid = promo.valid_promotions(exploded, 38)
         counted = promo.with_valid_counts(orders, promo.valid_counts(exploded, valid))
         averaged = promo.with_state_average(counted, promo.state_averages(orders))
-        flagged = promo.classify(promo.cancelled_standard(averaged)).withColumn("in_base", F.lit(True))
-        stepwise = promo.city_shares(flagged)
+        flagged = promo.classify(promo.cancelled_standard(averaged)).withColumn("cancelled", F.lit(1))
+        stepwise = promo.city_shares(flagged.withColumn("qualified", F.col("is_qualified").cast("int")))
         direct = qualified_shares(orders, 38)
         assert sorted(map(str, stepwise.collect())) == sorted(map(str, direct.collect()))
-        profile = promotion_profile(
-            orders,
-            promo.promotion_periods(exploded),
-            promo.state_averages(orders),
-            qualified_orders(orders, 38),
-            38,
-        )
+        sums, codes = promo.place_sums(orders), listed_codes(orders)
+        found = qualified_orders(codes, promo.averages_of(sums), 38)
+        profile = promotion_profile(sums, code_periods(codes), found, 38)
         metrics = {r["metric"]: r["value"] for r in profile.collect()}
         base = promo.cancelled_standard(orders)
         assert metrics["promotion_codes"] == exploded.select("promo").distinct().count()
@@ -184,12 +190,60 @@ def test_plan_equals_the_operators_one_by_one(spark, raw, threshold):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default)
 
 
-def test_ids_are_checked_on_request(raw):
+def test_a_code_on_every_order_is_not_one_task_s_work(spark, raw):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        orders = cancellation_rows(raw([order(i, "HOT", DAY + timedelta(i % 9)) for i in range(400)]))
+        codes = listed_codes(orders, 1)
+        valid = code_periods(codes).filter("active_days >= 2")
+        joined = codes.join(promo.salted(valid), ["promo", "salt"])
+        shares = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in shares) == 400 and max(r["count"] for r in shares) < 250
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [promo" in plan and "salt" in plan.split("SortMergeJoin")[1][:60]
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_orders_are_read_twice(spark, raw, tmp_path):
+    path = str(tmp_path / "orders")
+    raw(random_orders(4)).write.parquet(path)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        orders = cancellation_rows(spark.read.parquet(path))
+        plan = qualified_shares(orders, 38)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan parquet") == 2 and "ReusedExchange" in plan
+
+
+def test_plans_check_their_input(raw):
     with pytest.raises(ValueError, match="1 null or non-numeric"):
-        qualified_by_city(raw([order(1), order("x")]), check_ids=True)
+        qualified_by_city(raw([order(1), order("x")]))
     with pytest.raises(ValueError, match="1 ids occur more than once"):
-        qualified_by_city(raw([order(1), order(1)]), check_ids=True)
-    assert qualified_by_city(raw([order(1), order(2)]), check_ids=True).count() == 1
+        qualified_by_city(raw([order(1), order(1)]))
+    with pytest.raises(ValueError, match="Amount '1e17'"):
+        qualified_by_city(raw([order(1, amount="1e17")]))
+    with pytest.raises(ValueError, match="Amount '1e17'"):
+        best_sizes(raw([order(1, amount="1e17")]))
+    with pytest.raises(ValueError, match="window length table is empty"):
+        best_sizes(raw([order(1)]))
+    for plan in (best_sizes, qualified_by_city, median_by_month_state):
+        with pytest.raises(ValueError, match="lacks"):
+            plan(raw([order(1)]).drop("ship-state"))
+    with pytest.raises(ValueError, match="23 columns in place of 24"):
+        promotion_spread(raw([order(1)]).drop("SKU"))
+    assert qualified_by_city(raw([order(1), order(2)])).count() == 1
+    assert qualified_by_city(raw([order(1), order(1)]), check=False).count() == 1
     sold = [{**order(i), "SKU": "k"} for i in (1, 1, "x")]
     with pytest.raises(ValueError, match="1 ids occur more than once"):
-        promotion_spread(raw(sold), check_ids=True)
+        promotion_spread(raw(sold))
