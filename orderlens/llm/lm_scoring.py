@@ -28,9 +28,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .buffers import chunks, column_buffer, mix, text_hashes, word_spans
-from .rounds import ANSWERED, blocks_of, first_pass, next_pass, packed_rows, split
+from .rounds import blocks_of, first_pass, split, texts_in_order
 
 BLOCK_BYTES = 8 << 20
 MODULUS, REMAINDER = 7, 2
@@ -44,6 +46,48 @@ def is_held_out(doc_id: int | None, modulus: int, remainder: int) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % modulus == remainder
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys: the first, then the gaps in as few bytes each as the widest needs."""
+    gaps = np.diff(keys)
+    width = max(1, -(-int(gaps.max(initial=0)).bit_length() // 8))
+    rest = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + keys[:1].tobytes() + rest.tobytes()
+
+
+def unpacked_keys(raw: bytes) -> np.ndarray:
+    width = raw[0]
+    rest = np.frombuffer(raw, np.uint8, offset=9).reshape(-1, width)
+    gaps = np.zeros((len(rest), 8), np.uint8)
+    gaps[:, :width] = rest
+    return np.cumsum(np.append(np.frombuffer(raw, np.uint64, 1, 1), gaps.view(np.uint64).reshape(-1)), dtype=np.uint64)
+
+
+def packed_counts(counts: np.ndarray) -> bytes:
+    """A byte for each count; those of 255 and more follow in full."""
+    small = np.minimum(counts, 255).astype(np.uint8)
+    return small.tobytes() + counts[small == 255].astype(np.int64).tobytes()
+
+
+def unpacked_counts(raw: bytes, size: int) -> np.ndarray:
+    counts = np.frombuffer(raw, np.uint8, size).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(raw[size:], np.int64)
+    return counts
+
+
+def _asked(block: int, bucket: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.Table:
+    """One row for each bucket, from ascending keys."""
+    firsts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    cuts = [*zip(firsts, np.append(firsts[1:], len(bucket)), strict=True)]
+    return pa.table(
+        {
+            "bucket": pa.array(bucket[firsts], pa.int64()),
+            "block": pa.array(np.full(len(firsts), block, np.int64)),
+            "keys": pa.array([packed_keys(keys[a:b]) for a, b in cuts], pa.binary()),
+            "notes": pa.array([packed_counts(counts[a:b]) for a, b in cuts], pa.binary()),
+        }
+    )
+
+
 class _Tokens:
     """Tokens of a block's documents: distinct tokens and pairs, and the index of each place's token and pair."""
 
@@ -66,7 +110,7 @@ class _Tokens:
         self.pairs, self.pair = np.unique(mix(before) * np.uint64(0x9E3779B97F4A7C15) ^ tokens, return_inverse=True)
 
     def counted(self, which: np.ndarray, size: int) -> np.ndarray:
-        return np.bincount(which[self.training], minlength=size).astype(np.uint32)
+        return np.bincount(which[self.training], minlength=size)
 
 
 class Automaton:
@@ -105,39 +149,42 @@ def score(
 
     def ask(table: pa.Table, block: int) -> pa.Table:
         own = _Tokens(table, modulus, remainder)
-        one = packed_rows(block, split(own.tokens, number), own.tokens, own.counted(own.token, len(own.tokens)))
-        two = packed_rows(block, number + split(own.pairs, number), own.pairs, own.counted(own.pair, len(own.pairs)))
+        one = _asked(block, split(own.tokens, number), own.tokens, own.counted(own.token, len(own.tokens)))
+        two = _asked(block, number + split(own.pairs, number), own.pairs, own.counted(own.pair, len(own.pairs)))
         return pa.concat_tables([one, two])
 
-    def add_up(table: pa.Table) -> pa.Table:
-        """Counts over all blocks; from the token buckets also one row with block -1: tokens and kinds of tokens."""
-        keys = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
-        notes = np.concatenate([np.frombuffer(x, np.uint32) for x in table["notes"].to_pylist()])
+    def added_up(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        keys = [unpacked_keys(x) for x in table["keys"].to_pylist()]
+        notes = [unpacked_counts(x, len(k)) for x, k in zip(table["notes"].to_pylist(), keys, strict=True)]
         _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.bincount(inverse, weights=notes).astype(np.int64)
-        answers, ends = sums[inverse], np.cumsum(list(map(len, keys)))
-        said = [answers[e - len(k) : e].tobytes() for k, e in zip(keys, ends, strict=True)]
-        bucket = table["bucket"][0].as_py()
-        blocks_, buckets = table["block"].to_pylist(), table["bucket"].to_pylist()
-        totals = [(None, None)] * len(said)
-        if bucket < number:
-            blocks_, buckets, said = [*blocks_, -1], [*buckets, bucket], [*said, None]
-            totals.append((int(sums.sum()), int((sums > 0).sum())))
-        return pa.table(
-            {
-                "block": pa.array(blocks_, pa.int64()),
-                "bucket": pa.array(buckets, pa.int64()),
-                "said": pa.array(said, pa.binary()),
-                "tokens": pa.array([t[0] for t in totals], pa.int64()),
-                "kinds": pa.array([t[1] for t in totals], pa.int64()),
-            }
-        )
+        return keys, inverse, np.bincount(inverse, weights=np.concatenate(notes)).astype(np.int64)
 
-    def scored(table: pa.Table, block: int, tokens_said: np.ndarray, pairs_said: np.ndarray, totals: np.ndarray) -> pa.Table:
+    def answer(table: pa.Table) -> pa.Table:
+        """Counts over all blocks for each key that a block asked about."""
+        keys, inverse, sums = added_up(table)
+        answers, ends = sums[inverse], np.cumsum(list(map(len, keys)))
+        said = [packed_counts(answers[e - len(k) : e]) for k, e in zip(keys, ends, strict=True)]
+        sizes = pa.array(list(map(len, keys)), pa.int64())
+        return pa.table({"block": table["block"], "bucket": table["bucket"], "said": pa.array(said, pa.binary()), "size": sizes})
+
+    def total(table: pa.Table) -> pa.Table:
+        """Training tokens and kinds of tokens in a bucket of tokens."""
+        if table["bucket"][0].as_py() >= number:
+            return pa.table({"tokens": pa.array([], pa.int64()), "kinds": pa.array([], pa.int64())})
+        sums = added_up(table)[2]
+        return pa.table({"tokens": [int(sums.sum())], "kinds": [int((sums > 0).sum())]})
+
+    def scored(table: pa.Table, said: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return to_arrow_schema(schema).empty_table()
+        table = texts_in_order(table)
         own = _Tokens(table, modulus, remainder)
-        total, kinds, texts = map(int, totals.tobytes().decode().split(","))
-        counts = tokens_said.view(np.int64)
-        automaton = Automaton(counts, pairs_said.view(np.int64), texts, total, kinds, mu)
+        told = said.filter(pa.array(said["bucket"].to_numpy() < 0)).to_pylist()[0]
+        total, kinds, texts = map(int, told["said"].decode().split(","))
+        rows = said.filter(pa.array(said["bucket"].to_numpy() >= 0)).sort_by("bucket")
+        every = np.concatenate([unpacked_counts(x, n) for x, n in zip(rows["said"].to_pylist(), rows["size"].to_pylist(), strict=True)])
+        counts, pair_counts = every[: len(own.tokens)], every[len(own.tokens) :]
+        automaton = Automaton(counts, pair_counts, texts, total, kinds, mu)
         sums = lambda x: np.add.reduceat(x, own.firsts[:-1]) if len(x) else np.zeros(0)
         return pa.table(
             {
@@ -151,18 +198,18 @@ def score(
             }
         )
 
-    asked = first_pass(blocks, ask)
-    counted = asked.repartition(parts, "bucket").groupBy("bucket").applyInArrow(add_up, f"{ANSWERED}, tokens long, kinds long")
-    answers = counted.where("block >= 0").select("block", "bucket", "said").repartition(parts, "block")
-    id_text = F.col(doc_id).cast("long").cast("string")
-    held = F.coalesce(F.crc32(id_text) % modulus == remainder, F.lit(False))
-    texts = docs.agg(F.count_if(~held).alias("texts"))
-    sums = counted.where("block < 0").agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds"))
-    sums = sums.withColumn("one", F.lit(1)).join(texts.withColumn("one", F.lit(1)), "one")
-    told = sums.select(
+    schema = T.StructType.fromDDL(RESULT)
+    asked = first_pass(blocks, ask).repartition(parts, "bucket").groupBy("bucket")
+    answers = asked.applyInArrow(answer, "block long, bucket long, said binary, size long")
+    held = F.crc32(F.col(doc_id).cast("long").cast("string")) % modulus == remainder
+    texts = docs.agg(F.count_if(~F.coalesce(held, F.lit(False))).alias("texts"))
+    sums = asked.applyInArrow(total, "tokens long, kinds long").withColumn("texts", F.lit(0).cast("long"))
+    sums = sums.unionByName(texts.select(F.lit(0).cast("long").alias("tokens"), F.lit(0).cast("long").alias("kinds"), "texts"))
+    told = sums.agg(*[F.sum(c).alias(c) for c in ("tokens", "kinds", "texts")]).select(
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(number - 1).cast("long"))).alias("block"),
-        F.lit(0).cast("long").alias("bucket"),
+        F.lit(-1).cast("long").alias("bucket"),
         F.encode(F.concat_ws(",", "tokens", "kinds", "texts"), "UTF-8").alias("said"),
+        F.lit(0).cast("long").alias("size"),
     )
-    rounds = [answers.where(F.col("bucket") < number), answers.where(F.col("bucket") >= number), told]
-    return next_pass(blocks, rounds, scored, RESULT)
+    said = answers.unionByName(told).repartition(parts, "block")
+    return blocks.groupBy("block").cogroup(said.groupBy("block")).applyInArrow(scored, schema)
