@@ -21,9 +21,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 ASKED = "bucket long, block long, keys binary, notes binary"
 ANSWERED = "block long, bucket long, said binary"
 
-#: Texts of a block as (data, offsets, ids), and the answers of the rounds before.
-Ask = Callable[[pa.Table, list[dict[int, bytes]]], tuple[np.ndarray, np.ndarray, np.ndarray]]
-
 
 def text_bytes(docs: DataFrame, text: str) -> int:
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
