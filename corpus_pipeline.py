@@ -45,7 +45,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, their number, and whether they decode to the text."""
     workers.prepare(spark)
     path = public_tokenizers.path(PIECES)
-    coded = sentence_pieces.decode(sentence_pieces.encode(docs.select("doc_id", "text"), path), path)
+    coded = sentence_pieces.encode(docs.select("doc_id", "text"), path, decoded="decoded")
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 

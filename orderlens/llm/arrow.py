@@ -36,7 +36,7 @@ def with_text_results(
                 made = make(data[offsets[first] : offsets[last]], cut)
                 rows = batch.slice(first, last - first)
                 arrays = [rows.column(batch.schema.get_field_index(c)) for c in kept]
-                yield pa.RecordBatch.from_arrays([*arrays, *map(pa.array, made)], names=[*kept, *names])
+                yield pa.RecordBatch.from_arrays([*arrays, *(x if isinstance(x, pa.Array) else pa.array(x) for x in made)], names=[*kept, *names])
 
     return docs.mapInArrow(run, schema)
 

@@ -432,3 +432,28 @@ def _without(docs: DataFrame, ids: DataFrame, doc_id: str) -> DataFrame:
     ids = ids.withColumnRenamed("doc_id", "__id")
     ids = F.broadcast(ids) if ids.count() <= SMALL_IDS else ids
     return docs.join(ids, F.col(doc_id).cast("long") == F.col("__id"), "left_anti")
+
+
+ORACLE_SQL = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[pos:pos + {SHINGLE - 1}], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - {SHINGLE - 2}, 2))) AS pos FROM docs WHERE len(words) > 0)
+), sets AS (
+  SELECT doc_id, count(*) AS n, md5(string_agg(shingle, chr(10) ORDER BY shingle)) AS same FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+  JOIN sets s ON s.doc_id = x.doc_id JOIN sets t ON t.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, s.n, t.n HAVING 100 * count(*) >= {PERCENT} * (s.n + t.n - count(*))
+), reached AS (
+  SELECT doc_id AS node, doc_id AS other FROM docs
+  UNION SELECT node, b FROM reached JOIN links ON a = other
+), least AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, component_id,
+       CASE WHEN s.n IS NULL THEN d.doc_id ELSE min(d.doc_id) OVER (PARTITION BY s.same) END AS class_id
+FROM docs d JOIN least ON node = d.doc_id LEFT JOIN sets s ON s.doc_id = d.doc_id
+"""

@@ -50,13 +50,21 @@ def texts_of(model: PieceModel, ids: np.ndarray, offsets: np.ndarray) -> list[by
     return [raw[a + raw.startswith(b" ", a, b) : b] for a, b in zip(at, at[1:], strict=False)]
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Adds the ids of each whole text."""
+def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """Adds the ids of each whole text and, if it is given a name, the text that these ids decode to.
 
-    def make(data: np.ndarray, offsets: np.ndarray) -> list:
-        return [list_array(*ids_of(model_path, data, offsets))]
+    Decoding in the same pass spares a second Python worker in every task.
+    """
 
-    return with_text_results(docs, text, f"{ids} array<int>", make)
+    def make(data: np.ndarray, offsets: np.ndarray) -> list:
+        found, cuts = ids_of(model_path, data, offsets)
+        if decoded is None:
+            return [list_array(found, cuts)]
+        texts = texts_of(piece_model(model_path), found, cuts)
+        return [list_array(found, cuts), pa.array([t.decode(errors="replace") for t in texts], pa.string())]
+
+    results = f"{ids} array<int>" + (f", {decoded} string" if decoded else "")
+    return with_text_results(docs, text, results, make)
 
 
 def decode(encoded: DataFrame, model_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:

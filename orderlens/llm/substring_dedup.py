@@ -217,3 +217,24 @@ def _kept(table: pa.Table, words: _Words, gone: np.ndarray, with_text: bool) ->
         }
     )
     return result.append_column("kept_text", pa.array([t.decode() for t in texts], pa.string())) if with_text else result
+
+
+ORACLE_SQL = f"""
+WITH docs AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), windows AS (
+  SELECT doc_id, pos, row_number() OVER (
+    PARTITION BY array_to_string(words[pos:pos + {WINDOW - 1}], ' ') ORDER BY doc_id, pos) AS nth
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - {WINDOW - 2})) AS pos FROM docs)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + {WINDOW})) AS pos FROM windows WHERE nth > 1
+), counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+places AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM docs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS words FROM places ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(k.words, '')) AS kept_sha256
+FROM docs d LEFT JOIN counts c ON c.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""

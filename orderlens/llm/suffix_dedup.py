@@ -404,3 +404,25 @@ def _kept(table: pa.Table, runs: _Runs, starts: np.ndarray, length: int, with_ke
         texts = [t.decode(errors="ignore") for t in kept]
         result = result.append_column("kept", pa.array(kept, pa.binary())).append_column("kept_text", pa.array(texts, pa.string()))
     return result
+
+
+ORACLE_SQL = f"""
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents),
+windows AS (
+  SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY substr(digits, 2 * pos - 1, {2 * LENGTH})) < doc_id AS again
+  FROM (SELECT doc_id, digits, unnest(range(1, len(digits) // 2 - {LENGTH - 2})) AS pos FROM docs)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + {LENGTH})) AS pos FROM windows WHERE again
+), counts AS (
+  SELECT doc_id, count(*) AS n, count(*) FILTER (before IS DISTINCT FROM pos - 1) AS spans
+  FROM (SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM gone) GROUP BY doc_id
+), places AS (
+  SELECT doc_id, pos, substr(digits, 2 * pos - 1, 2) AS byte
+  FROM (SELECT doc_id, digits, unnest(range(1, len(digits) // 2 + 1)) AS pos FROM docs)
+), kept AS (
+  SELECT doc_id, string_agg(byte, '' ORDER BY pos) AS digits FROM places ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT d.doc_id, (len(d.digits) // 2)::BIGINT AS n_bytes, coalesce(c.n, 0)::BIGINT AS n_removed,
+       coalesce(c.spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k.digits, ''))) AS kept_sha256
+FROM docs d LEFT JOIN counts c ON c.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""

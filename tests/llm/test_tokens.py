@@ -116,6 +116,8 @@ def test_encoding_keeps_other_columns(docs):
     for r in coded.collect():
         assert r["ids"] == LIBRARY.encode(r["text"] or "") and r["decoded"] == (r["text"] or "")
         assert (r["lang"], r["n_tokens"]) == ("en", "kept")
+    at_once = sentence_pieces.encode(docs([*enumerate(TEXTS)]), PIECES, decoded="decoded")
+    assert sorted(map(str, at_once.collect())) == sorted(map(str, coded.collect()))
     assert sentence_pieces.encode(docs([]), PIECES).collect() == []
     replaced = token_counts.count_tokens(docs([(1, "a")]), PIECES, 5)
     assert dict(replaced.dtypes)["n_tokens"] == "bigint" and replaced.columns.count("n_tokens") == 1
