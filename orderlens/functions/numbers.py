@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -67,27 +68,67 @@ def population_variance(n: Column, sums: dict[str, Column], scale: int = SCALE)
     Taken about a whole number next to the mean, in whole numbers, so nothing overflows or cancels at any group
     size. Where n times the result fits 38 digits the quotient is rounded once, else in its two terms.
     """
-    count = _whole(n)
-    high, low, high_high, high_low, low_low = (_whole(sums[name]) for name in SQUARE_SUMS)
-    # First each part about its own whole mean, then the amounts about theirs.
-    at_high, at_low = _parts(high, count)[0], _parts(low, count)[0]
-    hh = high_high - _whole(at_high * high) * 2 + _whole(count * _whole(at_high * at_high))
-    hl = high_low - _whole(at_high * low) - _whole(at_low * high) + _whole(count * _whole(at_high * at_low))
-    ll = low_low - _whole(at_low * low) * 2 + _whole(count * _whole(at_low * at_low))
-    total = _whole((high - _whole(at_high * count)) * LIMB) + low - _whole(at_low * count)
-    mean, rest = _parts(_whole(total), count)
-    moved = _whole(mean * total) * 2 - _whole(count * _whole(mean * mean))
-    middle_up, middle_rest = _parts(_whole(hl * 2), F.lit(LIMB))
-    up, least = _parts(_whole(_whole(middle_rest * LIMB) + _whole(ll) - _whole(moved)), F.lit(LIMB * LIMB))
-    most = _whole(_whole(hh) + middle_up + up)
     unit = F.lit(Decimal(1).scaleb(-2 * scale))
-    as_double = n.cast("double")
-    squares = F.try_add(F.try_multiply(most, F.lit(LIMB * LIMB).cast("decimal(19,0)")), least)
-    once = F.try_subtract(F.try_multiply(squares, count), F.try_multiply(rest, rest))
-    exact = F.try_multiply(once, unit).cast("double") / (as_double * as_double)
-    share = rest.cast("double") / as_double
-    apart = (most.cast("double") * float(LIMB * LIMB) + least.cast("double")) / as_double - share * share
-    return F.when(n > 0, F.coalesce(exact, apart / float(10 ** (2 * scale))))
+
+    def about_means(v: Column) -> Column:
+        """Each part about its own whole mean."""
+        at_high, at_low = _parts(v["high"], v["n"])[0], _parts(v["low"], v["n"])[0]
+        return _let({"high": at_high, "low": at_low}, lambda at: moved(v, at))
+
+    def moved(v: Column, at: Column) -> Column:
+        times = lambda a, b: _whole(a * b)
+        n_of = lambda a, b: times(v["n"], times(a, b))
+        values = {
+            "hh": v["high_high"] - times(at["high"], v["high"]) * 2 + n_of(at["high"], at["high"]),
+            "hl": v["high_low"]
+            - times(at["high"], v["low"])
+            - times(at["low"], v["high"])
+            + n_of(at["high"], at["low"]),
+            "ll": v["low_low"] - times(at["low"], v["low"]) * 2 + n_of(at["low"], at["low"]),
+            "total": times(v["high"] - times(at["high"], v["n"]), F.lit(LIMB))
+            + v["low"]
+            - times(at["low"], v["n"]),
+        }
+        return _let({k: _whole(x) for k, x in values.items()}, lambda w: about_total(v, w))
+
+    def about_total(v: Column, w: Column) -> Column:
+        """The amounts about their whole mean."""
+        mean, rest = _parts(w["total"], v["n"])
+        middle_up, middle_rest = _parts(_whole(w["hl"] * 2), F.lit(LIMB))
+        values = {"mean": mean, "rest": rest, "middle_up": middle_up, "middle_rest": middle_rest}
+        return _let(values, lambda m: put_together(v, w, m))
+
+    def put_together(v: Column, w: Column, m: Column) -> Column:
+        shift = _whole(m["mean"] * w["total"]) * 2 - _whole(v["n"] * _whole(m["mean"] * m["mean"]))
+        low = _whole(_whole(m["middle_rest"] * LIMB) + w["ll"] - _whole(shift))
+        return _let({"low": low}, lambda x: carried(v, w, m, x))
+
+    def carried(v: Column, w: Column, m: Column, x: Column) -> Column:
+        up, least = _parts(x["low"], F.lit(LIMB * LIMB))
+        most = _whole(w["hh"] + m["middle_up"] + up)
+        return _let({"most": most, "least": least}, lambda y: divided(v, m, y))
+
+    def divided(v: Column, m: Column, y: Column) -> Column:
+        as_double = v["n"].cast("double")
+        squares = F.try_add(
+            F.try_multiply(y["most"], F.lit(LIMB * LIMB).cast("decimal(19,0)")), y["least"]
+        )
+        once = F.try_subtract(F.try_multiply(squares, v["n"]), F.try_multiply(m["rest"], m["rest"]))
+        exact = F.try_multiply(once, unit).cast("double") / (as_double * as_double)
+        share = m["rest"].cast("double") / as_double
+        apart = (
+            y["most"].cast("double") * float(LIMB * LIMB) + y["least"].cast("double")
+        ) / as_double - share * share
+        return F.coalesce(exact, apart / float(10 ** (2 * scale)))
+
+    values = {"n": _whole(F.when(n > 0, n)), **{name: _whole(sums[name]) for name in SQUARE_SUMS}}
+    return _let(values, about_means)
+
+
+def _let(values: dict[str, Column], body: Callable[[Column], Column]) -> Column:
+    """body(record of the values), each value worked out once however often the body uses it."""
+    record = F.struct(*[value.alias(name) for name, value in values.items()])
+    return F.transform(F.array(record), body)[0]
 
 
 def _whole(value: Column) -> Column:
