@@ -101,19 +101,17 @@ def templates(shapes: DataFrame, depth: int = DEPTH, children: int = CHILDREN) -
 
 def estimates(rows: DataFrame, depth: int = DEPTH, z: float = Z, weight: float = WEIGHT) -> DataFrame:
     """Adds each shape's estimate, the smoothed share of bad labels of its template's node."""
-    root = rows.agg(F.sum("labelled").alias("parent_labelled"), F.sum("bad").alias("parent_bad"))
-    root = root.select(
-        F.coalesce("parent_labelled", F.lit(0)).alias("parent_labelled"),
-        F.coalesce("parent_bad", F.lit(0)).alias("parent_bad"),
-    ).withColumn("estimate", F.col("parent_bad") / F.greatest("parent_labelled", F.lit(1)))
-    rows = rows.withColumn("node", F.lit(""))
-    nodes = root.withColumn("node", F.lit(""))
+    root = rows.agg(F.sum("labelled"), F.sum("bad")).first()
+    labelled, bad = (int(x or 0) for x in root)
+    rows, nodes = rows.withColumn("node", F.lit("")), None
+    top = {"parent_labelled": labelled, "parent_bad": bad, "estimate": bad / max(labelled, 1)}
     for level in range(-1, depth + 1):
         # level -1 is the host; below it the first segments of the template; the last holds what lies deeper
         name = F.concat_ws("/", F.lit("h:"), "host", F.array_join(_prefix(level + 1), "/"))
         deep = F.size("template") > level
         step = rows.where(deep).groupBy("node", name.alias("next")).agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-        step = joined(step, nodes, ["node"])
+        # the root is one row, so its values need no join
+        step = step.withColumns({k: F.lit(v) for k, v in top.items()}) if nodes is None else joined(step, nodes, ["node"])
         others = F.greatest(F.col("parent_labelled") - F.col("labelled"), F.lit(0))
         other_bad = F.greatest(F.col("parent_bad") - F.col("bad"), F.lit(0))
         pooled = F.col("parent_bad") / F.greatest("parent_labelled", F.lit(1))
@@ -127,7 +125,7 @@ def estimates(rows: DataFrame, depth: int = DEPTH, z: float = Z, weight: float =
             F.col("bad").alias("parent_bad"),
             F.when(alike, F.col("estimate")).otherwise(own).alias("estimate"),
         )
-        nodes = nodes.unionByName(step) if level >= 0 else step
+        nodes = step if nodes is None else nodes.unionByName(step)
         rows = rows.withColumn("node", F.when(deep, name).otherwise(F.col("node")))
     return joined(rows, nodes.select("node", "estimate"), ["node"]).drop("node")
 
