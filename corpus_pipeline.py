@@ -15,6 +15,8 @@ from orderlens.sources.sinks import work_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 PIECES = "piece_bpe_32k.model"
+#: Near copies share so many percent of their shingles of so many words; op4's contract has its own.
+COPY_WORDS, COPY_PERCENT = 5, 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents stays: the one of the least id."""
     workers.prepare(spark)
-    return jaccard_join.one_of_each(docs)
+    return jaccard_join.one_of_each(docs, percent=COPY_PERCENT, shingle=COPY_WORDS)
 
 
 def repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

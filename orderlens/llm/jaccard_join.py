@@ -1,6 +1,6 @@
 """Size-aware Jaccard join of documents on word shingles, and the groups it links.
 
-A document's set holds its distinct shingles of four words, A-Z lower-cased. Equal sets are one class from the
+A document's set holds its distinct shingles of `shingle` words (four by default), A-Z lower-cased. Equal sets are one class from the
 start. Two classes link at a Jaccard similarity of `percent` or more.
 
 Small sets (up to a boundary): two linked sets share a subset that lacks few elements of either, so every
@@ -17,7 +17,7 @@ The boundary is the one with the least estimated cost, subsets against list entr
 sizes. Shingles that are frequent in a sample of documents stand last in the order, which only keeps lists
 short. Sets are compared by 64-bit hashes of shingles.
 
-A text of one to three words has its whole sequence as one shingle. Null text, or one without words, has an
+A text of fewer words than a shingle has its whole sequence as one. Null text, or one without words, has an
 empty set, links with nothing and is a component by itself. A row without id gets no links and a null component. Rows
 of one id are one document. Tables without rows give none.
 """
@@ -60,7 +60,7 @@ def least_overlap(n: int, percent: int = PERCENT) -> int:
     return -(-percent * n // 100)
 
 
-def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
+def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> Iterator[np.ndarray]:
     """Sorted hashes of the distinct shingles of each text."""
     data, offsets = column_buffer(column)
     data = data + np.where((data >= 0x41) & (data <= 0x5A), np.uint8(32), np.uint8(0))
@@ -69,9 +69,9 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
         starts, ends, firsts = word_spans(part, offsets[a : b + 1] - offsets[a])
         sums = prefix_sums(text_hashes(part, starts, ends))
         counts = np.diff(firsts)
-        sizes = np.where(counts >= SHINGLE, counts - SHINGLE + 1, np.minimum(counts, 1))
+        sizes = np.where(counts >= shingle, counts - shingle + 1, np.minimum(counts, 1))
         at = ranges(firsts[:-1], sizes)
-        width = np.repeat(np.minimum(counts, SHINGLE), sizes)
+        width = np.repeat(np.minimum(counts, shingle), sizes)
         hashes = span_hashes(sums, at, at + width)
         owner = np.repeat(np.arange(b - a), sizes)
         order = np.lexsort((hashes, owner))
@@ -105,12 +105,12 @@ def in_order(values: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return values[np.lexsort((mix(values), late))]
 
 
-def frequent_shingles(docs: DataFrame) -> np.ndarray:
+def frequent_shingles(docs: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
     """At most `MOST_FREQUENT` shingles that occur `FREQUENT` times or more in the sample, the most frequent ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [*shingle_sets(batch.column(0))]
+            found = [*shingle_sets(batch.column(0), shingle)]
             values = np.concatenate(found) if found else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], names=["shingle"])
 
@@ -120,14 +120,14 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
     return np.sort(top.toArrow()["shingle"].to_numpy().view(np.uint64))
 
 
-def digests(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
+def digests(docs: DataFrame, frequent: np.ndarray, percent: int, shingle: int = SHINGLE) -> DataFrame:
     """Per document: set size, two hashes of the set, its first shingles in the global order, and its sketch."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for values in shingle_sets(batch.column(1)):
+            for values in shingle_sets(batch.column(1), shingle):
                 n = len(values)
                 keys = [int(mix(values * np.uint64(2 * k + 1) + np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) for k in (1, 2)]
                 head = in_order(values, shared.value)[: head_size(n, percent)]
@@ -268,14 +268,14 @@ def sketched(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, percent: int, shingle: int = SHINGLE) -> DataFrame:
     """The pairs (a, b) of documents whose whole sets link."""
     pairs = landed(pairs, "pairs")
     ids = landed(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair_ids")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [v.tobytes() for v in shingle_sets(batch.column(1))]
+            found = [v.tobytes() for v in shingle_sets(batch.column(1), shingle)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "set"])
 
     ids = F.broadcast(ids) if ids.count() <= SMALL_IDS else ids
@@ -369,10 +369,12 @@ def _rows(whole, at, half, half_at, words, which, width) -> np.ndarray:
     return flat[start + np.where(exact, 0, len(whole))[:, None]]
 
 
-def linked_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def linked_classes(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT, shingle: int = SHINGLE
+) -> tuple[DataFrame, DataFrame]:
     """Digests of all documents, and node and component of every class in a link. Classes bear their least document id."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    digest = landed(digests(docs, frequent_shingles(docs), percent), "digests")
+    digest = landed(digests(docs, frequent_shingles(docs, shingle), percent, shingle), "digests")
     named = digest.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = named.groupBy("k1", "k2").agg(
         F.min("doc_id").alias("node"), F.min("n").alias("n"), F.min("head").alias("head"), F.min("sketch").alias("sketch")
@@ -382,10 +384,10 @@ def linked_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     x = boundary(sizes, percent)
     lists = landed(postings(classes, x, percent), "postings")
     small = subset_links(classes, x, percent)
-    large = verified(sketched(star_pairs(lists, percent), classes, percent), docs, percent)
+    large = verified(sketched(star_pairs(lists, percent), classes, percent), docs, percent, shingle)
     links = landed(small.union(large), "links")
     groups = landed(components(links), "components")
-    rest = verified(cross_pairs(lists, groups, classes, percent), docs, percent)
+    rest = verified(cross_pairs(lists, groups, classes, percent), docs, percent, shingle)
     return digest, landed(components(links.union(rest)), "components")
 
 
@@ -395,9 +397,9 @@ def _histogram(classes: DataFrame) -> list:
     return classes.groupBy(size.alias("n")).agg(F.count(F.lit(1)).alias("many")).collect()
 
 
-def join_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
+def join_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id and class_id (least id with the same set) of every document."""
-    digest, groups = linked_classes(docs, text, doc_id, percent)
+    digest, groups = linked_classes(docs, text, doc_id, percent, shingle)
     rows = digest.select("doc_id", "n", "k1", "k2")
     named = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = named.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
@@ -412,12 +414,12 @@ def join_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", per
     )
 
 
-def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """The documents, all their columns, without those that a smaller document id reaches by links.
 
     Rows without id stay. Of several rows of one id the first by text stays.
     """
-    groups = landed(join_groups(docs, text, doc_id, percent), "groups")
+    groups = landed(join_groups(docs, text, doc_id, percent, shingle), "groups")
     gone = landed(groups.where("component_id <> doc_id").select("doc_id").distinct(), "gone")
     rest = _without(docs, gone, doc_id)
     twice = landed(groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated_ids")
