@@ -2,9 +2,10 @@
 
 Every path becomes a shape: numbers and long hexadecimal segments are wildcards, digits inside other
 segments become `#`, and what lies below `DEPTH` segments is one `**`. Shapes are counted per host. Level by
-level, a place in the tree with more than `children` different segments turns them all into `*`. Each
+level, a place in the tree with more than `children` different segments keeps those that have `least` labels or
+more and whose share of bad labels differs from the others' by a two-proportion test at `z`; the rest become `*`. Each
 node of the resulting tree sums the labels below it. From the root down, a node whose share of bad labels
-does not differ from its siblings' by a two-proportion test at `z` merges with them and takes its parent's
+does not differ from its siblings' by the same test merges with them and takes its parent's
 estimate; another node gets its own share, smoothed by `weight` pseudo-labels at the parent's estimate. A
 template is rejected if its estimate reaches `reject`.
 
@@ -28,6 +29,8 @@ DEPTH = 4
 CHILDREN = 50
 Z = 1.96
 WEIGHT = 10.0
+#: Labels with which a segment of a wide place can stand by itself: as many as the pseudo-labels.
+LEAST = 10
 REJECT = 0.5
 #: Rejected (host, shape) rows up to which they are sent to every task.
 SMALL = 500_000
@@ -81,21 +84,46 @@ def _prefix(level: int, column: str = "template") -> Column:
     return F.slice(column, 1, level)
 
 
-def templates(shapes: DataFrame, depth: int = DEPTH, children: int = CHILDREN) -> DataFrame:
-    """Adds each shape's template: its segments, with `*` at places that have too many different ones."""
+def _alike(labelled: Column, bad: Column, all_labelled: Column, all_bad: Column, z: float) -> Column:
+    """Whether a node's share of bad labels does not differ from that of its siblings, which with it sum to `all`."""
+    others = F.greatest(all_labelled - labelled, F.lit(0))
+    other_bad = F.greatest(all_bad - bad, F.lit(0))
+    pooled = all_bad / F.greatest(all_labelled, F.lit(1))
+    gap = F.abs(bad / F.greatest(labelled, F.lit(1)) - other_bad / F.greatest(others, F.lit(1)))
+    error = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest(labelled, F.lit(1)) + 1 / F.greatest(others, F.lit(1))))
+    return (labelled == 0) | (others == 0) | (gap <= error * z)
+
+
+def _starred(rows: DataFrame, level: int, children: int, z: float, least: float) -> DataFrame:
+    """Segments at this level become `*` where they are too many and too few labels tell them from the others."""
+    rows = rows.withColumns({"prefix": F.array_join(_prefix(level), "/"), "child": F.get("template", F.lit(level))})
+    sums = [F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")]
+    each = landed(rows.where(F.col("child").isNotNull()).groupBy("host", "prefix", "child").agg(*sums), "url_children")
+    wide = each.groupBy("host", "prefix").agg(
+        F.count(F.lit(1)).alias("kinds"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad")
+    )
+    wide = landed(wide.where(F.col("kinds") > children), "url_wide")
+    if wide.isEmpty():
+        return rows.drop("prefix", "child")
+    wide = broadcast_if_small(wide, SMALL)
+    alike = _alike(F.col("labelled"), F.col("bad"), F.col("all_labelled"), F.col("all_bad"), z)
+    own = joined(each, wide, ["host", "prefix"], "inner").where((F.col("labelled") >= least) & ~alike)
+    own = landed(own.select("host", "prefix", "child", F.lit(True).alias("own")), "url_own")
+    rows = joined(rows, wide.select("host", "prefix", "kinds"), ["host", "prefix"])
+    rows = joined(rows, broadcast_if_small(own, SMALL), ["host", "prefix", "child"])
+    star = F.concat(_prefix(level), F.array(F.lit("*")), F.slice("template", F.lit(level + 2), F.size("template")))
+    merged = F.col("kinds").isNotNull() & F.col("own").isNull() & F.col("child").isNotNull()
+    rows = rows.withColumn("template", F.when(merged, star).otherwise(F.col("template")))
+    return landed(rows.drop("prefix", "child", "kinds", "own"), "url_starred")
+
+
+def templates(shapes: DataFrame, depth: int = DEPTH, children: int = CHILDREN, z: float = Z, least: float = LEAST) -> DataFrame:
+    """Adds each shape's template: its segments, with `*` at places that have too many different ones that are alike."""
     rows = shapes.withColumn("template", F.col("shape"))
+    if "labelled" not in rows.columns:
+        rows = rows.withColumns({"labelled": F.lit(0), "bad": F.lit(0)})
     for level in range(depth):
-        here = rows.where(F.size("template") > level)
-        wide = (
-            here.groupBy("host", _prefix(level).alias("prefix"))
-            .agg(F.count_distinct(F.col("template")[level]).alias("kinds"))
-            .where(F.col("kinds") > children)
-            .withColumn("prefix", F.array_join("prefix", "/"))
-        )
-        rows = joined(rows.withColumn("prefix", F.array_join(_prefix(level), "/")), wide, ["host", "prefix"])
-        star = F.concat(_prefix(level), F.array(F.lit("*")), F.slice("template", level + 2, depth + 1))
-        rows = rows.withColumn("template", F.when(F.col("kinds").isNotNull() & (F.size("template") > level), star).otherwise(F.col("template")))
-        rows = rows.drop("prefix", "kinds")
+        rows = _starred(rows, level, children, z, least)
     return rows
 
 
@@ -112,12 +140,7 @@ def estimates(rows: DataFrame, depth: int = DEPTH, z: float = Z, weight: float =
         step = rows.where(deep).groupBy("node", name.alias("next")).agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
         # the root is one row, so its values need no join
         step = step.withColumns({k: F.lit(v) for k, v in top.items()}) if nodes is None else joined(step, nodes, ["node"])
-        others = F.greatest(F.col("parent_labelled") - F.col("labelled"), F.lit(0))
-        other_bad = F.greatest(F.col("parent_bad") - F.col("bad"), F.lit(0))
-        pooled = F.col("parent_bad") / F.greatest("parent_labelled", F.lit(1))
-        gap = F.abs(F.col("bad") / F.greatest("labelled", F.lit(1)) - other_bad / F.greatest(others, F.lit(1)))
-        error = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest("labelled", F.lit(1)) + 1 / F.greatest(others, F.lit(1))))
-        alike = (F.col("labelled") == 0) | (others == 0) | (gap <= error * z)
+        alike = _alike(F.col("labelled"), F.col("bad"), F.col("parent_labelled"), F.col("parent_bad"), z)
         own = (F.col("bad") + F.col("estimate") * weight) / (F.col("labelled") + weight)
         step = step.select(
             F.col("next").alias("node"),
@@ -141,6 +164,7 @@ def judge(
     z: float = Z,
     weight: float = WEIGHT,
     reject: float = REJECT,
+    least: float = LEAST,
 ) -> DataFrame:
     """page_id, host, path, rule and verdict of every page. `labels` has page_id and bad (boolean)."""
     rows = pages.select(F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
@@ -155,7 +179,7 @@ def judge(
         ),
         "url_shapes",
     )
-    tree = estimates(landed(templates(shapes, depth, children), "url_templates"), depth, z, weight)
+    tree = estimates(landed(templates(shapes, depth, children, z, least), "url_templates"), depth, z, weight)
     bad = tree.where(F.col("estimate") >= reject).select("host", F.array_join("shape", "/").alias("key"), F.lit(True).alias("rejected"))
     bad = broadcast_if_small(landed(bad, "url_rejected"), SMALL)
     out = joined(rows.withColumn("key", F.array_join("shape", "/")), bad, ["host", "key"])
