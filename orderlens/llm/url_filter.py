@@ -1,9 +1,10 @@
 """URL verdicts from rules and, where no rule fits, from a tree of path templates per host.
 
 Every path becomes a shape: numbers and long hexadecimal segments are wildcards, digits inside other
-segments become `#`, and what lies below `DEPTH` segments is one `**`. Shapes are counted per host. Level by
+segments become `#`. Whole shapes are counted per host. Level by
 level, a place in the tree with more than `children` different segments keeps those that have `least` labels or
-more and whose share of bad labels differs from the others' by a two-proportion test at `z`; the rest become `*`. Each
+more and whose share of bad labels differs from the others' by a two-proportion test at `z`; the rest become `*`. From
+`depth` segments on, the tree goes on only below nodes with good and bad labels; what lies below others is one `**`. Each
 node of the resulting tree sums the labels below it. From the root down, a node whose share of bad labels
 does not differ from its siblings' by the same test merges with them and takes its parent's
 estimate; another node gets its own share, smoothed by `weight` pseudo-labels at the parent's estimate. A
@@ -65,8 +66,8 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def shape_of(path: Column, depth: int = DEPTH) -> Column:
-    """Segments of the path with wildcards for numbers and long hexadecimal runs, at most depth + 1."""
+def shape_of(path: Column, depth: int | None = DEPTH) -> Column:
+    """Segments of the path with wildcards for numbers and long hexadecimal runs, at most depth + 1 if depth is given."""
 
     def general(part: Column) -> Column:
         return (
@@ -76,6 +77,8 @@ def shape_of(path: Column, depth: int = DEPTH) -> Column:
         )
 
     parts = F.transform(F.array_remove(F.split(path, "/"), ""), general)
+    if depth is None:
+        return parts
     head = F.slice(parts, 1, depth)
     return F.when(F.size(parts) > depth, F.concat(head, F.array(F.lit("**")))).otherwise(head)
 
@@ -118,28 +121,51 @@ def _starred(rows: DataFrame, level: int, children: int, z: float, least: float)
 
 
 def templates(shapes: DataFrame, depth: int = DEPTH, children: int = CHILDREN, z: float = Z, least: float = LEAST) -> DataFrame:
-    """Adds each shape's template: its segments, with `*` at places that have too many different ones that are alike."""
+    """Adds each shape's template: its segments, with `*` at places that have too many different ones that are alike.
+
+    Below `depth` segments, `**` stands for all that follows a node whose labels are all good, all bad or none.
+    """
     rows = shapes.withColumn("template", F.col("shape"))
     if "labelled" not in rows.columns:
         rows = rows.withColumns({"labelled": F.lit(0), "bad": F.lit(0)})
     for level in range(depth):
         rows = _starred(rows, level, children, z, least)
-    return rows
-
-
-def estimates(rows: DataFrame, depth: int = DEPTH, z: float = Z, weight: float = WEIGHT) -> DataFrame:
+    level, rows = depth, rows.withColumn("closed", F.lit(False))
+    while True:
+        rows = landed(_closed(rows, level), "url_closed")
+        if rows.where(~F.col("closed") & (F.size("template") > level)).isEmpty():
+            return rows.drop("closed")
+        ended = rows.where("closed")
+        rows = _starred(rows.where("NOT closed"), level, children, z, least).unionByName(ended)
+        level += 1
+
+
+def _closed(rows: DataFrame, level: int) -> DataFrame:
+    """Rows that go on below level under a node whose labels there are of one kind or none end in `**`."""
+    rows = rows.withColumn("prefix", F.array_join(_prefix(level), "/"))
+    below = ~F.col("closed") & (F.size("template") > level)
+    mixed = rows.where(below).groupBy("host", "prefix").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    mixed = mixed.where((F.col("bad") > 0) & (F.col("bad") < F.col("labelled"))).select("host", "prefix", F.lit(True).alias("mixed"))
+    rows = joined(rows, broadcast_if_small(landed(mixed, "url_mixed"), SMALL), ["host", "prefix"])
+    ends = below & F.col("mixed").isNull()
+    end = F.concat(_prefix(level), F.array(F.lit("**")))
+    rows = rows.withColumns({"template": F.when(ends, end).otherwise(F.col("template")), "closed": F.col("closed") | ends})
+    return rows.drop("prefix", "mixed")
+
+
+def estimates(rows: DataFrame, z: float = Z, weight: float = WEIGHT) -> DataFrame:
     """Adds each shape's estimate, the smoothed share of bad labels of its template's node."""
-    root = rows.agg(F.sum("labelled"), F.sum("bad")).first()
-    labelled, bad = (int(x or 0) for x in root)
-    rows, nodes = rows.withColumn("node", F.lit("")), None
+    root = rows.agg(F.sum("labelled"), F.sum("bad"), F.max(F.size("template"))).first()
+    labelled, bad, deepest = (int(x or 0) for x in root)
+    rows, above, nodes = rows.withColumn("node", F.lit("")), None, None
     top = {"parent_labelled": labelled, "parent_bad": bad, "estimate": bad / max(labelled, 1)}
-    for level in range(-1, depth + 1):
-        # level -1 is the host; below it the first segments of the template; the last holds what lies deeper
+    for level in range(-1, deepest):
+        # level -1 is the host; below it the first segments of the template
         name = F.concat_ws("/", F.lit("h:"), "host", F.array_join(_prefix(level + 1), "/"))
         deep = F.size("template") > level
         step = rows.where(deep).groupBy("node", name.alias("next")).agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
         # the root is one row, so its values need no join
-        step = step.withColumns({k: F.lit(v) for k, v in top.items()}) if nodes is None else joined(step, nodes, ["node"])
+        step = step.withColumns({k: F.lit(v) for k, v in top.items()}) if above is None else joined(step, above, ["node"])
         alike = _alike(F.col("labelled"), F.col("bad"), F.col("parent_labelled"), F.col("parent_bad"), z)
         own = (F.col("bad") + F.col("estimate") * weight) / (F.col("labelled") + weight)
         step = step.select(
@@ -148,7 +174,9 @@ def estimates(rows: DataFrame, depth: int = DEPTH, z: float = Z, weight: float =
             F.col("bad").alias("parent_bad"),
             F.when(alike, F.col("estimate")).otherwise(own).alias("estimate"),
         )
-        nodes = step if nodes is None else nodes.unionByName(step)
+        # a longer chain of joins is cut by a written table at each level
+        above = step if level < DEPTH else landed(step, "url_nodes")
+        nodes = above if nodes is None else nodes.unionByName(above)
         rows = rows.withColumn("node", F.when(deep, name).otherwise(F.col("node")))
     return joined(rows, nodes.select("node", "estimate"), ["node"]).drop("node")
 
@@ -168,7 +196,7 @@ def judge(
 ) -> DataFrame:
     """page_id, host, path, rule and verdict of every page. `labels` has page_id and bad (boolean)."""
     rows = pages.select(F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    rows = rows.withColumn("shape", shape_of(F.col("path"), depth))
+    rows = rows.withColumn("shape", shape_of(F.col("path"), None))
     known = labels.groupBy("page_id").agg(F.count("bad").alias("labelled"), F.count_if("bad").alias("bad"))
     counted = rows.select("page_id", "host", "shape").join(known, "page_id", "left").groupBy("host", "shape")
     shapes = landed(
@@ -179,7 +207,7 @@ def judge(
         ),
         "url_shapes",
     )
-    tree = estimates(landed(templates(shapes, depth, children, z, least), "url_templates"), depth, z, weight)
+    tree = estimates(templates(shapes, depth, children, z, least), z, weight)
     bad = tree.where(F.col("estimate") >= reject).select("host", F.array_join("shape", "/").alias("key"), F.lit(True).alias("rejected"))
     bad = broadcast_if_small(landed(bad, "url_rejected"), SMALL)
     out = joined(rows.withColumn("key", F.array_join("shape", "/")), bad, ["host", "key"])

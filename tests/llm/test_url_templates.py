@@ -30,3 +30,18 @@ def test_a_bad_section_goes_among_any_number_of_sections(blocked, sections):
 def test_segments_that_are_alike_still_share_labels(blocked):
     pages = [(f"http://h.org/{name(u)}/{kind}/x", kind == "casino") for u in range(80) for kind in ("casino", "casino", "news", "news", "news")]
     assert blocked(pages) == {k for k, (_, bad) in enumerate(pages) if bad}
+
+
+@pytest.mark.parametrize("between", ["", "posts/all/of/them/"])
+def test_templates_that_differ_below_four_segments_are_told_apart(blocked, between):
+    pages = []
+    for kind, bad in (("casino", True), ("news", False), ("sport", False)):
+        pages += [(f"http://h.org/blog/user/2020/05/{between}{kind}/{name(k)}", bad if k % 2 else None) for k in range(60)]
+    assert blocked(pages) == set(range(60))
+
+
+def test_one_kind_of_labels_needs_no_deeper_tree(spark):
+    rows = [("h", list("abcdefg"), 3, 0), ("h", list("abcdexy"), 3, 0), ("g", list("abcdefg"), 3, 0), ("g", list("abcdexy"), 3, 3), ("g", list("abcd"), 1, 0)]
+    frame = spark.createDataFrame(rows, "host string, shape array<string>, labelled int, bad int")
+    found = {(r["host"], "".join(r["template"])) for r in op.templates(frame).collect()}
+    assert found == {("h", "abcd**"), ("g", "abcdef**"), ("g", "abcdex**"), ("g", "abcd")}
