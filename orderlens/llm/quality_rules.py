@@ -7,6 +7,15 @@ is summed in every task before anything moves. Quartiles of the sketch give the
 
     upper = q75 + reach * max(q75 - q25, slack)         lower = q25 - reach * max(q75 - q25, slack)
 
+No group decides its tolerance alone. Its spread q75 - q25 is held against that of its language, where each source
+weighs as many documents as it has, `least` at most. Where it is wider, the limits are no further than
+
+    anchor +- (reach + 1) * max(wider level's spread, slack)
+
+from q25 for the rates, which have upper limits only, and from the median for word length. So junk up to three quarters of a
+source (half, for word length) does not widen its limits, and a source that is uniformly unlike the others keeps limits about
+itself. A source that has its language to itself is held, but for word length, against all groups.
+
 A (language, source) with fewer than `least` documents takes the merged sketch of its language, and a
 language with fewer that of all documents. The documents are then joined with the thresholds.
 
@@ -115,28 +124,50 @@ def merge(*sketches: DataFrame) -> DataFrame:
 
 
 def quartiles(bins: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, signal, n, q25 and q75 of a sketch, as lower ends of bins."""
+    """keys, signal, n, q25, q50 and q75 of a sketch, as lower ends of bins."""
     group = Window.partitionBy(*keys, "signal")
     upto = F.sum("n").over(group.orderBy("bin"))
     total = F.sum("n").over(group)
     ranked = bins.select(*keys, "signal", "bin", upto.alias("upto"), total.alias("total"))
     at = lambda q: F.min(F.when(F.col("upto") * 100 >= F.col("total") * q, F.col("bin"))).alias(f"q{q}")
-    return ranked.groupBy(*keys, "signal").agg(F.max("total").alias("n"), at(25), at(75))
+    return ranked.groupBy(*keys, "signal").agg(F.max("total").alias("n"), at(25), at(50), at(75))
+
+
+def spreads(bins: DataFrame, own: DataFrame, least: int = LEAST) -> DataFrame:
+    """lang, source, signal and bound, the spread at the wider level, null where there is none. `own` has the groups' quartiles."""
+    votes = lambda n: F.least(F.col(n), F.lit(least)).cast("long")
+    total = F.sum("n").over(Window.partitionBy("lang", "source", "signal"))
+    equal = bins.withColumn("total", total)
+    # thousandths of a vote keep the sums whole
+    equal = equal.withColumn("n", F.floor(F.col("n") * votes("total") * 1000 / F.col("total")).cast("long")).drop("total")
+    spread = (F.col("q75") - F.col("q25")).alias
+    by_lang = quartiles(merge(equal.drop("source")), ["lang"]).select("lang", "signal", spread("s1"))
+    overall = quartiles(merge(equal.drop("lang", "source")), []).select("signal", spread("s2"))
+    cast = own.groupBy("lang", "signal").agg(F.sum(votes("n")).alias("cast"))
+    rows = joined(joined(joined(own, by_lang, ["lang", "signal"]), cast, ["lang", "signal"]), overall, ["signal"])
+    others = F.col("cast") - votes("n") >= least
+    bound = F.when(others, F.col("s1")).when(F.col("signal") != "word_length", F.col("s2"))
+    return rows.select("lang", "source", "signal", bound.alias("bound"))
 
 
 def thresholds(bins: DataFrame, least: int = LEAST, reach: int = REACH) -> DataFrame:
     """One row for each (lang, source): lower and upper limit of every signal. `bins` is a sketch by lang and source."""
     own = quartiles(bins, ["lang", "source"])
-    by_lang = quartiles(merge(bins.drop("source")), ["lang"]).withColumnsRenamed({"n": "n1", "q25": "a1", "q75": "b1"})
+    by_lang = quartiles(merge(bins.drop("source")), ["lang"]).withColumnsRenamed({"n": "n1", "q25": "a1", "q75": "b1", "q50": "c1"})
     overall = quartiles(merge(bins.drop("lang", "source")), []).select(
-        "signal", F.col("q25").alias("a2"), F.col("q75").alias("b2")
+        "signal", F.col("q25").alias("a2"), F.col("q75").alias("b2"), F.col("q50").alias("c2")
     )
     rows = joined(joined(own, by_lang, ["lang", "signal"]), overall, ["signal"])
     pick = lambda a, b, c: F.when(F.col("n") >= least, F.col(a)).when(F.col("n1") >= least, F.col(b)).otherwise(F.col(c))
-    rows = rows.withColumns({"low": pick("q25", "a1", "a2"), "high": pick("q75", "b1", "b2")})
+    rows = rows.withColumns({"low": pick("q25", "a1", "a2"), "high": pick("q75", "b1", "b2"), "mid": pick("q50", "c1", "c2")})
     slack = F.element_at(F.create_map(*[F.lit(x) for pair in SLACK.items() for x in pair]), F.col("signal"))
     reached = F.greatest(F.col("high") - F.col("low"), slack.cast("long")) * reach
-    rows = rows.withColumns({"lower": F.col("low") - reached, "upper": F.col("high") + reached})
+    rows = joined(rows, spreads(bins, own, least), ["lang", "source", "signal"])
+    # null without a bound, which least and greatest pass over
+    held = F.when(F.col("bound").isNotNull(), F.greatest(F.col("bound"), slack.cast("long")) * (reach + 1))
+    anchor = F.when(F.col("signal") == "word_length", F.col("mid")).otherwise(F.col("low"))
+    lower = F.greatest(F.col("low") - reached, anchor - held)
+    rows = rows.withColumns({"lower": lower, "upper": F.least(F.col("high") + reached, anchor + held)})
     limits = []
     for name in SLACK:
         mine = F.col("signal") == name
