@@ -3,6 +3,9 @@
 The library's pattern never lets a piece run from a visible character into white space, from a single
 line end into a word, or across the border of ASCII letters or digits and ASCII punctuation (apostrophes aside).
 Texts are cut there. Texts with other white space or with an added token's string go to the library whole.
+
+Units without blanks but one leading space go to the library many at a time, a line each: a single line end before
+a visible character or a space is a piece of its own, and no such unit has its id.
 """
 
 from __future__ import annotations
@@ -17,6 +20,8 @@ from .buffers import IS_BLANK, ranges
 from .memo import UnitMemo
 
 AT_ONCE = 2048
+A_TEXT = 64
+LINE = b"\n"
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
@@ -30,6 +35,15 @@ _OTHER_BLANKS = tuple(
 )
 
 
+def _simple(units: list[bytes]) -> np.ndarray:
+    """Which units have no blank but one leading space before something else."""
+    sizes = np.fromiter(map(len, units), np.int64, len(units))
+    data = np.frombuffer(b"".join(units), np.uint8)
+    firsts = np.append(0, np.cumsum(sizes))
+    blanks = np.diff(np.append(0, np.cumsum(IS_BLANK[data]))[firsts])
+    return (blanks == 0) | ((blanks == 1) & (sizes > 1) & (data[firsts[:-1]] == 0x20))
+
+
 class ByteBpe:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -44,11 +58,35 @@ class ByteBpe:
         )
         added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = [*_OTHER_BLANKS, *added]
-        self.memo = UnitMemo(self._encode, np.int32)
+        line = self.tokenizer.encode(LINE.decode(), add_special_tokens=False).ids
+        self.line = line[0] if self.cuts and len(line) == 1 else None
+        self.memo = UnitMemo(self._encode_units, np.int32, in_order=False)
+
+    def _encode_units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units as `unit_spans` cuts them."""
+        if self.line is None:
+            return self._encode(units)
+        simple = _simple(units)
+        if not simple.all():
+            one, two = np.flatnonzero(simple), np.flatnonzero(~simple)
+            values, sizes = self._encode_units([units[k] for k in one])
+            more, more_sizes = self._encode([units[k] for k in two])
+            counts, at = np.empty(len(units), np.int64), np.empty(len(units), np.int64)
+            counts[one], counts[two] = sizes, more_sizes
+            at[one], at[two] = np.cumsum(sizes) - sizes, len(values) + np.cumsum(more_sizes) - more_sizes
+            return np.concatenate([values, more])[ranges(at, counts)], counts
+        lines = [(LINE.join(units[k : k + A_TEXT]) + LINE).decode() for k in range(0, len(units), A_TEXT)]
+        ids = [np.zeros(0, np.int32)]
+        for k in range(0, len(lines), AT_ONCE // A_TEXT):  # the library's results take far more room than the ids
+            some = self.tokenizer.encode_batch_fast(lines[k : k + AT_ONCE // A_TEXT], add_special_tokens=False)
+            ids += [np.array(x.ids, np.int32) for x in some]
+        ids = np.concatenate(ids)
+        ends = np.flatnonzero(ids == self.line)
+        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
 
     def _encode(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes = [np.zeros(0, np.int32)], np.zeros(len(units), np.int64)
-        for k in range(0, len(units), AT_ONCE):  # the library's results take far more room than the ids
+        for k in range(0, len(units), AT_ONCE):
             some = [u.decode() for u in units[k : k + AT_ONCE]]
             rows = [x.ids for x in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
             sizes[k : k + len(rows)] = list(map(len, rows))
@@ -59,8 +97,10 @@ class ByteBpe:
         """Ids of all whole texts one after the other, and how many each text has."""
         raw, n = data.tobytes(), len(offsets) - 1
         odd = np.zeros(n, bool)
+        seen = np.zeros(256, bool)
+        seen[data] = True
         for mark in self.whole if self.cuts else ():
-            at = raw.find(mark)
+            at = raw.find(mark) if seen[list(mark)].all() else -1
             while at >= 0:
                 doc = int(np.searchsorted(offsets, at, "right")) - 1
                 odd[doc] = True

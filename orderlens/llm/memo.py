@@ -8,15 +8,18 @@ import numpy as np
 
 from .buffers import ranges, text_hashes
 
-#: Encodes sorted distinct units: values of all units one after the other, and how many each unit has.
+#: Encodes distinct units: values of all units one after the other, and how many each unit has.
 Encode = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
 class UnitMemo:
-    """Values of units by two 64-bit hashes in one; forgets everything beyond `most` units, which costs time only."""
+    """Values of units by two 64-bit hashes in one; forgets everything beyond `most` units, which costs time only.
 
-    def __init__(self, encode: Encode, dtype: type, most: int = 600_000):
-        self.encode, self.dtype, self.most = encode, dtype, most
+    Units reach `encode` sorted, or in any order without `in_order`.
+    """
+
+    def __init__(self, encode: Encode, dtype: type, most: int = 600_000, in_order: bool = True):
+        self.encode, self.dtype, self.most, self.in_order = encode, dtype, most, in_order
         self._clear()
 
     def _clear(self) -> None:
@@ -45,7 +48,7 @@ class UnitMemo:
         if len(missing):
             raw = data.tobytes()
             units = [raw[s:e] for s, e in zip(starts[missing].tolist(), ends[missing].tolist(), strict=True)]
-            order = sorted(range(len(units)), key=units.__getitem__)
+            order = sorted(range(len(units)), key=units.__getitem__) if self.in_order else list(range(len(units)))
             values, sizes = self.encode([units[i] for i in order])
             at = np.empty(len(units), np.int64)
             size = np.empty(len(units), np.int32)

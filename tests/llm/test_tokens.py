@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -126,3 +127,13 @@ def test_encoding_keeps_other_columns(docs):
 @pytest.mark.parametrize("value", ["", " ", "\n"])
 def test_blank_texts(docs, value):
     assert sentence_pieces.encode(docs([(1, value)]), PIECES).first()["ids"] == LIBRARY.encode(value)
+
+
+def test_units_in_lines_have_the_ids_of_the_whole_text():
+    """Blanks of every kind before, between and after words, contractions and marks."""
+    rng = random.Random(11)
+    parts = [" ", "  ", "\n", "\r\n", "\t", "\x0b", "a", "word", "'s", "'", "don't", "1", "23", "é", "ßx", ".", "...", "-", "\x00", "漢", "\u200b", "\x1d", "\xa0"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(3000)]
+    ids, counts = byte_bpe(BYTES).ids(*buffer(texts))
+    expected = [x.ids for x in byte_bpe(BYTES).tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == expected
