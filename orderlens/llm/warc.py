@@ -159,7 +159,8 @@ def _record_starts(table: pa.Table) -> pa.Table:
 def captures(found: DataFrame) -> DataFrame:
     """One row per capture: the response or revisit with its payload, its requests and its metadata records.
 
-    The payload is what follows the HTTP header. `n_bytes` is the size that header gives for a revisit, else the payload's own.
+    The payload is what follows the HTTP header. `n_bytes` and `digest` are those that a revisit's headers give, else the
+    payload's own; they are taken before the join, so without the payload the join moves ids and digests only.
     """
     main = F.col("type").isin("response", "revisit", "resource", "conversion")
     http = F.col("content_type").startswith("application/http")
@@ -170,7 +171,11 @@ def captures(found: DataFrame) -> DataFrame:
         "record_id", "type", "target_uri", "date", "payload_digest", "refers_to", "truncated", F.col("lead").alias("http_header"), held.alias("payload")
     )
     stored = F.regexp_extract("http_header", r"(?im)^Content-Length:[ \t]*(\d+)", 1).try_cast("long")
-    own = own.withColumn("n_bytes", F.when(F.col("type") == "revisit", stored).otherwise(F.octet_length("payload").cast("long")))
+    again = F.col("type") == "revisit"
+    own = own.withColumns({
+        "n_bytes": F.when(again, stored).otherwise(F.octet_length("payload").cast("long")),
+        "digest": F.when(again, F.regexp_extract("payload_digest", r"^sha1:(.*)$", 1)).otherwise(F.sha1("payload")),
+    })
     beside = found.where(F.col("type").isin("request", "metadata")).select(F.explode_outer("concurrent_to").alias("of"), "type", F.struct("record_id", "block").alias("record"))
     beside = beside.groupBy("of").agg(*[F.collect_list(F.when(F.col("type") == kind, F.col("record"))).alias(name) for kind, name in (("request", "requests"), ("metadata", "metadata"))])
     none = F.array().cast(beside.schema["requests"].dataType)
@@ -184,11 +189,10 @@ def page_captures(found: DataFrame) -> DataFrame:
     Size and digest of a revisit are those of the response that it names; where the archives lack it, what its own header says.
     """
     about = F.array_join(F.transform("metadata", lambda m: m["block"].cast("string")), "\n")
-    said = F.regexp_extract("payload_digest", r"^sha1:(.*)$", 1)
     rows = landed(
         captures(found).select(
             F.nullif(F.regexp_extract(about, r"(?m)^page_id: (.*?)\r?$", 1), F.lit("")).alias("page_id"), "record_id", F.col("type").alias("record_type"), "n_bytes",
-            F.when(F.col("type") == "revisit", said).otherwise(F.sha1("payload")).alias("digest"), F.when(F.col("type") == "revisit", F.col("refers_to")).alias("names"),
+            "digest", F.when(F.col("type") == "revisit", F.col("refers_to")).alias("names"),
         ),
         "page_captures",
     )
