@@ -23,9 +23,9 @@ from ..functions import (
 )
 from ..once import keep_whole, with_column_once
 from ..operators import percentiles, promotions, quality, trailing, variety
-from ..plans import best_sizes, median_by_month_state, promotion_spread, qualified_by_city
+from ..plans import IN_PLAN, best_sizes, median_by_month_state, promotion_spread, qualified_by_city
 from ..plans.cancellations import code_periods, listed_codes, qualified_orders
-from ..plans.look_back import size_stats
+from ..plans.look_back import size_stats, size_totals
 from ..sources import (
     cancellation_rows,
     classify_lines,
@@ -91,20 +91,20 @@ def window_length_by_state(spark, sf_dir):
 
 
 def trailing_size_stats(spark, sf_dir):
-    return size_stats(_lines(spark, sf_dir), CUTOFF)
+    return size_stats(_lines(spark, sf_dir), CUTOFF, check=IN_PLAN)
 
 
 def trailing_winners(spark, sf_dir):
-    return best_sizes(_lines(spark, sf_dir), CUTOFF)
+    return best_sizes(_lines(spark, sf_dir), CUTOFF, check=IN_PLAN)
 
 
 def trailing_winners_default(spark, sf_dir):
     """With the question's own cutoff, which both window lengths meet from sf0.1 on."""
-    return best_sizes(_lines(spark, sf_dir))
+    return best_sizes(_lines(spark, sf_dir), check=IN_PLAN)
 
 
 def tied_top_sizes(spark, sf_dir):
-    ties = trailing.tie_groups(size_stats(_lines(spark, sf_dir), CUTOFF))
+    ties = trailing.tie_groups(size_totals(_lines(spark, sf_dir), CUTOFF, check=IN_PLAN))
     return ties.groupBy("tied_sizes").agg(F.count(F.lit(1)).alias("tie_groups"))
 
 
@@ -124,7 +124,7 @@ def promotion_periods(spark, sf_dir):
 def valid_promotions_per_order(spark, sf_dir):
     orders = _promoted(spark, sf_dir)
     exploded = promotions.explode_promotions(orders)
-    valid = promotions.valid_promotions(exploded, MIN_DAYS)
+    valid = promotions.valid_promotions(exploded, MIN_DAYS, salted=True)
     counted = promotions.with_valid_counts(orders, promotions.valid_counts(exploded, valid))
     return counted.select("row_id", "valid_promotion_count")
 
@@ -136,7 +136,7 @@ def average_by_state(spark, sf_dir):
 def classified_cancellations(spark, sf_dir):
     orders = _orders(spark, sf_dir)
     exploded = promotions.explode_promotions(orders)
-    valid = promotions.valid_promotions(exploded, MIN_DAYS)
+    valid = promotions.valid_promotions(exploded, MIN_DAYS, salted=True)
     base = promotions.cancelled_standard(orders)
     counted = promotions.with_valid_counts(base, promotions.valid_counts(exploded, valid))
     averaged = promotions.with_state_average(counted, promotions.state_averages(orders))
@@ -146,7 +146,7 @@ def classified_cancellations(spark, sf_dir):
 
 
 def cancellations_by_city(spark, sf_dir):
-    return qualified_by_city(raw_orders(spark, sf_dir, CANCELLATION_COLUMNS), MIN_DAYS)
+    return qualified_by_city(raw_orders(spark, sf_dir, CANCELLATION_COLUMNS), MIN_DAYS, check=IN_PLAN)
 
 
 def first_cities(spark, sf_dir):
@@ -188,7 +188,7 @@ def exact_spread(spark, sf_dir):
 
 
 def spread_comparison(spark, sf_dir):
-    return promotion_spread(raw_orders(spark, sf_dir, SPREAD_COLUMNS))
+    return promotion_spread(raw_orders(spark, sf_dir, SPREAD_COLUMNS), check=IN_PLAN)
 
 
 def first_comparisons(spark, sf_dir):

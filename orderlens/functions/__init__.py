@@ -5,6 +5,7 @@ from .lists import code_count, codes
 from .numbers import (
     MONEY,
     SQUARE_SUMS,
+    checked_money,
     money,
     money_fault,
     parse_double,
@@ -12,6 +13,7 @@ from .numbers import (
     parse_int,
     population_variance,
     square_sums,
+    with_variances,
 )
 from .sizes import SIZE_RANK, at_least_size, size_rank
 from .text import key_text, label_text, trimmed
@@ -21,6 +23,7 @@ __all__ = [
     "SIZE_RANK",
     "SQUARE_SUMS",
     "at_least_size",
+    "checked_money",
     "code_count",
     "codes",
     "following_days",
@@ -38,4 +41,5 @@ __all__ = [
     "size_rank",
     "square_sums",
     "trimmed",
+    "with_variances",
 ]

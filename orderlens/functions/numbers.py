@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from decimal import Decimal
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Amounts are money. Sums of decimals do not depend on the order of the rows,
@@ -16,6 +15,7 @@ MONEY = f"decimal({DIGITS},{SCALE})"
 
 # Squares are summed in three parts: an amount in its smallest unit is high * LIMB + low.
 LIMB = 10**9
+TOO_LARGE = "has more digits than are kept"
 SQUARE_SUMS = ("high", "low", "high_high", "high_low", "low_low")
 
 
@@ -31,6 +31,10 @@ def parse_double(c: Column) -> Column:
     return c.try_cast("double")
 
 
+def too_fine(scale: int) -> str:
+    return f"has more than {scale} decimals; pass a larger scale"
+
+
 def money(c: Column, scale: int = SCALE) -> Column:
     """Text amount in exact units of 10^-scale; blank, malformed and non-finite become NULL.
 
@@ -50,6 +54,18 @@ def money_fault(c: Column, scale: int = SCALE) -> Column:
     )
 
 
+def checked_money(c: Column, scale: int = SCALE) -> Column:
+    """As `money`, but a value that the type would lose or change is an error when the row is read."""
+    value, kept = parse_double(c), money(c, scale)
+    number = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+    refuse = lambda why: F.raise_error(F.concat(F.lit("Amount '"), c, F.lit(f"' {why}"))).cast(f"decimal({DIGITS},{scale})")
+    return (
+        F.when(number & kept.isNull(), refuse(TOO_LARGE))
+        .when(number & (kept.cast("double") != value), refuse(too_fine(scale)))
+        .otherwise(kept)
+    )
+
+
 def square_sums(amount: Column, scale: int = SCALE) -> dict[str, Column]:
     """Five sums that stand for the sum and the sum of squares and fit 38 digits for any number of rows that can occur.
 
@@ -62,81 +78,116 @@ def square_sums(amount: Column, scale: int = SCALE) -> dict[str, Column]:
     return {name: F.sum(part.cast("decimal(24,0)")) for name, part in zip(SQUARE_SUMS, parts, strict=True)}
 
 
-def population_variance(n: Column, sums: dict[str, Column], scale: int = SCALE) -> Column:
-    """Variance of n amounts from their square sums; NULL when n is 0.
+#: Values by name, as the lines of the reckoning below see them.
+Values = Callable[[str], Column]
+
+#: From a count n (1 at least) and the square sums to n times the sum of squares less the squared sum, exactly. Each
+#: line uses values of the sums and of lines before it, so all of a line are worked out at once, each once.
+LINES: tuple[dict[str, Callable[[Values], Column]], ...] = (
+    {"total": lambda v: _whole(v("high") * LIMB) + v("low")},
+    # The mean is mean_high * LIMB + mean_low and rest / n.
+    {"rest": lambda v: _long(F.pmod(v("total"), v("n")))},
+    {"mean": lambda v: _over(v("total") - v("rest"), v("n"))},
+    {"mean_low": lambda v: F.pmod(v("mean"), F.lit(LIMB))},
+    {"mean_high": lambda v: _over(v("mean") - v("mean_low"), F.lit(LIMB))},
+    # Squares about the whole mean: hh * LIMB^2 + hl * LIMB + ll.
+    {
+        "hh": lambda v: _whole(_moved(v, "high_high", v("mean_high") * 2, "high") + _times(v("n"), v("mean_high") * v("mean_high"))),
+        "hl": lambda v: _whole(
+            (_moved(v, "high_low", v("mean_high"), "low") - _times(v("mean_low"), v("high")) + _times(v("n"), v("mean_high") * v("mean_low"))) * 2
+        ),
+        "ll": lambda v: _whole(_moved(v, "low_low", v("mean_low") * 2, "low") + _times(v("n"), v("mean_low") * v("mean_low"))),
+    },
+    # The same as up * LIMB^2 + down.
+    {"middle": lambda v: _long(F.pmod(v("hl"), F.lit(LIMB)))},
+    {"lower": lambda v: _whole(v("ll") + v("middle") * LIMB)},
+    {"down": lambda v: _long(F.pmod(v("lower"), F.lit(LIMB * LIMB)))},
+    {"up": lambda v: _whole(v("hh") + _whole((v("hl") - v("middle")) / F.lit(LIMB)) + _whole((v("lower") - v("down")) / F.lit(LIMB * LIMB)))},
+    # n times that, less rest * rest: top * LIMB^4 + mid * LIMB^2 + end.
+    {"up_end": lambda v: _long(F.pmod(v("up"), F.lit(LIMB * LIMB))), "ends": lambda v: _whole(_times(v("n"), v("down")) - _times(v("rest"), v("rest")))},
+    {"up_top": lambda v: _over(v("up") - v("up_end"), F.lit(LIMB * LIMB)), "end": lambda v: _long(F.pmod(v("ends"), F.lit(LIMB * LIMB)))},
+    {"mids": lambda v: _whole(_times(v("n"), v("up_end")) + _whole((v("ends") - v("end")) / F.lit(LIMB * LIMB)))},
+    {"mid": lambda v: _long(F.pmod(v("mids"), F.lit(LIMB * LIMB)))},
+    {"top": lambda v: _whole(_times(v("n"), v("up_top")) + _whole((v("mids") - v("mid")) / F.lit(LIMB * LIMB)))},
+)
+
+
+def _variance(v: Values, n: Column, scale: int) -> Column:
+    """The last line: n times the squares less the squared sum, rounded once from all its digits, over n * n."""
+    digits = 2 * len(str(LIMB)) - 2
+    written = F.concat(
+        v("top").cast("string"),
+        *[F.lpad(v(limb).cast("string"), digits, "0") for limb in ("mid", "end")],
+        F.lit(f"E-{2 * scale}"),
+    )
+    counted = v("n").cast("double")
+    return F.when(n > 0, written.cast("double") / (counted * counted))
+
+
+def _inputs(n: Column, sums: Mapping[str, Column]) -> dict[str, Column]:
+    known = {name: F.coalesce(_whole(sums[name]), _whole(F.lit(0))) for name in SQUARE_SUMS}
+    return {"n": F.greatest(F.coalesce(n, F.lit(0)).cast("bigint"), F.lit(1).cast("bigint"))} | known
+
+
+def population_variance(n: Column, sums: Mapping[str, Column], scale: int = SCALE) -> Column:
+    """Variance of n amounts from their square sums, as one expression; NULL when n is 0.
 
-    Taken about a whole number next to the mean, in whole numbers, so nothing overflows or cancels at any group
-    size. Where n times the result fits 38 digits the quotient is rounded once, else in its two terms.
+    Lambdas keep its lines apart, which are interpreted; over many rows `with_variances` is the faster way.
     """
-    unit = F.lit(Decimal(1).scaleb(-2 * scale))
-
-    def about_means(v: Column) -> Column:
-        """Each part about its own whole mean."""
-        at_high, at_low = _parts(v["high"], v["n"])[0], _parts(v["low"], v["n"])[0]
-        return _let({"high": at_high, "low": at_low}, lambda at: moved(v, at))
-
-    def moved(v: Column, at: Column) -> Column:
-        times = lambda a, b: _whole(a * b)
-        n_of = lambda a, b: times(v["n"], times(a, b))
-        values = {
-            "hh": v["high_high"] - times(at["high"], v["high"]) * 2 + n_of(at["high"], at["high"]),
-            "hl": v["high_low"]
-            - times(at["high"], v["low"])
-            - times(at["low"], v["high"])
-            + n_of(at["high"], at["low"]),
-            "ll": v["low_low"] - times(at["low"], v["low"]) * 2 + n_of(at["low"], at["low"]),
-            "total": times(v["high"] - times(at["high"], v["n"]), F.lit(LIMB))
-            + v["low"]
-            - times(at["low"], v["n"]),
-        }
-        return _let({k: _whole(x) for k, x in values.items()}, lambda w: about_total(v, w))
-
-    def about_total(v: Column, w: Column) -> Column:
-        """The amounts about their whole mean."""
-        mean, rest = _parts(w["total"], v["n"])
-        middle_up, middle_rest = _parts(_whole(w["hl"] * 2), F.lit(LIMB))
-        values = {"mean": mean, "rest": rest, "middle_up": middle_up, "middle_rest": middle_rest}
-        return _let(values, lambda m: put_together(v, w, m))
-
-    def put_together(v: Column, w: Column, m: Column) -> Column:
-        shift = _whole(m["mean"] * w["total"]) * 2 - _whole(v["n"] * _whole(m["mean"] * m["mean"]))
-        low = _whole(_whole(m["middle_rest"] * LIMB) + w["ll"] - _whole(shift))
-        return _let({"low": low}, lambda x: carried(v, w, m, x))
-
-    def carried(v: Column, w: Column, m: Column, x: Column) -> Column:
-        up, least = _parts(x["low"], F.lit(LIMB * LIMB))
-        most = _whole(w["hh"] + m["middle_up"] + up)
-        return _let({"most": most, "least": least}, lambda y: divided(v, m, y))
-
-    def divided(v: Column, m: Column, y: Column) -> Column:
-        as_double = v["n"].cast("double")
-        squares = F.try_add(
-            F.try_multiply(y["most"], F.lit(LIMB * LIMB).cast("decimal(19,0)")), y["least"]
-        )
-        once = F.try_subtract(F.try_multiply(squares, v["n"]), F.try_multiply(m["rest"], m["rest"]))
-        exact = F.try_multiply(once, unit).cast("double") / (as_double * as_double)
-        share = m["rest"].cast("double") / as_double
-        apart = (
-            y["most"].cast("double") * float(LIMB * LIMB) + y["least"].cast("double")
-        ) / as_double - share * share
-        return F.coalesce(exact, apart / float(10 ** (2 * scale)))
-
-    values = {"n": _whole(F.when(n > 0, n)), **{name: _whole(sums[name]) for name in SQUARE_SUMS}}
-    return _let(values, about_means)
-
-
-def _let(values: dict[str, Column], body: Callable[[Column], Column]) -> Column:
-    """body(record of the values), each value worked out once however often the body uses it."""
-    record = F.struct(*[value.alias(name) for name, value in values.items()])
-    return F.transform(F.array(record), body)[0]
 
+    def line(number: int, record: Column, names: list[str]) -> Column:
+        v = lambda name: record[name]
+        if number == len(LINES):
+            return _variance(v, v("known"), scale)
+        more = {name: value(v) for name, value in LINES[number].items()}
+        together = F.struct(*[v(x).alias(x) for x in names], *[value.alias(x) for x, value in more.items()])
+        return F.transform(F.array(together), lambda r: line(number + 1, r, [*names, *more]))[0]
 
-def _whole(value: Column) -> Column:
-    return value.cast("decimal(38,0)")
+    values = _inputs(n, sums) | {"known": n}
+    first = F.struct(*[value.alias(name) for name, value in values.items()])
+    return F.transform(F.array(first), lambda r: line(0, r, list(values)))[0]
 
 
-def _parts(value: Column, base: Column) -> tuple[Column, Column]:
-    """value as up * base + rest with 0 <= rest < base; NULL for base 0."""
-    base = F.when(base != 0, base.cast("decimal(19,0)"))
-    rest = _whole(F.pmod(value, base))
-    return _whole((value - rest) / base), rest
+def with_variances(rows: DataFrame, groups: Mapping[str, tuple[str, Mapping[str, str]]], scale: int = SCALE) -> DataFrame:
+    """The rows with a column for each group of amounts, its variance, from the names of its count and of its square sums.
+
+    Each line of the reckoning is a projection. The optimiser does not merge projections whose values are used more
+    than once, so each value is worked out once, in compiled code.
+    """
+
+    def values(group: str) -> Values:
+        return lambda name: F.col(f"__{group}_{name}")
+
+    def named(group: str, made: Mapping[str, Column]) -> dict[str, Column]:
+        return {f"__{group}_{name}": value for name, value in made.items()}
+
+    frame = rows
+    for line in (None, *LINES):
+        new: dict[str, Column] = {}
+        for group, (n, sums) in groups.items():
+            own = _inputs(F.col(n), {k: F.col(c) for k, c in sums.items()}) if line is None else {k: f(values(group)) for k, f in line.items()}
+            new |= named(group, own)
+        frame = frame.withColumns(new)
+    return frame.select(*rows.columns, *[_variance(values(g), F.col(n), scale).alias(g) for g, (n, _) in groups.items()])
+
+
+def _moved(v: Values, squares: str, twice: Column, values: str) -> Column:
+    """A sum of squares or products less what moving their middle takes."""
+    return v(squares) - _times(twice, v(values))
+
+
+def _over(value: Column, base: Column) -> Column:
+    """The quotient of a multiple of the base, as a long."""
+    return F.call_function("div", value, base)
+
+
+def _times(a: Column, b: Column) -> Column:
+    return _whole(a.cast("decimal(38,0)") * b)
+
+
+def _long(value: Column) -> Column:
+    return value.cast("bigint")
+
+
+def _whole(value: Column) -> Column:
+    return value.cast("decimal(38,0)")

@@ -14,22 +14,26 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import SQUARE_SUMS, population_variance, square_sums
+from ..functions import SQUARE_SUMS, square_sums, with_variances
+from ..functions.numbers import SCALE
 
 FRACTIONS = {"p90": 0.90, "p80": 0.80}
 ACCURACY = 10_000
 TOLERANCE = 1e-9
 GROUP = ("sku", "month")
+BIN = (*GROUP, "promotion_count")
 
 
-def promotion_histogram(orders: DataFrame) -> DataFrame:
-    """sku, month, promotion_count, n, amount_n and the square sums."""
+def histogram_measures(scale: int = SCALE) -> dict[str, Column]:
+    """n, amount_n and the square sums of orders."""
     amount = F.col("amount")
-    return orders.groupBy(*GROUP, "promotion_count").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(amount).alias("amount_n"),
-        *[value.alias(name) for name, value in square_sums(amount).items()],
-    )
+    return {"n": F.count(F.lit(1)), "amount_n": F.count(amount)} | square_sums(amount, scale)
+
+
+def promotion_histogram(orders: DataFrame, scale: int = SCALE) -> DataFrame:
+    """sku, month, promotion_count, n, amount_n and the square sums."""
+    measures = histogram_measures(scale).items()
+    return orders.groupBy(*BIN).agg(*[value.alias(name) for name, value in measures])
 
 
 def _running(histogram: DataFrame) -> DataFrame:
@@ -127,13 +131,14 @@ def tail_spread(
     histogram: DataFrame,
     methods: Sequence[str],
     fractions: Mapping[str, float] = FRACTIONS,
+    scale: int = SCALE,
 ) -> DataFrame:
     """Per (sku, month) and method: threshold, orders at or above it, and the stddev of their amounts.
 
     The stddev is 0.0 for fewer than two such orders, and where no amount is known.
     """
     summary = [F.sum("n").alias("group_order_count")]
-    columns = [*GROUP, "group_order_count"]
+    columns, variances = [*GROUP, "group_order_count"], {}
     for method in methods:
         for name in fractions:
             threshold = f"{name}_{method}_threshold"
@@ -149,21 +154,18 @@ def tail_spread(
                 tail_sum("amount_n").alias(f"{threshold}_n"),
                 *[tail_sum(part).alias(f"{threshold}_{part}") for part in SQUARE_SUMS],
             ]
-            variance = population_variance(
-                F.col(f"{threshold}_n"), {part: F.col(f"{threshold}_{part}") for part in SQUARE_SUMS}
-            )
-            stddev = F.when(F.col(qualifying) < 2, 0.0).otherwise(
-                F.coalesce(F.sqrt(variance), F.lit(0.0))
-            )
+            variance = f"{name}_{method}_variance"
+            variances[variance] = (f"{threshold}_n", {part: f"{threshold}_{part}" for part in SQUARE_SUMS})
+            stddev = F.when(F.col(qualifying) < 2, 0.0).otherwise(F.coalesce(F.sqrt(variance), F.lit(0.0)))
             columns += [threshold, qualifying, stddev.alias(f"{name}_{method}_stddev")]
-    return histogram.groupBy(*GROUP).agg(*summary).select(*columns)
+    return with_variances(histogram.groupBy(*GROUP).agg(*summary), variances, scale).select(*columns)
 
 
 def approx_summary(
-    orders: DataFrame, fractions: Mapping[str, float] = FRACTIONS
+    orders: DataFrame, fractions: Mapping[str, float] = FRACTIONS, scale: int = SCALE
 ) -> DataFrame:
-    ranked = with_thresholds(promotion_histogram(orders), ("approx",), fractions)
-    return tail_spread(ranked, ("approx",), fractions)
+    ranked = with_thresholds(promotion_histogram(orders, scale), ("approx",), fractions)
+    return tail_spread(ranked, ("approx",), fractions, scale)
 
 
 def sketched_summary(
@@ -175,15 +177,26 @@ def sketched_summary(
     return tail_spread(attached, ("approx",), fractions)
 
 
-def exact_summary(orders: DataFrame, fractions: Mapping[str, float] = FRACTIONS) -> DataFrame:
-    ranked = with_thresholds(promotion_histogram(orders), ("exact",), fractions)
-    return tail_spread(ranked, ("exact",), fractions)
+def exact_summary(
+    orders: DataFrame, fractions: Mapping[str, float] = FRACTIONS, scale: int = SCALE
+) -> DataFrame:
+    ranked = with_thresholds(promotion_histogram(orders, scale), ("exact",), fractions)
+    return tail_spread(ranked, ("exact",), fractions, scale)
 
 
-def both_summaries(orders: DataFrame, fractions: Mapping[str, float] = FRACTIONS) -> DataFrame:
+def both_summaries(
+    orders: DataFrame, fractions: Mapping[str, float] = FRACTIONS, scale: int = SCALE
+) -> DataFrame:
     """Both methods side by side with their differences, from one histogram."""
-    ranked = with_thresholds(promotion_histogram(orders), tuple(METHODS), fractions)
-    return with_differences(tail_spread(ranked, tuple(METHODS), fractions), fractions)
+    return summaries_of(promotion_histogram(orders, scale), fractions, scale)
+
+
+def summaries_of(
+    histogram: DataFrame, fractions: Mapping[str, float] = FRACTIONS, scale: int = SCALE
+) -> DataFrame:
+    """The same from the histogram."""
+    ranked = with_thresholds(histogram, tuple(METHODS), fractions)
+    return with_differences(tail_spread(ranked, tuple(METHODS), fractions, scale), fractions)
 
 
 def compare_methods(

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_present
+from ..once import keep_whole
 
 MIN_DAYS = 2
 MIN_PROMOTIONS = 3
-# Parts into which the orders of one code are dealt; each needs a copy of the valid codes.
-SALTS = 16
+# Parts into which all uses of codes are dealt; a code gets so many of them as its share of the uses asks for.
+PARTS = 1000
 
 
 def explode_promotions(orders: DataFrame, keep: tuple[str, ...] = ("row_id",)) -> DataFrame:
@@ -23,46 +24,71 @@ def explode_promotions(orders: DataFrame, keep: tuple[str, ...] = ("row_id",)) -
     )
 
 
-def promotion_periods(exploded: DataFrame) -> DataFrame:
-    """promo, first_date, last_date, active_days."""
-    return (
+def promotion_periods(exploded: DataFrame, salted: bool = False) -> DataFrame:
+    """promo, first_date, last_date, active_days; with the number of salts if asked."""
+    uses = [F.count(F.lit(1)).alias("uses")] if salted else []
+    periods = (
         exploded.groupBy("promo")
-        .agg(F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"))
+        .agg(F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"), *uses)
         .withColumn("active_days", F.datediff("last_date", "first_date"))
     )
+    return with_salts(periods).drop("uses") if salted else periods
 
 
-def valid_promotions(exploded: DataFrame, min_days: int = MIN_DAYS) -> DataFrame:
+def valid_promotions(
+    exploded: DataFrame, min_days: int = MIN_DAYS, salted: bool = False
+) -> DataFrame:
     """Promotions whose first and last use lie at least `min_days` apart."""
-    return promotion_periods(exploded).filter(F.col("active_days") >= min_days)
+    return promotion_periods(exploded, salted).filter(F.col("active_days") >= min_days)
+
 
+def with_salts(codes: DataFrame, parts: int = PARTS) -> DataFrame:
+    """Adds `salts` to codes with their number of `uses`: 1 for a code on up to 1 / parts of them, more in proportion.
+
+    All codes together have at most `parts` salts more than there are codes.
+    """
+    codes = keep_whole(codes)
+    total = codes.agg(F.sum("uses").alias("all_uses"))
+    # One row beside each code.
+    counted = codes.crossJoin(F.broadcast(total))
+    salts = F.greatest(F.ceil(F.col("uses") * parts / F.col("all_uses")), F.lit(1)).cast("int")
+    return counted.withColumn("salts", salts).drop("all_uses")
 
-def salt_of(row_id: Column, salts: int = SALTS) -> Column:
-    return F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
 
+def salt_of(row_id: Column, salts: Column) -> Column:
+    return F.pmod(F.xxhash64(row_id), salts).cast("int")
+
+
+def with_salt(rows: DataFrame, codes: DataFrame) -> DataFrame:
+    """Adds `salts` of its code and `salt`, the part of it to which a row belongs, by its id. `codes` has promo and salts.
+
+    Codes with more than one salt are fewer than PARTS, since each stands for more than 1 / PARTS of the uses.
+    """
+    often = codes.filter(F.col("salts") > 1).select("promo", "salts")
+    dealt = rows.join(F.broadcast(often), "promo", "left")
+    salts = F.coalesce("salts", F.lit(1))
+    return dealt.select(*rows.columns, salts.alias("salts"), salt_of(F.col("row_id"), salts).alias("salt"))
 
-def salted(valid: DataFrame, salts: int = SALTS) -> DataFrame:
-    """promo and salt: every code once for each part of its orders."""
-    return valid.select("promo", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+
+def salted(valid: DataFrame) -> DataFrame:
+    """promo and salt: every code once for each of its `salts`."""
+    return valid.select("promo", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
 
 
 def valid_counts(
-    exploded: DataFrame,
-    valid: DataFrame,
-    keep: tuple[str, ...] = ("row_id",),
-    salts: int = SALTS,
+    exploded: DataFrame, valid: DataFrame, keep: tuple[str, ...] = ("row_id",)
 ) -> DataFrame:
     """Valid codes per order, repeats counted; orders without any are absent.
 
-    The orders of a code are dealt into `salts` parts by their id, so a code on every
-    order is not one task's work. The planner broadcasts the valid codes when they are few.
+    Where `valid` says how many salts each code has, the orders of a code are dealt into so many parts by their
+    id, so a code on every order is not one task's work. Without, that is left to the adaptive
+    planner, which splits hot partitions. It broadcasts the valid codes when they are few.
     """
-    return (
-        exploded.withColumn("salt", salt_of(F.col("row_id"), salts))
-        .join(salted(valid, salts), ["promo", "salt"], "inner")
-        .groupBy(*keep)
-        .agg(F.count(F.lit(1)).alias("valid_promotion_count"))
-    )
+    if "salts" in valid.columns:
+        found = with_salt(exploded, valid).join(salted(valid), ["promo", "salt"], "inner")
+    else:
+        found = exploded.join(valid.select("promo"), "promo", "inner")
+    return found.groupBy(*keep).agg(F.count(F.lit(1)).alias("valid_promotion_count"))
 
 
 def with_valid_counts(orders: DataFrame, counts: DataFrame) -> DataFrame:
@@ -92,15 +118,20 @@ def cancelled_standard(orders: DataFrame) -> DataFrame:
     return orders.filter(is_cancelled_standard())
 
 
-def place_sums(orders: DataFrame) -> DataFrame:
-    """Per (city, state): what the averages, the base counts and the profile need from all orders."""
+def place_measures() -> dict[str, Column]:
+    """What the averages, the base counts and the profile need from all orders."""
     averaged, cancelled = _is_averaged(), is_cancelled_standard()
-    return orders.groupBy("city", "state").agg(
-        F.sum(F.when(averaged, F.col("amount"))).alias("priced_total"),
-        F.count_if(averaged).alias("priced"),
-        F.count_if(cancelled).alias("cancelled"),
-        F.count_if(cancelled & is_present(F.trim("promotion_ids_raw"))).alias("listed"),
-    )
+    return {
+        "priced_total": F.sum(F.when(averaged, F.col("amount"))),
+        "priced": F.count_if(averaged),
+        "cancelled": F.count_if(cancelled),
+        "listed": F.count_if(cancelled & is_present(F.trim("promotion_ids_raw"))),
+    }
+
+
+def place_sums(orders: DataFrame) -> DataFrame:
+    """The measures per (city, state)."""
+    return orders.groupBy("city", "state").agg(*[v.alias(name) for name, v in place_measures().items()])
 
 
 def averages_of(sums: DataFrame) -> DataFrame:
@@ -116,14 +147,11 @@ def state_averages(orders: DataFrame) -> DataFrame:
     return averages_of(place_sums(orders.filter(_is_averaged())))
 
 
-def with_state_average(orders: DataFrame, averages: DataFrame, small: int = 10_000) -> DataFrame:
+def with_state_average(orders: DataFrame, averages: DataFrame) -> DataFrame:
     """Left lookup; a NULL state matches nothing and keeps its row.
 
-    Orders are not shuffled by their few states while the averages, once counted, have
-    no more than `small` rows; beyond that it is a join by shuffle.
+    The adaptive planner broadcasts the averages once it has seen how few they are.
     """
-    if averages.limit(small + 1).count() <= small:
-        averages = F.broadcast(averages)
     return orders.join(averages, "state", "left")
 
 

@@ -5,11 +5,13 @@ Ledgers are grouped counts, not accumulators: a retried task counts once.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import money_fault
-from ..functions.numbers import SCALE
+from ..functions.numbers import SCALE, TOO_LARGE, too_fine
 from ..functions.text import is_present
 from ..once import keep_whole
 from .percentiles import GROUP
@@ -19,37 +21,129 @@ from .trailing import is_bought
 LARGE_GROUP = 1_000
 
 
-def id_report(rows: DataFrame, column: str = "row_id") -> DataFrame:
-    """One row: rows without an id, ids used more than once."""
-    per_id = rows.groupBy(column).agg(F.count(F.lit(1)).alias("uses"))
-    missing = F.sum(F.when(F.col(column).isNull(), F.col("uses")))
-    repeated = F.count_if(F.col(column).isNotNull() & (F.col("uses") > 1))
-    return per_id.agg(
-        F.coalesce(missing, F.lit(0).cast("bigint")).alias("null_ids"),
-        repeated.alias("duplicate_ids"),
+def id_word(id_: Column) -> Column:
+    """The 64 ids that an id stands among."""
+    return F.shiftright(id_.cast("bigint"), 6)
+
+
+def id_sums(id_: Column) -> dict[str, Column]:
+    """Per word of 64 ids: how often they occur, and a bit for each that does.
+
+    Both are summed in every task before they move, so ids that lie close together are shuffled as one row of
+    24 bytes for up to 64 of them; ids far apart as one row each, as a plain group by id would.
+    """
+    place = F.pmod(id_.cast("bigint"), F.lit(64)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+    return {"id_rows": F.count(F.lit(1)), "id_bits": F.bit_or(bit)}
+
+
+def id_words(rows: DataFrame, column: str = "row_id") -> DataFrame:
+    """id_word, id_rows, id_bits; a null word for rows without id."""
+    sums = id_sums(F.col(column))
+    return rows.groupBy(id_word(F.col(column)).alias("id_word")).agg(*[value.alias(name) for name, value in sums.items()])
+
+
+def _repeats() -> Column:
+    """How many rows of a word of ids are not the first of their id."""
+    return F.col("id_rows") - F.bit_count("id_bits")
+
+
+def id_faults(words: DataFrame) -> DataFrame:
+    """One row: rows without an id, and rows that repeat the id of another."""
+    missing = F.col("id_word").isNull()
+    nothing = F.lit(0).cast("bigint")
+    return words.agg(
+        F.coalesce(F.sum(F.when(missing, F.col("id_rows"))), nothing).alias("null_ids"),
+        F.coalesce(F.sum(F.when(~missing, _repeats())), nothing).alias("repeats"),
     )
 
 
+def id_report(rows: DataFrame, column: str = "row_id") -> DataFrame:
+    """One row: rows without an id, ids used more than once.
+
+    The words of ids tell which of them hold repeated ids; only rows of those are counted id by id.
+    """
+    words = keep_whole(id_words(rows, column))
+    doubtful = words.where(F.col("id_word").isNotNull() & (_repeats() > 0)).select("id_word")
+    ids = rows.select(F.col(column).alias("id"), id_word(F.col(column)).alias("id_word"))
+    uses = ids.join(doubtful, "id_word", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("uses"))
+    repeated = uses.agg(F.count_if(F.col("uses") > 1).alias("duplicate_ids"))
+    # One row beside one row.
+    return id_faults(words).select("null_ids").crossJoin(repeated)
+
+
 def require_unique(rows: DataFrame, column: str = "row_id", allow_null: bool = False) -> DataFrame:
-    """The rows themselves, or an error. Runs one aggregation."""
-    report = id_report(rows, column).first()
-    if report["null_ids"] and not allow_null:
-        raise ValueError(f"{column}: {report['null_ids']} null or non-numeric ids")
-    if report["duplicate_ids"]:
-        raise ValueError(f"{column}: {report['duplicate_ids']} ids occur more than once")
+    """The rows themselves, or an error. Runs one aggregation, and another one only to say how many ids are repeated."""
+    faults = id_faults(id_words(rows, column)).first()
+    if faults["null_ids"] and not allow_null:
+        raise ValueError(f"{column}: {faults['null_ids']} null or non-numeric ids")
+    if faults["repeats"]:
+        repeated = id_report(rows, column).first()["duplicate_ids"]
+        raise ValueError(f"{column}: {repeated} ids occur more than once")
     return rows
 
 
+def unique_fault(words: DataFrame, column: str = "row_id") -> DataFrame:
+    """One row with `fault`, for `guarded`: what is wrong with the ids, or null."""
+    said = lambda n, what: F.concat(F.lit(f"{column}: "), n.cast("string"), F.lit(what))
+    fault = F.when(F.col("null_ids") > 0, said(F.col("null_ids"), " null or non-numeric ids")).when(
+        F.col("repeats") > 0, said(F.col("repeats"), " rows repeat an id")
+    )
+    return id_faults(words).select(fault.alias("fault"))
+
+
+def empty_fault(lookup: DataFrame, name: str = "lookup") -> DataFrame:
+    """One row with `fault`, for `guarded`: that the lookup has no rows, or null."""
+    counted = lookup.agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(F.when(F.col("n") == 0, F.lit(f"The {name} table is empty")).alias("fault"))
+
+
+def beside_ids(
+    rows: DataFrame, keys: Sequence[str], measures: Mapping[str, Column], column: str = "row_id"
+) -> tuple[DataFrame, DataFrame]:
+    """The measures per key and the words of ids, from one reading and one shuffle of the rows.
+
+    Every row counts for its keys and for its id's word, in one aggregate. (Grouping sets would do the same, but Spark does
+    not see that two uses of them are the same plan.)
+    """
+    sums = id_sums(F.col(column))
+    none = [F.lit(None).cast(rows.schema[k].dataType).alias(f"key_{k}") for k in keys]
+    places = F.array(
+        F.struct(*[F.col(k).alias(f"key_{k}") for k in keys], F.lit(None).cast("bigint").alias("id_word"), F.lit(True).alias("is_key")),
+        F.struct(*none, id_word(F.col(column)).alias("id_word"), F.lit(False).alias("is_key")),
+    )
+    both = rows.select("*", F.inline(places)).groupBy(*[f"key_{k}" for k in keys], "id_word", "is_key")
+    both = keep_whole(both.agg(*[value.alias(name) for name, value in {**measures, **sums}.items()]))
+    per_key = both.filter("is_key").select(*[F.col(f"key_{k}").alias(k) for k in keys], *measures)
+    return per_key, both.filter("NOT is_key").select("id_word", *sums)
+
+
+def guarded(result: DataFrame, *faults: DataFrame) -> DataFrame:
+    """The result, which fails with the fault's text when it is read and one of the one-row frames has a fault.
+
+    The faults are a part of the plan that adds no rows, so building it runs no job, and aggregates that they share
+    with the result run once. A reader that stops after a few rows of the result may not reach them.
+    """
+    for fault in faults:
+        refused = F.when(F.col("fault").isNotNull(), F.raise_error(F.col("fault")).cast("boolean")).otherwise(F.lit(False))
+        none = fault.filter(refused).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in result.schema])
+        result = result.unionByName(none)
+    return result
+
+
 def amount_report(raw: DataFrame, scale: int = SCALE) -> DataFrame:
     """reason, n: what becomes of the amounts. `out_of_range` ones are lost, `rounded` ones are changed."""
     return ledger(raw, F.coalesce(money_fault(F.col("Amount"), scale), F.lit("kept")))
 
 
 def require_amounts(raw: DataFrame, scale: int = SCALE) -> DataFrame:
-    """The rows themselves, or an error if an amount is too large to keep. Reads the amounts once."""
-    lost = raw.filter(money_fault(F.col("Amount"), scale) == "out_of_range").limit(1).collect()
-    if lost:
-        raise ValueError(f"Amount {lost[0]['Amount']!r} has more digits than are kept")
+    """The rows themselves, or an error if an amount cannot be kept as it is. Reads the amounts once."""
+    fault = money_fault(F.col("Amount"), scale)
+    some = lambda kind: F.first(F.when(fault == kind, F.col("Amount")), ignorenulls=True)
+    lost = raw.agg(some("out_of_range").alias("large"), some("rounded").alias("fine")).first()
+    for amount, why in ((lost["large"], TOO_LARGE), (lost["fine"], too_fine(scale))):
+        if amount is not None:
+            raise ValueError(f"Amount {amount!r} {why}")
     return raw
 
 

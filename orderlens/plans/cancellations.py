@@ -6,22 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import code_count
+from ..functions.numbers import SCALE
 from ..once import keep_whole
 from ..operators import promotions as promo
-from ..operators.quality import require_amounts, require_unique
+from ..operators.quality import beside_ids, guarded, require_amounts, require_unique, unique_fault
 from ..sources import cancellation_rows, require_columns
 from ..sources.contract import CANCELLATION_COLUMNS
+from .checks import IN_PLAN
 
 KEEP = ("row_id", "city", "state", "amount")
+PLACE = ("city", "state")
 
 
-def listed_codes(
-    orders: DataFrame, min_promotions: int = promo.MIN_PROMOTIONS, salts: int = promo.SALTS
-) -> DataFrame:
-    """Every code of every dated order, shuffled once by code and salt for both of its uses.
+def listed_codes(orders: DataFrame, min_promotions: int = promo.MIN_PROMOTIONS) -> DataFrame:
+    """The codes of all dated orders, from one reading and one shuffle, with the part of its code each row belongs to.
 
-    `is_candidate` marks codes of orders that can still qualify (cancelled, priced, in a state, with a
-    long enough list); only those carry the order's other columns.
+    Orders that can still qualify (`is_candidate`: cancelled, priced, in a state, with a long enough list) keep a row for
+    each of their codes. All other uses of a code are summed in every task to one row. Both have first_date, last_date
+    and the number of `uses`.
     """
     candidate = F.coalesce(
         promo.is_cancelled_standard()
@@ -34,19 +36,28 @@ def listed_codes(
         orders.withColumn("is_candidate", candidate), (*KEEP, "is_candidate")
     )
     carried = [F.when(F.col("is_candidate"), F.col(name)).alias(name) for name in KEEP]
-    salt = promo.salt_of(F.col("row_id"), salts).alias("salt")
-    rows = codes.select("promo", salt, "order_date", "is_candidate", *carried)
-    return keep_whole(rows.repartition("promo", "salt"))
+    uses = keep_whole(
+        codes.select("promo", "order_date", "is_candidate", *carried)
+        .groupBy("promo", "is_candidate", *KEEP)
+        .agg(
+            F.min("order_date").alias("first_date"),
+            F.max("order_date").alias("last_date"),
+            F.count(F.lit(1)).alias("uses"),
+        )
+    )
+    candidates = uses.filter("is_candidate").groupBy("promo").agg(F.count(F.lit(1)).alias("uses"))
+    return promo.with_salt(uses, promo.with_salts(candidates))
 
 
 def code_periods(codes: DataFrame) -> DataFrame:
-    """promo, first_date, last_date, active_days; summed per salt before a code comes together."""
-    parts = codes.groupBy("promo", "salt").agg(
-        F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date")
-    )
+    """promo, first_date, last_date, active_days, salts."""
     return (
-        parts.groupBy("promo")
-        .agg(F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
+        codes.groupBy("promo")
+        .agg(
+            F.min("first_date").alias("first_date"),
+            F.max("last_date").alias("last_date"),
+            F.max("salts").alias("salts"),
+        )
         .withColumn("active_days", F.datediff("last_date", "first_date"))
     )
 
@@ -56,15 +67,14 @@ def qualified_orders(
     averages: DataFrame,
     min_days: int = promo.MIN_DAYS,
     min_promotions: int = promo.MIN_PROMOTIONS,
-    salts: int = promo.SALTS,
 ) -> DataFrame:
     """row_id, city of the cancelled standard orders that qualify, from the listed codes and the averages."""
     valid = code_periods(codes).filter(F.col("active_days") >= min_days)
     counts = (
         codes.filter("is_candidate")
-        .join(promo.salted(valid, salts), ["promo", "salt"], "inner")
+        .join(promo.salted(valid), ["promo", "salt"], "inner")
         .groupBy(*KEEP)
-        .agg(F.count(F.lit(1)).alias("valid_promotion_count"))
+        .agg(F.sum("uses").alias("valid_promotion_count"))
     )
     return (
         counts.filter(F.col("valid_promotion_count") >= min_promotions)
@@ -74,6 +84,15 @@ def qualified_orders(
     )
 
 
+def _shares(orders: DataFrame, sums: DataFrame, min_days: int, min_promotions: int) -> DataFrame:
+    """The answer from typed orders and their sums per place."""
+    base = sums.filter(F.col("cancelled") > 0).select("city", "cancelled", F.lit(0).alias("qualified"))
+    codes = listed_codes(orders, min_promotions)
+    found = qualified_orders(codes, promo.averages_of(sums), min_days, min_promotions)
+    found = found.select("city", F.lit(0).alias("cancelled"), F.lit(1).alias("qualified"))
+    return promo.city_shares(base.unionByName(found))
+
+
 def qualified_shares(
     orders: DataFrame, min_days: int = promo.MIN_DAYS, min_promotions: int = promo.MIN_PROMOTIONS
 ) -> DataFrame:
@@ -81,27 +100,27 @@ def qualified_shares(
 
     Two passes over the orders: the sums per place, and the listed codes.
     """
-    sums = keep_whole(promo.place_sums(orders))
-    base = sums.filter(F.col("cancelled") > 0).select("city", "cancelled", F.lit(0).alias("qualified"))
-    codes = listed_codes(orders, min_promotions)
-    found = qualified_orders(codes, promo.averages_of(sums), min_days, min_promotions)
-    found = found.select("city", F.lit(0).alias("cancelled"), F.lit(1).alias("qualified"))
-    return promo.city_shares(base.unionByName(found))
+    return _shares(orders, keep_whole(promo.place_sums(orders)), min_days, min_promotions)
 
 
 def qualified_by_city(
     raw: DataFrame,
     min_days: int = promo.MIN_DAYS,
     min_promotions: int = promo.MIN_PROMOTIONS,
-    check: bool = True,
+    check: bool | str = True,
+    scale: int = SCALE,
 ) -> DataFrame:
     """The same from raw text columns.
 
-    `check` looks for all columns, for missing or repeated row ids and for amounts that are too large; it
-    reads the ids and the amounts. Leave it out only where that has been done.
+    `check` looks for all columns, for missing or repeated row ids and for amounts that `scale` decimals cannot keep as they
+    are: True before anything else, in jobs of their own; `IN_PLAN` while the result is read, the ids in the same pass and
+    shuffle as the sums per place, the amounts where they are used.
     """
-    orders = cancellation_rows(require_columns(raw, CANCELLATION_COLUMNS))
+    orders = cancellation_rows(require_columns(raw, CANCELLATION_COLUMNS), scale, check == IN_PLAN)
+    if check == IN_PLAN:
+        sums, words = beside_ids(orders, PLACE, promo.place_measures())
+        return guarded(_shares(orders, sums, min_days, min_promotions), unique_fault(words))
     if check:
-        require_amounts(raw)
+        require_amounts(raw, scale)
         require_unique(orders)
     return qualified_shares(orders, min_days, min_promotions)

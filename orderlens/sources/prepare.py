@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
     at_least_size,
+    checked_money,
     code_count,
     key_text,
     label_text,
@@ -18,12 +19,20 @@ from ..functions import (
     parse_int,
     trimmed,
 )
+from ..functions.numbers import SCALE
 from ..functions.text import is_present
 from ..once import select_once, with_column_once
 
 
-def window_rows(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """state, size, status, qty, order_date, amount, after any columns to keep as they are."""
+def _amount(scale: int, checked: bool) -> Column:
+    return (checked_money if checked else money)(F.col("Amount"), scale).alias("amount")
+
+
+def window_rows(raw: DataFrame, keep: tuple[str, ...] = (), scale: int = SCALE, checked: bool = False) -> DataFrame:
+    """state, size, status, qty, order_date, amount, after any columns to keep as they are.
+
+    Here and below: amounts have `scale` decimals; `checked` ones that cannot be kept as they are raise when they are read.
+    """
     return raw.select(
         *keep,
         key_text(F.col("ship-state")).alias("state"),
@@ -31,7 +40,7 @@ def window_rows(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         label_text(F.col("Status")).alias("status"),
         parse_int(F.col("Qty")).alias("qty"),
         parse_date_clamped(F.col("Date")).alias("order_date"),
-        money(F.col("Amount")).alias("amount"),
+        _amount(scale, checked),
     )
 
 
@@ -49,7 +58,7 @@ def style_rows(
     return select_once(raw, {name: F.col(name) for name in keep} | columns)
 
 
-def cancellation_rows(raw: DataFrame) -> DataFrame:
+def cancellation_rows(raw: DataFrame, scale: int = SCALE, checked: bool = False) -> DataFrame:
     """row_id, order_date, five category columns, city, state, amount, promotion list."""
     return raw.select(
         parse_id(F.col("index")).alias("row_id"),
@@ -60,12 +69,12 @@ def cancellation_rows(raw: DataFrame) -> DataFrame:
         label_text(F.col("Courier Status")).alias("courier_status"),
         label_text(F.col("ship-city")).alias("city"),
         label_text(F.col("ship-state")).alias("state"),
-        money(F.col("Amount")).alias("amount"),
+        _amount(scale, checked),
         F.col("promotion-ids").alias("promotion_ids_raw"),
     )
 
 
-def spread_rows(raw: DataFrame) -> DataFrame:
+def spread_rows(raw: DataFrame, scale: int = SCALE, checked: bool = False) -> DataFrame:
     """row_id, sku, month, amount, promotion_count; rows lacking id, date or SKU dropped."""
     # The date decides on the row and gives the month; it is parsed once for both.
     dated = with_column_once(raw, "order_date", parse_date(F.col("Date")))
@@ -75,7 +84,7 @@ def spread_rows(raw: DataFrame) -> DataFrame:
             parse_id(F.col("index")).alias("row_id"),
             trimmed(F.col("SKU")).alias("sku"),
             month_of(F.col("order_date")).alias("month"),
-            money(F.col("Amount")).alias("amount"),
+            _amount(scale, checked),
             code_count(F.col("promotion-ids")).alias("promotion_count"),
         )
         .filter(F.col("row_id").isNotNull() & is_present(F.col("sku")))
