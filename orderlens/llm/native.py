@@ -22,9 +22,15 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, f"{BLANK}+"), "")
 
 
-def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """A hint where the rows were counted and are few; otherwise Spark's own choice. `df` should be landed."""
-    return F.broadcast(df) if df.count() <= rows else df
+#: Text of a table up to which it is sent to every task.
+SMALL_BYTES = 64 << 20
+
+
+def broadcast_if_small(df: DataFrame, rows: int, most: int = SMALL_BYTES) -> DataFrame:
+    """A hint where rows and their text were counted and are few; otherwise Spark's own choice. `df` should be landed."""
+    text = F.sum(F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns])))
+    n, size = df.agg(F.count(F.lit(1)), text).first()
+    return F.broadcast(df) if n <= rows and (size or 0) <= most else df
 
 
 def joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

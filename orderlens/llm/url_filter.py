@@ -2,10 +2,10 @@
 
 Every path becomes a shape: numbers and long hexadecimal segments are wildcards, digits inside other
 segments become `#`. Whole shapes are counted per host. Level by
-level, a place in the tree with more than `children` different segments keeps those that have `least` labels or
-more and whose share of bad labels differs from the others' by a two-proportion test at `z`; the rest become `*`. From
-`depth` segments on, the tree goes on only below nodes with good and bad labels; what lies below others is one `**`. Each
-node of the resulting tree sums the labels below it. From the root down, a node whose share of bad labels
+level, segments whose share of bad labels does not differ from their siblings' by a two-proportion test at `z` merge
+into `*`, however many siblings there are; the others stand by themselves, as does an only child. From
+`depth` segments on, the tree goes on only below nodes with good and bad labels, in steps from branch to branch; what lies
+below others is one `**`. Each node of the resulting tree sums the labels below it. From the root down, a node whose share of bad labels
 does not differ from its siblings' by the same test merges with them and takes its parent's
 estimate; another node gets its own share, smoothed by `weight` pseudo-labels at the parent's estimate. A
 template is rejected if its estimate reaches `reject`.
@@ -14,8 +14,10 @@ Shapes are summed in every task before they move, so a host with a third of all
 distinct shapes; only rejected shapes are joined back to the pages.
 
 Null url, or one without `://`: empty host and path, which are a host like any other. Pages without label
-count as pages only. Repeated rows count as often as they occur; several labels of one page all count.
-Tables without rows give none.
+count as pages only. Repeated rows count as often as they occur; several labels of one page all count; labels that
+are null, or of no page, do not. Urls are read whole, however long; a path of many segments costs as many rounds as the
+mixed part of the tree has branches above one another. Only the named columns are read, so others may have any name, and
+go. Tables without rows give none.
 """
 
 from __future__ import annotations
@@ -27,11 +29,8 @@ from .native import broadcast_if_small, joined
 from .scratch import landed
 
 DEPTH = 4
-CHILDREN = 50
 Z = 1.96
 WEIGHT = 10.0
-#: Labels with which a segment of a wide place can stand by itself: as many as the pseudo-labels.
-LEAST = 10
 REJECT = 0.5
 #: Rejected (host, shape) rows up to which they are sent to every task.
 SMALL = 500_000
@@ -97,49 +96,65 @@ def _alike(labelled: Column, bad: Column, all_labelled: Column, all_bad: Column,
     return (labelled == 0) | (others == 0) | (gap <= error * z)
 
 
-def _starred(rows: DataFrame, level: int, children: int, z: float, least: float) -> DataFrame:
-    """Segments at this level become `*` where they are too many and too few labels tell them from the others."""
+def _starred(rows: DataFrame, level: int, z: float) -> DataFrame:
+    """Segments at this level become `*`, but for those whose labels tell them from their siblings, and for only children."""
     rows = rows.withColumns({"prefix": F.array_join(_prefix(level), "/"), "child": F.get("template", F.lit(level))})
     sums = [F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")]
     each = landed(rows.where(F.col("child").isNotNull()).groupBy("host", "prefix", "child").agg(*sums), "url_children")
-    wide = each.groupBy("host", "prefix").agg(
+    places = each.groupBy("host", "prefix").agg(
         F.count(F.lit(1)).alias("kinds"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad")
     )
-    wide = landed(wide.where(F.col("kinds") > children), "url_wide")
-    if wide.isEmpty():
-        return rows.drop("prefix", "child")
-    wide = broadcast_if_small(wide, SMALL)
+    places = broadcast_if_small(landed(places.where(F.col("kinds") > 1), "url_places"), SMALL)
     alike = _alike(F.col("labelled"), F.col("bad"), F.col("all_labelled"), F.col("all_bad"), z)
-    own = joined(each, wide, ["host", "prefix"], "inner").where((F.col("labelled") >= least) & ~alike)
-    own = landed(own.select("host", "prefix", "child", F.lit(True).alias("own")), "url_own")
-    rows = joined(rows, wide.select("host", "prefix", "kinds"), ["host", "prefix"])
-    rows = joined(rows, broadcast_if_small(own, SMALL), ["host", "prefix", "child"])
+    merged = joined(each, places, ["host", "prefix"], "inner").where(alike)
+    merged = landed(merged.select("host", "prefix", "child", F.lit(True).alias("merged")), "url_merged")
+    if merged.isEmpty():
+        return rows.drop("prefix", "child")
+    rows = joined(rows, broadcast_if_small(merged, SMALL), ["host", "prefix", "child"])
     star = F.concat(_prefix(level), F.array(F.lit("*")), F.slice("template", F.lit(level + 2), F.size("template")))
-    merged = F.col("kinds").isNotNull() & F.col("own").isNull() & F.col("child").isNotNull()
-    rows = rows.withColumn("template", F.when(merged, star).otherwise(F.col("template")))
-    return landed(rows.drop("prefix", "child", "kinds", "own"), "url_starred")
+    rows = rows.withColumn("template", F.when(F.col("merged"), star).otherwise(F.col("template")))
+    return landed(rows.drop("prefix", "child", "merged"), "url_starred")
 
 
-def templates(shapes: DataFrame, depth: int = DEPTH, children: int = CHILDREN, z: float = Z, least: float = LEAST) -> DataFrame:
-    """Adds each shape's template: its segments, with `*` at places that have too many different ones that are alike.
+def templates(shapes: DataFrame, depth: int = DEPTH, z: float = Z) -> DataFrame:
+    """Adds each shape's template: its segments, with `*` for siblings that their labels do not tell apart.
 
-    Below `depth` segments, `**` stands for all that follows a node whose labels are all good, all bad or none.
+    Below `depth` segments, `**` stands for all that follows a node whose labels are all good, all bad or none, since
+    nothing below it can differ, and segments without a branch between them are one.
     """
     rows = shapes.withColumn("template", F.col("shape"))
     if "labelled" not in rows.columns:
         rows = rows.withColumns({"labelled": F.lit(0), "bad": F.lit(0)})
     for level in range(depth):
-        rows = _starred(rows, level, children, z, least)
+        rows = _starred(rows, level, z)
     level, rows = depth, rows.withColumn("closed", F.lit(False))
     while True:
         rows = landed(_closed(rows, level), "url_closed")
         if rows.where(~F.col("closed") & (F.size("template") > level)).isEmpty():
             return rows.drop("closed")
         ended = rows.where("closed")
-        rows = _starred(rows.where("NOT closed"), level, children, z, least).unionByName(ended)
+        rows = _starred(_chained(rows.where("NOT closed"), level), level, z).unionByName(ended)
         level += 1
 
 
+def _chained(rows: DataFrame, level: int) -> DataFrame:
+    """Segments from this level on that all rows below a node share become one, so a long path is few levels."""
+    rows = rows.withColumns({"prefix": F.array_join(_prefix(level), "/"), "rest": F.slice("template", level + 1, F.size("template"))})
+    # What the first and the last of some arrays share, all of them share.
+    ends = rows.where(F.size("rest") > 0).groupBy("host", "prefix").agg(F.min("rest").alias("first"), F.max("rest").alias("last"))
+    same = F.zip_with("first", "last", lambda a, b: a.eqNullSafe(b))
+    until = F.array_position(same, False).cast("int")
+    shared = F.when(until > 0, until - 1).otherwise(F.size("first"))
+    chains = landed(ends.select("host", "prefix", shared.alias("shared")).where("shared > 1"), "url_chains")
+    if chains.isEmpty():
+        return rows.drop("prefix", "rest")
+    rows = joined(rows, broadcast_if_small(chains, SMALL), ["host", "prefix"])
+    chain = F.array(F.array_join(F.slice("rest", 1, F.col("shared")), "/"))
+    whole = F.concat(_prefix(level), chain, F.slice("rest", F.col("shared") + 1, F.size("rest")))
+    template = F.when(F.col("shared").isNotNull() & (F.size("rest") > 0), whole).otherwise(F.col("template"))
+    return rows.withColumn("template", template).drop("prefix", "rest", "shared")
+
+
 def _closed(rows: DataFrame, level: int) -> DataFrame:
     """Rows that go on below level under a node whose labels there are of one kind or none end in `**`."""
     rows = rows.withColumn("prefix", F.array_join(_prefix(level), "/"))
@@ -188,11 +203,9 @@ def judge(
     url: str = "url",
     page_id: str = "page_id",
     depth: int = DEPTH,
-    children: int = CHILDREN,
     z: float = Z,
     weight: float = WEIGHT,
     reject: float = REJECT,
-    least: float = LEAST,
 ) -> DataFrame:
     """page_id, host, path, rule and verdict of every page. `labels` has page_id and bad (boolean)."""
     rows = pages.select(F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
@@ -207,7 +220,7 @@ def judge(
         ),
         "url_shapes",
     )
-    tree = estimates(templates(shapes, depth, children, z, least), z, weight)
+    tree = estimates(templates(shapes, depth, z), z, weight)
     bad = tree.where(F.col("estimate") >= reject).select("host", F.array_join("shape", "/").alias("key"), F.lit(True).alias("rejected"))
     bad = broadcast_if_small(landed(bad, "url_rejected"), SMALL)
     out = joined(rows.withColumn("key", F.array_join("shape", "/")), bad, ["host", "key"])
