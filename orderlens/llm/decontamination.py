@@ -7,11 +7,15 @@ document that holds that share of an item lacks fewer shingles than the signatur
 them: no leak is missed, however long the document is. Candidates are then verified by the exact share of the item's distinct
 shingles, compared as strings.
 
-Built-in functions only. A document's shingles meet the signatures row by row and are not shuffled. Signatures are sent
-to all tasks in slices of at most `SLICE_ITEMS` items and `SLICE_BYTES` bytes; each slice is a pass over the documents.
+Built-in functions only. A document's shingles meet the signatures row by row and are not shuffled. What is sent to all
+tasks is a hash, an item's number and a size for each entry of a signature, in slices of at most `SLICE_PROBES` entries,
+dealt by hash, so one long item is no larger slice; each slice is a pass over the documents. A document is no candidate for
+an item of a size that its number of shingles cannot hold. Candidates are made distinct by text and item, and then verified
+once each: only their texts are read again, and equal texts are verified as one.
 
 Null or short texts, and items of fewer than five words, have no shingles and match nothing. Equal documents and equal items
-all match. Tables without rows give none.
+all match, also where ids are null, repeated or shared by different items. Tables without rows give none. Texts are cut whole,
+however long. Other columns may have any name; a carried column that is named like a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -25,8 +29,9 @@ from .scratch import landed
 WORDS = 5
 #: Percent of an item's shingles.
 SHARE = 80
+#: Items, and entries of signatures of about 50 bytes in memory, that are sent to every task at once.
 SLICE_ITEMS = 20_000
-SLICE_BYTES = 32 << 20
+SLICE_PROBES = 1_000_000
 #: Keys of contaminated texts up to which they are sent to every task.
 SMALL = 1_000_000
 
@@ -65,6 +70,10 @@ def signatures(items: DataFrame, text: str = "text", item_id: str = "item_id", s
     )
 
 
+#: What is said about a document and an item.
+RESULTS = ("item_id", "n_shared", "n_shingles")
+
+
 def leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -75,22 +84,32 @@ def leaks(
     share: int = SHARE,
 ) -> DataFrame:
     """The `carry` columns of each document with item_id, n_shared and n_shingles of each item in it, once."""
-    signed = landed(signatures(items, item_text, item_id, share), "signatures")
-    size = signed.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.array_join("shingles", " ")))).first()
-    slices = max(1, -(-size[0] // SLICE_ITEMS), -(-(size[1] or 0) // SLICE_BYTES))
-    rows = docs.select(*[F.col(c).alias(f"__{c}") for c in carry], _words(F.col(text)).alias("__words"))
-    rows = rows.where(F.size("__words") >= WORDS)
-    rows = rows.select("*", F.explode(_hashes(F.col("__words"))).alias("__hash"))
+    signed = signatures(items, item_text, item_id, share).withColumn("item", F.monotonically_increasing_id())
+    signed = landed(signed, "signatures")
+    need = F.ceil(F.col("n_shingles") * share / 100).cast("int")
+    probes = landed(signed.select("item", need.alias("need"), F.explode("signature").alias("__hash")), "probes")
+    slices = max(1, -(-signed.count() // SLICE_ITEMS), -(-probes.count() // SLICE_PROBES))
+    carry = [c for c in carry if c not in RESULTS]
+    keyed = docs.select(
+        *[F.col(c).alias(f"__{k}_{c}") for k, c in enumerate(carry)], F.col(text).alias("__text"),
+        F.xxhash64(text).alias("__k1"), F.xxhash64(F.lit(1), F.col(text)).alias("__k2"),
+    )
+    cut = keyed.select("__k1", "__k2", _words(F.col("__text")).alias("__words")).where(F.size("__words") >= WORDS)
+    cut = cut.select("__k1", "__k2", (F.size("__words") - (WORDS - 1)).alias("__most"), F.explode(_hashes(F.col("__words"))).alias("__hash"))
     found = None
     for k in range(slices):
-        own = signed.where(F.pmod(F.xxhash64("item_id"), F.lit(slices)) == k)
-        probes = own.select("item_id", "n_shingles", "shingles", F.explode("signature").alias("__hash"))
-        hit = rows.join(F.broadcast(probes), "__hash")
-        shared = F.size(F.array_intersect(_shingles(F.col("__words")), F.col("shingles")))
-        hit = hit.select(*[f"__{c}" for c in carry], "item_id", shared.alias("n_shared"), "n_shingles")
+        own = probes.where(F.pmod("__hash", F.lit(slices)) == k)
+        hit = cut.join(F.broadcast(own), "__hash").where(F.col("__most") >= F.col("need")).select("__k1", "__k2", "item")
         found = hit if found is None else found.unionByName(hit)
-    found = found.where(F.col("n_shared") * 100 >= F.col("n_shingles") * share).distinct()
-    return found.withColumnsRenamed({f"__{c}": c for c in carry})
+    candidates = landed(found.distinct(), "candidates")
+    keys = broadcast_if_small(candidates.select("__k1", "__k2").distinct(), SMALL)
+    texts = keyed.join(keys, ["__k1", "__k2"], "left_semi").groupBy("__k1", "__k2").agg(F.first("__text").alias("__text"))
+    pairs = texts.withColumn("__shingles", _shingles(_words(F.col("__text")))).drop("__text").join(candidates, ["__k1", "__k2"])
+    verified = pairs.join(signed.select("item", "item_id", "n_shingles", "shingles"), "item")
+    verified = verified.withColumn("n_shared", F.size(F.array_intersect("__shingles", "shingles")))
+    verified = verified.where(F.col("n_shared") * 100 >= F.col("n_shingles") * share).select("__k1", "__k2", *RESULTS).distinct()
+    out = keyed.drop("__text").join(broadcast_if_small(landed(verified, "verified"), SMALL), ["__k1", "__k2"])
+    return out.select(*[F.col(f"__{k}_{c}").alias(c) for k, c in enumerate(carry)], *RESULTS).distinct()
 
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", share: int = SHARE) -> DataFrame:
@@ -98,7 +117,7 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text", share: int = SH
 
     Equal texts share the verdict, so it is kept by two hashes of the text and needs no document id.
     """
-    keys = {"__k1": F.xxhash64(text), "__k2": F.xxhash64(F.lit(1), F.col(text))}
+    keys = {"__t1": F.xxhash64(text), "__t2": F.xxhash64(F.lit(1), F.col(text))}
     bad = leaks(docs.select(text).withColumns(keys), items, list(keys), text, share=share)
     bad = landed(bad.select(*keys).distinct(), "contaminated")
     return joined(docs.withColumns(keys), broadcast_if_small(bad, SMALL), list(keys), "left_anti").select(*docs.columns)

@@ -19,7 +19,7 @@ short. Sets are compared by 64-bit hashes of shingles.
 
 A text of fewer words than a shingle has its whole sequence as one. Null text, or one without words, has an
 empty set, links with nothing and is a component by itself. A row without id gets no links and a null component. Rows
-of one id are one document. Tables without rows give none.
+of one id are one document. Texts are read whole, one at a time beyond 1 MB. Tables without rows give none.
 """
 
 from __future__ import annotations

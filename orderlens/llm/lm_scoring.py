@@ -16,8 +16,8 @@ and pairs, giving its own training counts with the question; the block's part of
 the answers. A token in a third of all places is one entry a block.
 
 Held-out documents are those whose crc32 of the id as text leaves `remainder` modulo `modulus`. Null text is empty: its
-only token is the end. A document without id is a training document. Repeated rows count as often as they occur. Tables
-without rows give none. Tokens and pairs are told apart by 64 bits of hash.
+only token is the end. A document without id is a training document. Repeated rows count as often as they occur. Texts are read whole, a longer
+one than a block as a block of its own. Columns beyond id and text go. Tables without rows give none. Tokens and pairs are told apart by 64 bits of hash.
 """
 
 from __future__ import annotations

@@ -21,7 +21,7 @@ language with fewer that of all documents. The documents are then joined with th
 
 Built-in functions only. The repeated-window count compares 64-bit hashes of three words within one document.
 
-Null text: no words, so the base rule rejects it. Null language or source is a group of its own. Repeated rows
+Null text: no words, so the base rule rejects it. Texts are measured whole, however long. Null language or source is a group of its own. Repeated rows
 count as often as they occur. Tables without rows give none. Columns of the results replace columns of their names;
 names that begin with two underscores are taken.
 """
@@ -199,10 +199,17 @@ def verdicts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def kept(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents, all their columns, that the rules keep. Texts are read twice and not shuffled."""
-    narrow = docs.select("lang", "source", text)
-    limits = landed(thresholds(sketch(measured(narrow, text))), "quality_limits")
-    return judged(measured(docs, text), limits).where("kept").select(*docs.columns)
+    """The documents, all their columns, that the rules keep.
+
+    Documents are written once with their measures, from which thresholds and verdicts are taken, so each text is
+    measured once; texts are not shuffled.
+    """
+    own = [F.col(c).alias(f"__own_{k}") for k, c in enumerate(docs.columns)]
+    rows = docs.select("lang", "source", F.col(text).alias("__measured"), *own)
+    rows = landed(measured(rows, "__measured").drop("__measured"), "quality_measures")
+    limits = landed(thresholds(sketch(rows)), "quality_limits")
+    out = judged(rows, limits).where("kept")
+    return out.select(*[F.col(f"__own_{k}").alias(c) for k, c in enumerate(docs.columns)])
 
 
 ORACLE_SQL = f"""

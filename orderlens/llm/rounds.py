@@ -27,18 +27,22 @@ def text_bytes(docs: DataFrame, text: str) -> int:
 
 
 def blocks_of(
-    docs: DataFrame, doc_id: str, text: str, block_bytes: int, carry: Sequence[str] = ()
+    docs: DataFrame, doc_id: str, text: str, block_bytes: int, carry: Sequence[str] = (), spread_null: bool = False
 ) -> tuple[DataFrame, int, int]:
     """doc_id, text, block and the carried columns, the number of blocks, and the number of partitions.
 
-    Texts are shuffled once; every pass reuses that. Carried columns are named by `carried`.
+    Texts are shuffled once; every pass reuses that. Carried columns are named by `carried`. With `spread_null`, rows without
+    id are dealt by their text, for operators to which they are not one after the other; else they share a block.
     """
+    key = F.xxhash64(F.col(doc_id).cast("long"))
+    if spread_null:
+        key = F.when(F.col(doc_id).cast("long").isNull(), F.xxhash64(F.lit(3), F.col(text))).otherwise(key)
     number = max(1, -(-text_bytes(docs, text) // block_bytes))
     parts = max(1, min(number, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4))
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         F.col(text).alias("text"),
-        F.pmod(F.xxhash64(F.col(doc_id).cast("long")), F.lit(number)).alias("block"),
+        F.pmod(key, F.lit(number)).alias("block"),
         *[F.col(c).alias(name) for c, name in zip(carry, carried(carry), strict=True)],
     )
     return rows.repartition(parts, "block"), number, parts

@@ -9,7 +9,7 @@ the words it has seen.
 Decoding joins the spelled-out bytes of the ids and takes away the added mark.
 
 Null text: no ids; it decodes to the empty text. Other columns stay; the result columns replace columns of
-their names. Rows are independent, so ties, repeated rows and empty tables need no rule.
+their names. Texts are read whole, one at a time beyond 1 MB. Rows are independent, so ties, repeated rows and empty tables need no rule.
 """
 
 from __future__ import annotations

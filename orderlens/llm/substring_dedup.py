@@ -15,8 +15,8 @@ Words are `[^\\x20\\x09-\\x0D]+`, compared as they are. Windows are compared by
 blocks and 64 bits within one.
 
 Null text: no words. Documents without id stand last. Rows of one id are one document each, in the order
-of their texts. Ties in id and text are rows of equal content; the first of them keeps its words. Tables without rows
-give none.
+of their texts. Ties in id and text are rows of equal content; the first of them keeps its words. Texts are read whole, a longer one than a
+block as a block of its own. Tables without rows give none.
 """
 
 from __future__ import annotations

@@ -15,8 +15,9 @@ for each sampled suffix, and equal windows stand in runs with the same leading b
    boundary. A leading sequence with more than `hot` different surroundings is dealt out by the
    bytes of each of its windows instead, so no range is unbounded.
 
-Null text is empty. Documents without id stand last; documents of one id do not take bytes from each other.
-Repeated rows therefore stay as they are, and so do texts under 50 bytes. Tables without rows give none.
+Null text is empty. Documents without id stand last, however many they are; documents of one id do not take bytes from
+each other. Repeated rows therefore stay as they are, and so do texts under 50 bytes. Texts are read whole: a block is one
+text where that is longer, and a worker holds some 30 times its size. Tables without rows give none.
 """
 
 from __future__ import annotations
@@ -51,6 +52,9 @@ HOT = 20_000
 BLOCK_BYTES = 8 << 20
 #: Sampled leading sequences for each range of suffixes.
 SAMPLES = 40
+#: Ranges between splitters, so that many times SAMPLES samples reach the driver at most; a larger input cuts each range
+#: into parts by a hash of the leading bytes, which keeps equal suffixes together as well.
+MOST_RANGES = 16_384
 #: Leading bytes that splitters compare.
 TOKEN = 16
 
@@ -159,10 +163,17 @@ def splitters(docs: DataFrame, text: str, doc_id: str, ranges_wanted: int, lengt
     return np.unique(np.array(picks, f"S{TOKEN}"))
 
 
-def _range_of(rows: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """Range of each row of leading bytes."""
-    lead = np.ascontiguousarray(rows[:, :TOKEN]).view(f"S{TOKEN}").reshape(-1)
-    return np.searchsorted(cuts, lead, "right").astype(np.int64)
+def _range_of(rows: np.ndarray, cuts: np.ndarray, finer: int) -> np.ndarray:
+    """Range of each row of leading bytes: between two splitters, and one of `finer` parts by a hash of them."""
+    lead = np.ascontiguousarray(rows[:, :TOKEN])
+    coarse = np.searchsorted(cuts, lead.view(f"S{TOKEN}").reshape(-1), "right").astype(np.int64)
+    if finer < 2:
+        return coarse
+    words = lead.view(np.uint64)
+    mixed = mix(words[:, 0])
+    for k in range(1, words.shape[1]):
+        mixed = mix(mixed ^ words[:, k])
+    return coarse * finer + (mixed % np.uint64(finer)).astype(np.int64)
 
 
 def sorted_suffixes(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -209,6 +220,7 @@ def remove_repeated(
     block_bytes: int = BLOCK_BYTES,
     hot: int = HOT,
     samples: int = SAMPLES,
+    most_ranges: int = MOST_RANGES,
     with_kept: bool = False,
     carry: Sequence[str] = (),
 ) -> DataFrame:
@@ -219,8 +231,9 @@ def remove_repeated(
     """
     if not TOKEN <= lead <= length:
         raise ValueError(f"the leading sequence needs {TOKEN} bytes or more and no more than the string")
-    blocks, number, parts = blocks_of(docs, doc_id, text, block_bytes, carry)
-    cuts = splitters(docs, text, doc_id, number, length, lead, samples)
+    blocks, number, parts = blocks_of(docs, doc_id, text, block_bytes, carry, spread_null=True)
+    cuts = splitters(docs, text, doc_id, min(number, most_ranges), length, lead, samples)
+    finer = -(-number // most_ranges)
 
     def ask_leads(table: pa.Table, block: int) -> pa.Table:
         runs = _Runs(table, length, lead)
@@ -272,7 +285,7 @@ def remove_repeated(
         """Classes sent as whole runs, by range; distinct windows of hot classes, by range; and their places."""
         whole = np.flatnonzero(sort == 1)
         lead_rows = runs.rows(runs.places[first[whole]], TOKEN) if len(whole) else np.zeros((0, TOKEN), np.uint8)
-        spot = _range_of(lead_rows, cuts)
+        spot = _range_of(lead_rows, cuts, finer)
         order = np.argsort(spot, kind="stable")
         whole, spot = whole[order], spot[order]
         single = np.flatnonzero(sort == 2)
@@ -286,7 +299,11 @@ def remove_repeated(
             at = np.full(int(group.max()) + 1, len(windows))
             np.minimum.at(at, group, np.arange(len(windows)))
             distinct = windows[at]
-            window_spot = _range_of(rows[at], cuts)
+            window_spot = _range_of(rows[at], cuts, finer)
+            by_range = np.argsort(window_spot, kind="stable")
+            place = np.empty(len(by_range), np.int64)
+            place[by_range] = np.arange(len(by_range))
+            group, at, distinct, window_spot = place[group], at[by_range], distinct[by_range], window_spot[by_range]
         else:
             group = distinct = window_spot = at = np.zeros(0, np.int64)
         return whole, spot, single, windows, group, at, distinct, window_spot
@@ -297,7 +314,7 @@ def remove_repeated(
         whole, spot, _, _, _, _, distinct, window_spot = asked_suffixes(runs, first, sort)
         one = _suffix_rows(block, spot, runs, runs.starts[first[whole]], runs.sizes[first[whole]], runs.ids()[first[whole]], length)
         doc = runs.doc_ids[np.searchsorted(runs.offsets, distinct, "right") - 1]
-        two = _suffix_rows(block, (len(cuts) + 1) + window_spot, runs, distinct, np.ones(len(distinct), np.int64), doc, length)
+        two = _suffix_rows(block, (len(cuts) + 1) * finer + window_spot, runs, distinct, np.ones(len(distinct), np.int64), doc, length)
         return pa.concat_tables([one, two])
 
     def judge_suffixes(table: pa.Table) -> pa.Table:

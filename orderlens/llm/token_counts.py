@@ -6,7 +6,7 @@ over its earlier units plus the stored count inside the current one. Truncation
 whether a text fits are look-ups in those counts.
 
 Null text: counted as empty, 0 tokens. Other columns stay; `n_bytes`, `n_tokens`, `over_limit` and
-`cut_chars` replace columns of those names. Rows are independent, so repeated rows and empty tables need no rule.
+`cut_chars` replace columns of those names. Texts are read whole, one at a time beyond 1 MB. Rows are independent, so repeated rows and empty tables need no rule.
 """
 
 from __future__ import annotations

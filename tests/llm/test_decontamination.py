@@ -62,3 +62,27 @@ def test_main_path_is_native(session, docs):
     items = session.createDataFrame([(1, ITEM)], "item_id long, text string")
     plan = op.leaks(docs([(1, ITEM)]), items, ["doc_id"])._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
+
+
+def test_a_long_item_is_sent_as_its_hashes(session, docs, monkeypatch):
+    """20 000 words, and slices smaller than its signature; the document holds four fifths and is verified once."""
+    sent = []
+    monkeypatch.setattr(op, "SLICE_PROBES", 2_000)
+    monkeypatch.setattr(op.F, "broadcast", lambda df, plain=F.broadcast: sent.append(df) or plain(df))
+    own = [f"w{k}" for k in range(20_000)]
+    items = session.createDataFrame([(1, " ".join(own)), (1, ITEM), (None, ITEM)], "item_id long, text string")
+    rows = [(1, " ".join(own[:16_100])), (2, " ".join(own[:15_900])), (3, " ".join(own[3_950:])), (4, ITEM), (4, ITEM), (5, " ".join(own[:16_100]))]
+    found = sorted((r["doc_id"], r["item_id"] or 0, r["n_shared"], r["n_shingles"]) for r in op.leaks(docs(rows), items, ["doc_id"]).collect())
+    long, short = 19_996, len(ITEM.split()) - 4
+    assert found == [(1, 1, 16_096, long), (3, 1, 16_046, long), (4, 0, short, short), (4, 1, short, short), (5, 1, 16_096, long)]
+    probes = [df for df in sent if "need" in df.columns]
+    assert len(probes) >= 3 and {c for df in probes for c in df.columns} == {"item", "need", "__hash"}
+    assert sum(df.count() for df in probes) < 7_000 and max(df.count() for df in probes) < 3_000
+
+
+def test_names_that_clash(session, docs):
+    items = session.createDataFrame([(7, ITEM, "x")], "item_id long, text string, n_shared string")
+    rows = docs([(1, ITEM)]).withColumnRenamed("lang", "n_shared").withColumnRenamed("source", "item_id")
+    found = op.leaks(rows, items, ["doc_id", "n_shared", "n_tokens", "item_id"])
+    assert found.columns == ["doc_id", "n_tokens", "item_id", "n_shared", "n_shingles"] and found.first()["item_id"] == 7
+    assert op.clean(rows.withColumn("__k1", F.lit(1)), items).count() == 0

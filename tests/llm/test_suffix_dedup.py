@@ -37,6 +37,35 @@ def test_equals_brute_force(docs, block_bytes, hot):
         assert r["kept_text"] == got[-1].decode(errors="ignore") and r["source"] == "s"
 
 
+@pytest.mark.parametrize("most_ranges", [1, 3])
+def test_ranges_cut_finer_than_the_splitters_find_the_same(docs, most_ranges):
+    rows = shared_passages(6, 90, "xyz \0é", [*"ab cdé\n"], (30, 200), [""])
+    expected = brute_force(rows, op.LENGTH)
+    for hot in (20_000, 0):
+        found = op.remove_repeated(docs(rows), block_bytes=700, hot=hot, most_ranges=most_ranges).collect()
+        assert {r["doc_id"]: tuple(r)[1:] for r in found} == {k: v[:4] for k, v in expected.items()}
+
+
+def test_a_third_of_all_rows_without_id(docs):
+    rows = [(k if k % 3 else None, t) for k, t in shared_passages(7, 90, "xyz", [*"abcdef"], (30, 200), [""])]
+    known = [(i, t) for i, t in rows if i is not None]
+    found = op.remove_repeated(docs(rows), block_bytes=1000).collect()
+    expected = brute_force([(i if i is not None else 10**6 + k, t) for k, (i, t) in enumerate(rows)], op.LENGTH)
+    assert {r["doc_id"]: tuple(r)[1:] for r in found if r["doc_id"] is not None} == {i: expected[i][:4] for i, _ in known}
+    strings = {t[k : k + op.LENGTH] for _, t in known if t for k in range(len(t))}
+    for r, text in zip(*(sorted(x, key=lambda y: str(y[1])) for x in ([(r, r["kept_sha256"]) for r in found if r["doc_id"] is None], [(t or "", hashlib.sha256(cut(t or "", strings)).hexdigest()) for i, t in rows if i is None])), strict=True):
+        assert r[1] == text[1]
+
+
+def cut(text, strings):
+    """ASCII text without what lies under one of the 50-byte strings."""
+    gone = set()
+    for k in range(len(text) - op.LENGTH + 1):
+        if text[k : k + op.LENGTH] in strings:
+            gone.update(range(k, k + op.LENGTH))
+    return "".join(c for k, c in enumerate(text) if k not in gone).encode()
+
+
 def test_edge_cases(docs):
     fifty = "".join(chr(48 + k) for k in range(50))
     long_text = "".join(f"{k} " for k in range(40_000))
