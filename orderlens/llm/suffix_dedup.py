@@ -300,10 +300,11 @@ def remove_repeated(
             np.minimum.at(at, group, np.arange(len(windows)))
             distinct = windows[at]
             window_spot = _range_of(rows[at], cuts, finer)
-            by_range = np.argsort(window_spot, kind="stable")
-            place = np.empty(len(by_range), np.int64)
-            place[by_range] = np.arange(len(by_range))
-            group, at, distinct, window_spot = place[group], at[by_range], distinct[by_range], window_spot[by_range]
+            if finer > 1:  # else sorted windows are in the order of their ranges
+                by_range = np.argsort(window_spot, kind="stable")
+                place = np.empty(len(by_range), np.int64)
+                place[by_range] = np.arange(len(by_range))
+                group, at, distinct, window_spot = place[group], at[by_range], distinct[by_range], window_spot[by_range]
         else:
             group = distinct = window_spot = at = np.zeros(0, np.int64)
         return whole, spot, single, windows, group, at, distinct, window_spot
