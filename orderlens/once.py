@@ -23,6 +23,11 @@ def with_column_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def same_for_all(number: str) -> Column:
+    """A key that all rows share, from a whole number that each has; what is summed by it meets them in an ordinary join."""
+    return F.col(number) - F.col(number)
+
+
 def keep_whole(df: DataFrame) -> DataFrame:
     """The same frame, safe from column pruning.
 

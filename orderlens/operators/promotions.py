@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_present
-from ..once import keep_whole
+from ..once import keep_whole, same_for_all
 
 MIN_DAYS = 2
 MIN_PROMOTIONS = 3
@@ -47,12 +47,12 @@ def with_salts(codes: DataFrame, parts: int = PARTS) -> DataFrame:
 
     All codes together have at most `parts` salts more than there are codes.
     """
-    codes = keep_whole(codes)
-    total = codes.agg(F.sum("uses").alias("all_uses"))
-    # One row beside each code.
-    counted = codes.crossJoin(F.broadcast(total))
+    codes = keep_whole(codes.withColumn("every", same_for_all("uses")))
+    # One row, which each code meets.
+    total = codes.groupBy("every").agg(F.sum("uses").alias("all_uses"))
+    counted = codes.join(F.broadcast(total), "every")
     salts = F.greatest(F.ceil(F.col("uses") * parts / F.col("all_uses")), F.lit(1)).cast("int")
-    return counted.withColumn("salts", salts).drop("all_uses")
+    return counted.withColumn("salts", salts).drop("all_uses", "every")
 
 
 def salt_of(row_id: Column, salts: Column) -> Column:

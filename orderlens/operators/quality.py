@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import money_fault
 from ..functions.numbers import SCALE, TOO_LARGE, too_fine
 from ..functions.text import is_present
-from ..once import keep_whole
+from ..once import keep_whole, same_for_all
 from .percentiles import GROUP
 from .promotions import averages_of
 from .trailing import is_bought
@@ -50,12 +50,16 @@ def _repeats() -> Column:
 
 def id_faults(words: DataFrame) -> DataFrame:
     """One row: rows without an id, and rows that repeat the id of another."""
+    return words.agg(*_fault_counts())
+
+
+def _fault_counts() -> list[Column]:
     missing = F.col("id_word").isNull()
     nothing = F.lit(0).cast("bigint")
-    return words.agg(
+    return [
         F.coalesce(F.sum(F.when(missing, F.col("id_rows"))), nothing).alias("null_ids"),
         F.coalesce(F.sum(F.when(~missing, _repeats())), nothing).alias("repeats"),
-    )
+    ]
 
 
 def id_report(rows: DataFrame, column: str = "row_id") -> DataFrame:
@@ -68,8 +72,10 @@ def id_report(rows: DataFrame, column: str = "row_id") -> DataFrame:
     ids = rows.select(F.col(column).alias("id"), id_word(F.col(column)).alias("id_word"))
     uses = ids.join(doubtful, "id_word", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("uses"))
     repeated = uses.agg(F.count_if(F.col("uses") > 1).alias("duplicate_ids"))
-    # One row beside one row.
-    return id_faults(words).select("null_ids").crossJoin(repeated)
+    nothing = F.lit(0).cast("bigint")
+    both = id_faults(words).select("null_ids", nothing.alias("duplicate_ids"))
+    both = both.unionByName(repeated.select(nothing.alias("null_ids"), "duplicate_ids"))
+    return both.agg(F.sum("null_ids").alias("null_ids"), F.sum("duplicate_ids").alias("duplicate_ids"))
 
 
 def require_unique(rows: DataFrame, column: str = "row_id", allow_null: bool = False) -> DataFrame:
@@ -84,17 +90,21 @@ def require_unique(rows: DataFrame, column: str = "row_id", allow_null: bool = F
 
 
 def unique_fault(words: DataFrame, column: str = "row_id") -> DataFrame:
-    """One row with `fault`, for `guarded`: what is wrong with the ids, or null."""
+    """One row with `fault`, for `guarded`: what is wrong with the ids, or null. No row without ids."""
     said = lambda n, what: F.concat(F.lit(f"{column}: "), n.cast("string"), F.lit(what))
     fault = F.when(F.col("null_ids") > 0, said(F.col("null_ids"), " null or non-numeric ids")).when(
         F.col("repeats") > 0, said(F.col("repeats"), " rows repeat an id")
     )
-    return id_faults(words).select(fault.alias("fault"))
+    counts = words.groupBy(same_for_all("id_rows").alias("every")).agg(*_fault_counts())
+    return counts.select(fault.alias("fault"))
 
 
 def empty_fault(lookup: DataFrame, name: str = "lookup") -> DataFrame:
     """One row with `fault`, for `guarded`: that the lookup has no rows, or null."""
-    counted = lookup.agg(F.count(F.lit(1)).alias("n"))
+    # A row of no weight is there in any case.
+    none = lookup.sparkSession.range(1).select(F.col("id").alias("n"))
+    rows = lookup.select(F.lit(1).cast("bigint").alias("n")).unionByName(none)
+    counted = rows.groupBy(same_for_all("n").alias("every")).agg(F.sum("n").alias("n"))
     return counted.select(F.when(F.col("n") == 0, F.lit(f"The {name} table is empty")).alias("fault"))
 
 
