@@ -117,15 +117,15 @@ def beside_ids(
     not see that two uses of them are the same plan.)
     """
     sums = id_sums(F.col(column))
-    none = [F.lit(None).cast(rows.schema[k].dataType).alias(f"key_{k}") for k in keys]
+    none = [F.lit(None).cast(rows.schema[k].dataType).alias(k) for k in keys]
     places = F.array(
-        F.struct(*[F.col(k).alias(f"key_{k}") for k in keys], F.lit(None).cast("bigint").alias("id_word"), F.lit(True).alias("is_key")),
+        F.struct(*keys, F.lit(None).cast("bigint").alias("id_word"), F.lit(True).alias("is_key")),
         F.struct(*none, id_word(F.col(column)).alias("id_word"), F.lit(False).alias("is_key")),
     )
-    both = rows.select("*", F.inline(places)).groupBy(*[f"key_{k}" for k in keys], "id_word", "is_key")
+    rest = [c for c in rows.columns if c not in keys]
+    both = rows.select(*rest, F.inline(places)).groupBy(*keys, "id_word", "is_key")
     both = keep_whole(both.agg(*[value.alias(name) for name, value in {**measures, **sums}.items()]))
-    per_key = both.filter("is_key").select(*[F.col(f"key_{k}").alias(k) for k in keys], *measures)
-    return per_key, both.filter("NOT is_key").select("id_word", *sums)
+    return both.filter("is_key").select(*keys, *measures), both.filter("NOT is_key").select("id_word", *sums)
 
 
 def guarded(result: DataFrame, *faults: DataFrame) -> DataFrame:
