@@ -73,5 +73,5 @@ def test_query_equals_sql(session, name):
     assert sorted(repr(tuple(r)) for r in frame.select(*names).collect()) == expected
 
 
-def test_queries_name_all_ten():
-    assert sorted(int(n[2:].split("_")[0]) for n in registered.queries()) == [*range(1, 11)]
+def test_queries_name_every_operator():
+    assert sorted(int(n[2:].split("_")[0]) for n in registered.queries()) == [*range(1, 14)]
