@@ -143,6 +143,15 @@ shares AS (
 """
 )
 
+# Doubles with more decimals than cents, summed exactly: in units of 2^-53 each of them is a whole number.
+_ANY_CANCEL = _CANCEL.replace(
+    "CAST(o_totalprice AS DECIMAL(18,2)) END AS amount",
+    "CAST(o_totalprice AS DOUBLE) * CAST(1.0825 AS DOUBLE) END AS amount",
+).replace(
+    "CAST(sum(amount) AS DOUBLE) / count(*)",
+    "CAST(CAST(sum(CAST(amount * pow(2, 53) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / pow(2, 53) / count(*)",
+)
+
 _SPREAD = (
     _CODE
     + """,
@@ -297,7 +306,11 @@ def oracle_sql() -> dict[str, str]:
             WITH {_CODE} SELECT row_id, valid_promotion_count FROM valid_counts""",
         "q10_average_by_state": f"""
             WITH {_CANCEL} SELECT state, state_average_amount FROM averages""",
+        "q10_average_of_any_amounts": f"""
+            WITH {_ANY_CANCEL} SELECT state, state_average_amount FROM averages""",
         "q11_cancellations_by_city": shares,
+        "q11_cancellations_of_any_amounts": f"""WITH {_ANY_CANCEL} SELECT city, cancelled_standard_count,
+                 qualified_order_count, percentage FROM shares""",
         "q11_classified_cancellations": f"""
             WITH {_CANCEL} SELECT row_id, city, state, valid_promotion_count,
               state_average_amount, is_qualified FROM classified""",

@@ -55,6 +55,7 @@ from ..sources.tables import raw_lines, raw_orders
 # The test tables are smaller and longer-lived than a season of real orders.
 CUTOFF = 1_200
 MIN_DAYS = 2_200
+TAX = 1.0825
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,6 +134,21 @@ def average_by_state(spark, sf_dir):
     return promotions.state_averages(_orders(spark, sf_dir))
 
 
+def _any_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders whose amounts, with a tax, have more decimals than cents."""
+    taxed = parse_double(F.col("Amount")) * F.lit(TAX)
+    raw = raw_orders(spark, sf_dir, CANCELLATION_COLUMNS)
+    return raw.withColumn("Amount", F.coalesce(taxed.cast("string"), F.col("Amount")))
+
+
+def average_of_any_amounts(spark, sf_dir):
+    return promotions.state_averages(cancellation_rows(_any_amounts(spark, sf_dir), scale=None))
+
+
+def cancellations_of_any_amounts(spark, sf_dir):
+    return qualified_by_city(_any_amounts(spark, sf_dir), MIN_DAYS, check=IN_PLAN, scale=None)
+
+
 def classified_cancellations(spark, sf_dir):
     orders = _orders(spark, sf_dir)
     exploded = promotions.explode_promotions(orders)
@@ -373,7 +389,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q08_promotion_periods": promotion_periods,
         "q09_valid_promotions_per_order": valid_promotions_per_order,
         "q10_average_by_state": average_by_state,
+        "q10_average_of_any_amounts": average_of_any_amounts,
         "q11_cancellations_by_city": cancellations_by_city,
+        "q11_cancellations_of_any_amounts": cancellations_of_any_amounts,
         "q11_classified_cancellations": classified_cancellations,
         "q11_first_cities": first_cities,
         "q12_promotion_profile": promotion_profile,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.doubles import exact_sums
 from ..functions.text import is_present
 from ..once import keep_whole, same_for_all
 
@@ -118,20 +119,26 @@ def cancelled_standard(orders: DataFrame) -> DataFrame:
     return orders.filter(is_cancelled_standard())
 
 
-def place_measures() -> dict[str, Column]:
-    """What the averages, the base counts and the profile need from all orders."""
+def place_measures(totals: bool = True) -> dict[str, Column]:
+    """What the averages, the base counts and the profile need from all orders; without `totals`, counts alone."""
     averaged, cancelled = _is_averaged(), is_cancelled_standard()
-    return {
-        "priced_total": F.sum(F.when(averaged, F.col("amount"))),
+    priced_total = {"priced_total": F.sum(F.when(averaged, F.col("amount")))} if totals else {}
+    return priced_total | {
         "priced": F.count_if(averaged),
         "cancelled": F.count_if(cancelled),
         "listed": F.count_if(cancelled & is_present(F.trim("promotion_ids_raw"))),
     }
 
 
+def has_doubles(orders: DataFrame) -> bool:
+    """Whether amounts are doubles, whose plain sums would depend on the order of rows."""
+    return orders.schema["amount"].dataType.typeName() == "double"
+
+
 def place_sums(orders: DataFrame) -> DataFrame:
-    """The measures per (city, state)."""
-    return orders.groupBy("city", "state").agg(*[v.alias(name) for name, v in place_measures().items()])
+    """The measures per (city, state); of doubles no totals."""
+    measures = place_measures(not has_doubles(orders))
+    return orders.groupBy("city", "state").agg(*[v.alias(name) for name, v in measures.items()])
 
 
 def averages_of(sums: DataFrame) -> DataFrame:
@@ -143,8 +150,15 @@ def averages_of(sums: DataFrame) -> DataFrame:
 
 
 def state_averages(orders: DataFrame) -> DataFrame:
-    """state, state_average_amount over merchant-fulfilled, shipped, priced orders."""
-    return averages_of(place_sums(orders.filter(_is_averaged())))
+    """state, state_average_amount over merchant-fulfilled, shipped, priced orders.
+
+    Totals are exact: of decimals by their type, of doubles by their powers of two.
+    """
+    priced = orders.filter(_is_averaged())
+    if not has_doubles(orders):
+        return averages_of(place_sums(priced))
+    totals = exact_sums(priced, ["state"], "amount")
+    return totals.select("state", (F.col("total") / F.col("n")).alias("state_average_amount"))
 
 
 def with_state_average(orders: DataFrame, averages: DataFrame) -> DataFrame:

@@ -88,7 +88,8 @@ def _shares(orders: DataFrame, sums: DataFrame, min_days: int, min_promotions: i
     """The answer from typed orders and their sums per place."""
     base = sums.filter(F.col("cancelled") > 0).select("city", "cancelled", F.lit(0).alias("qualified"))
     codes = listed_codes(orders, min_promotions)
-    found = qualified_orders(codes, promo.averages_of(sums), min_days, min_promotions)
+    averages = promo.state_averages(orders) if promo.has_doubles(orders) else promo.averages_of(sums)
+    found = qualified_orders(codes, averages, min_days, min_promotions)
     found = found.select("city", F.lit(0).alias("cancelled"), F.lit(1).alias("qualified"))
     return promo.city_shares(base.unionByName(found))
 
@@ -98,7 +99,7 @@ def qualified_shares(
 ) -> DataFrame:
     """city, cancelled_standard_count, qualified_order_count, percentage from typed orders.
 
-    Two passes over the orders: the sums per place, and the listed codes.
+    Two passes over the orders: the sums per place, and the listed codes. Amounts that are doubles take one more, for averages.
     """
     return _shares(orders, keep_whole(promo.place_sums(orders)), min_days, min_promotions)
 
@@ -108,19 +109,21 @@ def qualified_by_city(
     min_days: int = promo.MIN_DAYS,
     min_promotions: int = promo.MIN_PROMOTIONS,
     check: bool | str = True,
-    scale: int = SCALE,
+    scale: int | None = SCALE,
 ) -> DataFrame:
     """The same from raw text columns.
 
     `check` looks for all columns, for missing or repeated row ids and for amounts that `scale` decimals cannot keep as they
     are: True before anything else, in jobs of their own; `IN_PLAN` while the result is read, the ids in the same pass and
-    shuffle as the sums per place, the amounts where they are used.
+    shuffle as the sums per place, the amounts where they are used. Without a `scale`, amounts are doubles of any size and
+    number of decimals, nothing of them is lost or refused, and their sums are exact.
     """
     orders = cancellation_rows(require_columns(raw, CANCELLATION_COLUMNS), scale, check == IN_PLAN)
     if check == IN_PLAN:
-        sums, words = beside_ids(orders, PLACE, promo.place_measures())
+        sums, words = beside_ids(orders, PLACE, promo.place_measures(scale is not None))
         return guarded(_shares(orders, sums, min_days, min_promotions), unique_fault(words))
     if check:
-        require_amounts(raw, scale)
+        if scale is not None:
+            require_amounts(raw, scale)
         require_unique(orders)
     return qualified_shares(orders, min_days, min_promotions)

@@ -19,12 +19,15 @@ from ..functions import (
     parse_int,
     trimmed,
 )
+from ..functions.doubles import finite_double
 from ..functions.numbers import SCALE
 from ..functions.text import is_present
 from ..once import select_once, with_column_once
 
 
-def _amount(scale: int, checked: bool) -> Column:
+def _amount(scale: int | None, checked: bool) -> Column:
+    if scale is None:
+        return finite_double(F.col("Amount")).alias("amount")
     return (checked_money if checked else money)(F.col("Amount"), scale).alias("amount")
 
 
@@ -58,8 +61,11 @@ def style_rows(
     return select_once(raw, {name: F.col(name) for name in keep} | columns)
 
 
-def cancellation_rows(raw: DataFrame, scale: int = SCALE, checked: bool = False) -> DataFrame:
-    """row_id, order_date, five category columns, city, state, amount, promotion list."""
+def cancellation_rows(raw: DataFrame, scale: int | None = SCALE, checked: bool = False) -> DataFrame:
+    """row_id, order_date, five category columns, city, state, amount, promotion list.
+
+    Without a scale, amounts are the doubles that the text says.
+    """
     return raw.select(
         parse_id(F.col("index")).alias("row_id"),
         parse_date(F.col("Date")).alias("order_date"),

@@ -7,8 +7,10 @@ from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
+from test_promotions import LONG, order
 
 from orderlens.functions import doubles as op
+from orderlens.plans import IN_PLAN, qualified_by_city
 
 DDL = "k string, x double"
 
@@ -79,3 +81,20 @@ def test_nulls_and_non_finite_values(spark):
 @pytest.mark.parametrize("text, value", [("1.005", 1.005), ("1e17", 1e17), ("", None), ("x", None), ("NaN", None), ("Infinity", None)])
 def test_text_amounts_keep_every_digit(column, text, value):
     assert column(op.finite_double, [text]) == [value]
+
+
+@pytest.mark.parametrize("check", [True, False, IN_PLAN])
+@pytest.mark.parametrize("others, own, qualified", [("1.0051", "1.005", 1), ("1.005", "1.005", 0), ("1e17", "1.005", 1), ("1e-9", "1e17", 0)])
+def test_cities_by_amounts_of_any_size(raw, check, others, own, qualified):
+    rows = [{**row, "Amount": others} for row in LONG] + [order(1, "A,B,C", amount=own)]
+    found = qualified_by_city(raw(rows), check=check, scale=None).collect()
+    assert [(r["cancelled_standard_count"], r["qualified_order_count"]) for r in found] == [(1, qualified)]
+
+
+@pytest.mark.parametrize("scale", [None, 2])
+def test_missing_amounts_and_repeated_ids_are_handled_alike(raw, scale):
+    rows = LONG + [order(1, "A,B,C", amount=""), order(2, "A,B,C", amount="x", state=None)]
+    found = qualified_by_city(raw(rows), check=IN_PLAN, scale=scale).collect()
+    assert [(r["cancelled_standard_count"], r["qualified_order_count"]) for r in found] == [(2, 0)]
+    with pytest.raises(Exception, match="row_id"):
+        qualified_by_city(raw(rows + rows[:1]), check=IN_PLAN, scale=scale).collect()
