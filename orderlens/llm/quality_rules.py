@@ -240,13 +240,19 @@ WITH split AS (
   FROM (SELECT lang, source, signal, x, greatest(length(bin(x)) - {SUB_BITS + 1}, 0) AS d
         FROM rates UNPIVOT (x FOR signal IN (symbol_rate, dup_line_rate, repeat_rate, word_length)))
   GROUP BY ALL
+), voted AS (
+  SELECT lang, source, signal, bin, n * least(total, {LEAST}) * 1000 // total AS n
+  FROM (SELECT *, sum(n) OVER (PARTITION BY lang, source, signal) AS total FROM bins)
 ), ranked AS (
   SELECT 0 AS level, lang, source, signal, bin, sum(n) AS n FROM bins GROUP BY ALL
   UNION ALL SELECT 1, lang, NULL, signal, bin, sum(n) FROM bins GROUP BY ALL
   UNION ALL SELECT 2, NULL, NULL, signal, bin, sum(n) FROM bins GROUP BY ALL
+  UNION ALL SELECT 3, lang, NULL, signal, bin, sum(n) FROM voted GROUP BY ALL
+  UNION ALL SELECT 4, NULL, NULL, signal, bin, sum(n) FROM voted GROUP BY ALL
 ), quart AS (
   SELECT level, lang, source, signal, max(total) AS n,
-         min(bin) FILTER (upto * 100 >= total * 25) AS q25, min(bin) FILTER (upto * 100 >= total * 75) AS q75
+         min(bin) FILTER (upto * 100 >= total * 25) AS q25, min(bin) FILTER (upto * 100 >= total * 50) AS q50,
+         min(bin) FILTER (upto * 100 >= total * 75) AS q75
   FROM (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, signal ORDER BY bin) AS upto,
                sum(n) OVER (PARTITION BY level, lang, source, signal) AS total FROM ranked)
   GROUP BY level, lang, source, signal
@@ -254,13 +260,20 @@ WITH split AS (
   SELECT a.lang, a.source, a.signal,
          CASE WHEN a.n >= {LEAST} THEN a.q25 WHEN b.n >= {LEAST} THEN b.q25 ELSE c.q25 END AS low,
          CASE WHEN a.n >= {LEAST} THEN a.q75 WHEN b.n >= {LEAST} THEN b.q75 ELSE c.q75 END AS high,
-         CASE a.signal {" ".join(f"WHEN '{k}' THEN {v}" for k, v in SLACK.items())} END AS slack
+         CASE WHEN a.n >= {LEAST} THEN a.q50 WHEN b.n >= {LEAST} THEN b.q50 ELSE c.q50 END AS mid,
+         CASE a.signal {" ".join(f"WHEN '{k}' THEN {v}" for k, v in SLACK.items())} END AS slack,
+         CASE WHEN sum(least(a.n, {LEAST})) OVER (PARTITION BY a.lang, a.signal) - least(a.n, {LEAST}) >= {LEAST} THEN d.q75 - d.q25
+              WHEN a.signal <> 'word_length' THEN e.q75 - e.q25 END AS bound
   FROM (SELECT * FROM quart WHERE level = 0) a
   JOIN (SELECT * FROM quart WHERE level = 1) b ON b.lang IS NOT DISTINCT FROM a.lang AND b.signal = a.signal
   JOIN (SELECT * FROM quart WHERE level = 2) c ON c.signal = a.signal
+  JOIN (SELECT * FROM quart WHERE level = 3) d ON d.lang IS NOT DISTINCT FROM a.lang AND d.signal = a.signal
+  JOIN (SELECT * FROM quart WHERE level = 4) e ON e.signal = a.signal
+), held AS (
+  SELECT *, CASE signal WHEN 'word_length' THEN mid ELSE low END AS anchor, {REACH} * greatest(high - low, slack) AS reached,
+         CASE WHEN bound IS NOT NULL THEN {REACH + 1} * greatest(bound, slack) END AS held FROM picked
 ), limits AS (
-  SELECT lang, source, signal, low - {REACH} * greatest(high - low, slack) AS lower,
-         high + {REACH} * greatest(high - low, slack) AS upper FROM picked
+  SELECT lang, source, signal, greatest(low - reached, anchor - held) AS lower, least(high + reached, anchor + held) AS upper FROM held
 ), failed AS (
   SELECT doc_id FROM (SELECT doc_id, lang, source, signal, x
                       FROM rates UNPIVOT (x FOR signal IN (symbol_rate, dup_line_rate, repeat_rate, word_length))) r
