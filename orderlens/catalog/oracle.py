@@ -430,4 +430,8 @@ def oracle_sql() -> dict[str, str]:
         "q24_text_sink": medians,
         "q24_winners_text_sink": winners,
         "q24_parquet_sink": shares,
+        "q24_rewritten_month": f"""
+            WITH {_SPREAD} SELECT month, count(*) AS orders,
+              CAST(sum(CASE WHEN month = lowest THEN 2 ELSE 1 END * amount) AS DOUBLE) AS total, month <> lowest AS files_kept
+            FROM prepared CROSS JOIN (SELECT min(month) AS lowest FROM prepared) GROUP BY month, lowest""",
     }

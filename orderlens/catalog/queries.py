@@ -30,6 +30,7 @@ from ..sources import (
     cancellation_rows,
     classify_lines,
     parse_lines,
+    read_partitions,
     read_permissive,
     read_strict,
     require_columns,
@@ -38,6 +39,7 @@ from ..sources import (
     style_rows,
     window_rows,
     write_parquet,
+    write_partitions,
     write_text,
 )
 from ..sources.contract import (
@@ -376,6 +378,27 @@ def parquet_sink(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def rewritten_month(spark, sf_dir):
+    """Orders stored by month, of which the first month is written anew with doubled amounts: per month the orders, their
+    total, and whether the month still has the files it had."""
+    path = f"{work_folder(spark, 'months')}/parquet"
+    rows = _spread(spark, sf_dir)
+    write_partitions(rows, path, ["month"], order_by=["sku", "row_id"])
+    stored = read_partitions(spark, path, rows.schema)
+    files = lambda df: df.select("month", F.col("_metadata.file_path").alias("file")).distinct()
+    before = land(files(stored), f"{work_folder(spark, 'month_files')}/parquet")
+    first = stored.agg(F.min("month").alias("month"))
+    doubled = F.col("amount") * 2
+    changed = stored.join(F.broadcast(first), "month").withColumn("amount", doubled.cast(rows.schema["amount"].dataType))
+    changed = land(changed.select(*rows.columns), f"{work_folder(spark, 'first_month')}/parquet")
+    write_partitions(changed, path, ["month"], order_by=["sku", "row_id"])
+    stored = read_partitions(spark, path, rows.schema)
+    now = files(stored).withColumn("now", F.lit(1)).join(before.withColumn("then", F.lit(1)), ["month", "file"], "full")
+    kept = now.groupBy("month").agg(F.count_if(F.col("now").isNull() | F.col("then").isNull()).alias("changed"))
+    totals = stored.groupBy("month").agg(F.count(F.lit(1)).alias("orders"), F.sum("amount").cast("double").alias("total"))
+    return totals.join(kept, "month").select("month", "orders", "total", (F.col("changed") == 0).alias("files_kept"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "q01_bought_by_state": bought_by_state,
@@ -421,4 +444,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q24_text_sink": text_sink,
         "q24_winners_text_sink": winners_text_sink,
         "q24_parquet_sink": parquet_sink,
+        "q24_rewritten_month": rewritten_month,
     }

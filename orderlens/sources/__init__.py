@@ -3,7 +3,7 @@
 from .contract import COLUMNS, HEADER_PREFIX, require_columns, require_width
 from .csv import classify_lines, parse_lines, read_lines, read_permissive, read_strict
 from .prepare import cancellation_rows, spread_rows, style_rows, window_rows
-from .sinks import land, write_parquet, write_text
+from .sinks import land, read_partitions, write_parquet, write_partitions, write_text
 
 __all__ = [
     "COLUMNS",
@@ -13,6 +13,7 @@ __all__ = [
     "land",
     "parse_lines",
     "read_lines",
+    "read_partitions",
     "read_permissive",
     "read_strict",
     "require_columns",
@@ -21,5 +22,6 @@ __all__ = [
     "style_rows",
     "window_rows",
     "write_parquet",
+    "write_partitions",
     "write_text",
 ]

@@ -6,6 +6,8 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SETTING = "spark.checkpoint.dir"
 LOCAL_SHARED = "/tmp/checkpoints"
@@ -28,6 +30,26 @@ def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> None:
     (df.repartition(1) if single_file else df).write.mode("overwrite").parquet(path)
 
 
+def write_partitions(df: DataFrame, path: str, by: Sequence[str], order_by: Sequence[str] = ()) -> None:
+    """Parquet in a folder for each value of `by`; of an earlier output only folders that the rows have values for are replaced.
+
+    Rows of one value are sorted within each of its files. They are dealt by the value, and values with many rows into several
+    files (adaptive execution splits and merges what is rebalanced). Values keep their files until the job commits. Blank and
+    missing values would share a folder, so blank ones are refused. No rows replace nothing.
+    """
+    for name in by:
+        if df.schema[name].dataType.typeName() == "string":
+            blank = F.raise_error(F.lit(f"A blank {name} cannot name a folder")).cast("string")
+            df = df.withColumn(name, F.when(F.col(name) == "", blank).otherwise(F.col(name)))
+    dealt = df.hint("rebalance", *by).sortWithinPartitions(*by, *order_by)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def read_partitions(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What `write_partitions` wrote, with the types it was written with; a filter on the folders' values prunes them."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def land(df: DataFrame, path: str) -> DataFrame:
     """Write once as Parquet and read back.
 

@@ -10,12 +10,14 @@ from orderlens.sources import (
     cancellation_rows,
     classify_lines,
     land,
+    read_partitions,
     read_permissive,
     read_strict,
     require_columns,
     require_width,
     spread_rows,
     write_parquet,
+    write_partitions,
     write_text,
 )
 from orderlens.sources.contract import HEADER_PREFIX, SPREAD_COLUMNS
@@ -161,3 +163,36 @@ def test_long_and_odd_quoted_fields_do_not_stop_the_reader(spark):
     lines = [f"1,{long_field}{tail}", f"1,\u0001abc,\"q, r\"{tail[2:]}", f'1,"a"b{tail}', f'1,"open{tail}', f'1,""{tail}']
     frame = classify_lines(spark.createDataFrame([(line,) for line in lines], "value string"))
     assert [r["fault"] for r in frame.collect()] == [None, None, "bad_csv", "bad_csv", None]
+
+
+def test_a_rewritten_value_leaves_the_others_files(spark, tmp_path):
+    path = str(tmp_path / "out")
+    frame = spark.range(60).select(F.concat(F.lit("2022-0"), F.col("id") % 3 + 1).alias("month"), "id")
+    frame = frame.withColumn("month", F.when(F.col("id") > 2, F.col("month")))
+    files = lambda: {str(f.relative_to(path)): f.stat().st_mtime_ns for f in (tmp_path / "out").glob("month=*/*.parquet")}
+    write_partitions(frame, path, ["month"], order_by=["id"])
+    before = files()
+    assert len({f.split("/")[0] for f in before}) == 4
+    write_partitions(spark.createDataFrame([("2022-02", 7), ("2022-04", 8)], frame.schema), path, ["month"])
+    after = files()
+    assert {f: t for f, t in before.items() if "2022-02" not in f}.items() <= after.items()
+    assert not any(f in after for f in before if "2022-02" in f)
+    found = sorted(map(tuple, read_partitions(spark, path, frame.schema).collect()), key=str)
+    expected = [(m, i) for m, i in map(tuple, frame.collect()) if m != "2022-02"] + [("2022-02", 7), ("2022-04", 8)]
+    assert found == sorted(expected, key=str)
+    write_partitions(frame.limit(0), path, ["month"])
+    assert files() == after
+    with pytest.raises(Exception, match="blank month"):
+        write_partitions(frame.withColumn("month", F.lit("")), path, ["month"])
+    assert files() == after
+
+
+def test_stored_values_are_sorted_and_pruned(spark, tmp_path):
+    path = str(tmp_path / "out")
+    frame = spark.range(5000).select((F.col("id") % 2).cast("string").alias("month"), (-F.col("id")).alias("id"))
+    write_partitions(frame.repartition(5), path, ["month"], order_by=["id"])
+    for part in (tmp_path / "out").glob("month=*/*.parquet"):
+        ids = [r["id"] for r in spark.read.parquet(str(part)).collect()]
+        assert ids == sorted(ids)
+    plan = read_partitions(spark, path, frame.schema).where("month = '1'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
