@@ -85,7 +85,7 @@ def _limbs(totals: Column) -> Column:
     return F.aggregate(totals, start, step, lambda state: state["limbs"])
 
 
-def rounded(slots: DataFrame, keys: Sequence[str], entries: str = "entries") -> DataFrame:
+def rounded(slots: DataFrame, keys: Sequence[str], entries: str) -> DataFrame:
     """keys, `total` from arrays of (slot, piece sum): one projection a step, so that each is worked out once."""
     low = F.array_min(F.transform(F.col(entries), lambda e: e["slot"]))
     high = F.array_max(F.transform(F.col(entries), lambda e: e["slot"]))
@@ -120,26 +120,26 @@ def exact_sums(rows: DataFrame, keys: Sequence[str], value: str, counts: Mapping
 
     NULLs are left out; n counts the others. A group with non-finite values has their sum, infinite or NaN, and one of NULLs
     alone has no total. Zeros of either sign add up to 0.0. A total beyond all doubles is infinite. One shuffle by the keys
-    and slot after map-side sums, so a hot key is a row a task and slot, and one by the keys.
+    and slot after map-side sums, so a hot key is a row a task and slot, and one by the keys. Keys and counts bear other names than n and total.
     """
     counts = dict(counts or {})
     x = F.col(value)
     split = rows.select(
-        *keys, *[c.alias(name) for name, c in counts.items()], x.alias("__x"), slot(x).alias("slot"), piece(x).alias("__piece")
+        *keys, *[c.alias(name) for name, c in counts.items()], x.alias("__x"), slot(x).alias("__slot"), piece(x).alias("__piece")
     )
-    sums = split.groupBy(*keys, "slot").agg(
+    sums = split.groupBy(*keys, "__slot").agg(
         *[F.count_if(F.col(name)).alias(name) for name in counts],
         F.count("__x").alias("n"),
         F.sum(F.when(~is_finite(F.col("__x")), F.col("__x"))).alias("__odd"),
-        F.sum("__piece").cast("decimal(38,0)").alias("sum"),
+        F.sum("__piece").cast("decimal(38,0)").alias("__sum"),
     )
-    entry = F.when(F.col("slot").isNotNull(), F.struct("slot", "sum"))
+    entry = F.when(F.col("__slot").isNotNull(), F.struct(F.col("__slot").alias("slot"), F.col("__sum").alias("sum")))
     slots = sums.groupBy(*keys).agg(
         *[F.sum(name).alias(name) for name in counts],
         F.sum("n").alias("n"),
         F.sum("__odd").alias("__odd"),
-        F.collect_list(entry).alias("entries"),
+        F.collect_list(entry).alias("__entries"),
     )
-    whole = rounded(slots, keys)
+    whole = rounded(slots, keys, "__entries")
     total = F.when(F.col("n") > 0, F.coalesce("__odd", "total"))
     return whole.select(*keys, *counts, "n", total.alias("total"))

@@ -78,6 +78,14 @@ def test_nulls_and_non_finite_values(spark):
     assert op.exact_sums(spark.createDataFrame([], DDL), ["k"], "x").collect() == []
 
 
+def test_keys_may_bear_the_names_of_parts_and_a_hot_key_is_summed_in_every_task(spark):
+    rows = spark.range(0, 4000, 1, 4).select(F.lit("s").alias("slot"), F.lit(1).alias("sum"), F.lit(2).alias("entries"), (F.col("id") / 8).alias("x"))
+    sums = op.exact_sums(rows, ["slot", "sum", "entries"], "x")
+    assert [tuple(r) for r in sums.collect()] == [("s", 1, 2, 4000, sum(k / 8 for k in range(4000)))]
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum(__piece" in plan and "Python" not in plan
+
+
 @pytest.mark.parametrize("text, value", [("1.005", 1.005), ("1e17", 1e17), ("", None), ("x", None), ("NaN", None), ("Infinity", None)])
 def test_text_amounts_keep_every_digit(column, text, value):
     assert column(op.finite_double, [text]) == [value]
