@@ -26,14 +26,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents stays: the one of the least id."""
-    workers.prepare(spark)
+    workers.prepare_lean(spark)
     return jaccard_join.one_of_each(docs, percent=COPY_PERCENT, shingle=COPY_WORDS)
 
 
 def repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose the bytes under a 50-byte string of an earlier document, and characters that a cut broke."""
-    workers.prepare(spark)
-    kept = suffix_dedup.remove_repeated(docs, with_kept=True, carry=("lang", "source"))
+    workers.prepare_lean(spark)
+    kept = suffix_dedup.remove_repeated(docs, with_text=True, carry=("lang", "source"))
     text = F.col("kept_text")
     return kept.select("doc_id", text.alias("text"), "lang", "source", F.length(text).cast("long").alias("n_chars"))
 
@@ -45,7 +45,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, their number, and whether they decode to the text."""
-    workers.prepare(spark)
+    workers.prepare_lean(spark)
     path = public_tokenizers.path(PIECES)
     coded = sentence_pieces.encode(docs.select("doc_id", "text"), path, decoded="decoded")
     same = F.col("decoded") == F.coalesce("text", F.lit(""))

@@ -63,9 +63,9 @@ def least_overlap(n: int, percent: int = PERCENT) -> int:
 def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> Iterator[np.ndarray]:
     """Sorted hashes of the distinct shingles of each text."""
     data, offsets = column_buffer(column)
-    data = data + np.where((data >= 0x41) & (data <= 0x5A), np.uint8(32), np.uint8(0))
     for a, b in chunks(offsets):
         part = data[offsets[a] : offsets[b]]
+        part = part + np.where((part >= 0x41) & (part <= 0x5A), np.uint8(32), np.uint8(0))
         starts, ends, firsts = word_spans(part, offsets[a : b + 1] - offsets[a])
         sums = prefix_sums(text_hashes(part, starts, ends))
         counts = np.diff(firsts)

@@ -1,11 +1,14 @@
 import hashlib
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from texts import shared_passages
 
 from orderlens.llm import suffix_dedup as op
+from orderlens.llm.rounds import split
 
 
 def brute_force(rows, length):
@@ -87,3 +90,43 @@ def test_suffixes_are_sorted_by_their_bytes():
     order, same = op.sorted_suffixes(rows)
     raw = [rows[i].tobytes() for i in order]
     assert raw == sorted(raw) and same.tolist() == [a == b for a, b in zip(raw, raw[1:], strict=False)]
+
+
+def block(texts):
+    return pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+
+
+def random_text(seed, size):
+    return np.random.default_rng(seed).integers(97, 123, size).astype(np.uint8).tobytes().decode()
+
+
+def test_leading_sequences_spread_evenly_over_ranges_of_keys():
+    leads = op._by_lead(op._Runs(block([random_text(1, 400_000)]), op.LENGTH, op.LEAD))[0]
+    counts = np.bincount(split(leads, 64), minlength=64)
+    assert len(leads) > 20_000 and counts.max() < 1.5 * counts.mean()
+
+
+def test_a_piece_without_windows_leaves_the_hashes_of_others_as_they_are():
+    text = random_text(2, 1 << 20)
+    alone, beside = (op._Runs(block(texts), op.LENGTH, op.LEAD) for texts in ([text], [text, "short"]))
+    assert beside.leads.dtype == np.uint64
+    assert beside.leads.tolist() == alone.leads.tolist() and beside.wholes.tolist() == alone.wholes.tolist()
+
+
+def test_memory_of_a_block_is_a_small_multiple_of_its_text():
+    table = block([random_text(k, 2000) for k in range(1000)] * 2)
+    tracemalloc.start()
+    runs = op._Runs(table, op.LENGTH, op.LEAD)
+    half = len(runs.starts) // 2
+    result = op._kept(table, runs, runs.starts[half:], runs.sizes[half:], op.LENGTH, False, True)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert result["n_removed"].to_pylist() == [0] * 1000 + [2000] * 1000
+    assert most < 12 * 4_000_000
+
+
+def test_text_alone_is_the_same_as_with_the_bytes(docs):
+    rows = shared_passages(8, 60, "xyz é", [*"ab cdé"], (30, 200), [""])
+    both, alone = (op.remove_repeated(docs(rows), block_bytes=1000, **{k: True}) for k in ("with_kept", "with_text"))
+    assert alone.columns == [c for c in both.columns if c != "kept"]
+    assert sorted(map(str, alone.collect())) == sorted(map(str, both.drop("kept").collect()))
